@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tierbed.functions import as_text, output_slices, run_id_text, run_path  # noqa: E402
 from tierbed.operators import (  # noqa: E402
     alert_body,
+    commit_runs,
     committed_rows,
     contiguous_prefix,
     curate,
@@ -31,7 +32,6 @@ from tierbed.operators import (  # noqa: E402
     route_alerts,
     run_slice,
     stamp_run,
-    write_manifest,
     write_report,
 )
 from tierbed.plans import GOLD_KEYS, PLACE_RULES, ingest, run_pipeline  # noqa: E402
@@ -119,7 +119,7 @@ def with_pages(df: DataFrame, key: str) -> tuple[DataFrame, int, int]:
 def place_pages(spark: SparkSession, sf_dir: str) -> tuple[FilePages, int, int]:
     paged, per_page, n_pages = with_pages(customers(spark, sf_dir), "c_custkey")
     store = scratch(spark, "place-pages")
-    write_page_files(paged.drop("c_custkey"), store)
+    write_page_files(paged.drop("c_custkey"), store, tasks=n_pages)
     return FilePages(store), per_page, n_pages
 
 
@@ -127,7 +127,7 @@ def event_pages(spark: SparkSession, sf_dir: str) -> tuple[FilePages, int, int]:
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
     paged, per_page, n_pages = with_pages(events, "event_id")
     store = scratch(spark, "event-pages")
-    write_page_files(paged, store)
+    write_page_files(paged, store, tasks=n_pages)
     return FilePages(store), per_page, n_pages
 
 
@@ -309,22 +309,11 @@ def committed_runs_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = F.concat(F.lit("R"), (F.col("user_id") % 10).cast("string")).alias("run_id")
     events = table(spark, sf_dir, "events").select("event_id", run)
     root = scratch(spark, "registry")
-    for row in events.groupBy("run_id").agg(F.count("*").alias("fetched_rows")).collect():
-        if row.run_id <= "R6":
-            write_manifest(spark, root, row.asDict() | dict.fromkeys(UNUSED_MANIFEST_FIELDS))
+    manifests = events.groupBy("run_id").agg(F.count("*").alias("fetched_rows"))
+    commit_runs(manifests.filter(F.col("run_id") <= "R6"), root)
     return committed_rows(events, read_registry(spark, root))
 
 
-UNUSED_MANIFEST_FIELDS = (
-    "pages_fetched",
-    "per_page",
-    "max_pages",
-    "started_at_utc",
-    "finished_at_utc",
-    "api_url",
-)
-
-
 def rerun_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each write mode from each earlier state, with the rows committed afterwards."""
     backend, per_page, n_pages = place_pages(spark, sf_dir)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from urllib.parse import quote
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -19,5 +20,8 @@ def run_id_text(ts: Column | str) -> Column:
 
 
 def run_path(prefix: str, run_id: str) -> str:
-    """Directory of one run. The Hive-style name lets Spark discover ``run_id``."""
-    return f"{prefix.rstrip('/')}/run_id={run_id}"
+    """Directory of one run. The Hive-style name lets Spark discover ``run_id``.
+
+    Characters that paths cannot hold are percent-encoded; Spark decodes them again.
+    """
+    return f"{prefix.rstrip('/')}/run_id={quote(run_id, safe='')}"

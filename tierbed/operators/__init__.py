@@ -21,6 +21,7 @@ from tierbed.operators.quality import (
     write_report,
 )
 from tierbed.operators.registry import (
+    commit_runs,
     committed_rows,
     drop_manifest,
     read_registry,
@@ -33,6 +34,7 @@ __all__ = [
     "FillRule",
     "QualityGateError",
     "alert_body",
+    "commit_runs",
     "committed_rows",
     "contiguous_prefix",
     "curate",

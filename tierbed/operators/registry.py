@@ -7,8 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tierbed.functions.runs import run_path
-
 MANIFEST_SCHEMA = StructType(
     [
         StructField("run_id", StringType(), True),
@@ -30,27 +28,41 @@ def manifests_path(root: str) -> str:
     return f"{root.rstrip('/')}/manifests"
 
 
+def commit_runs(manifests: DataFrame, root: str) -> None:
+    """Commit the runs of ``manifests`` (``run_id``, ``fetched_rows`` and more).
+
+    Replaces earlier manifests of these runs only. Call it last, after the data
+    that the manifests describe is written.
+    """
+    (
+        manifests.coalesce(1)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .option("ignoreNullFields", "false")
+        .partitionBy("run_id")
+        .json(manifests_path(root))
+    )
+
+
 def write_manifest(spark: SparkSession, root: str, manifest: dict) -> None:
-    """Commit a run. Call it last, after the data it describes is written."""
-    row = spark.createDataFrame([manifest], MANIFEST_SCHEMA)
-    path = run_path(manifests_path(root), manifest["run_id"])
-    row.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    """Commit one run."""
+    commit_runs(spark.createDataFrame([manifest], MANIFEST_SCHEMA), root)
 
 
 def drop_manifest(spark: SparkSession, root: str, run_id: str) -> None:
-    """Make a run uncommitted: its manifest directory is left with no row."""
-    empty = spark.createDataFrame([], MANIFEST_SCHEMA)
-    empty.write.mode("overwrite").json(run_path(manifests_path(root), run_id))
+    """Make a run uncommitted: its manifest is replaced by one without counts."""
+    write_manifest(spark, root, {"run_id": run_id})
 
 
 def read_registry(spark: SparkSession, root: str) -> DataFrame:
     """Manifests of all committed runs; empty when nothing was ever committed."""
     try:
-        return spark.read.schema(MANIFEST_SCHEMA).json(manifests_path(root))
+        manifests = spark.read.schema(MANIFEST_SCHEMA).json(manifests_path(root))
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return spark.createDataFrame([], MANIFEST_SCHEMA)
-        raise
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        manifests = spark.createDataFrame([], MANIFEST_SCHEMA)
+    return manifests.filter(F.col("fetched_rows").isNotNull())
 
 
 def read_manifest(spark: SparkSession, root: str, run_id: str) -> DataFrame:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,7 +20,13 @@ from tierbed.functions.runs import run_path
 from tierbed.operators.aggregate import entity_counts
 from tierbed.operators.curate import FillRule, curate, stamp_run
 from tierbed.operators.pages import contiguous_prefix, fetch_totals
-from tierbed.operators.quality import quality_gate, quality_report, run_slice, write_report
+from tierbed.operators.quality import (
+    REQUIRED_COLUMNS,
+    quality_gate,
+    quality_report,
+    run_slice,
+    write_report,
+)
 from tierbed.operators.registry import (
     drop_manifest,
     read_manifest,
@@ -39,14 +46,14 @@ from tierbed.sources.raw import scan_raw, write_raw_records
 from tierbed.sources.tables import (
     path_exists,
     scan_table,
-    table_columns,
     write_partitioned,
     write_run,
 )
 
-# Up to this many rows a raw dataset is repartitioned to exactly ``output_slices``
-# files. Larger runs keep one file per staged split and are not shuffled for it.
-MAX_RESLICED_ROWS = 1_000_000
+# Runs up to this size are laid out by count: raw data in exactly ``output_slices``
+# files, silver directories spread over the cores. Larger runs keep one raw file per
+# staged split, without a shuffle, and leave the silver write tasks to AQE.
+MAX_SMALL_RUN_ROWS = 1_000_000
 
 
 def layer(root: str, name: str) -> str:
@@ -96,7 +103,7 @@ def ingest(
         raise RuntimeError(f"Ingest returned 0 rows, nothing is committed. run_id={run_id}")
     # The prefix is pages 1..n, so the distinct pages counted are its last page.
     kept = staged.filter(F.col("page").between(1, totals.pages_fetched))
-    if slices is None and totals.fetched_rows <= MAX_RESLICED_ROWS:
+    if slices is None and totals.fetched_rows <= MAX_SMALL_RUN_ROWS:
         slices = output_slices(totals.fetched_rows)
     write_raw_records(kept, raw, slices)
 
@@ -138,7 +145,15 @@ def build_silver(
 ) -> None:
     """Curate a run's raw lines into the silver table."""
     raw = scan_raw(spark, run_path(layer(root, "raw"), run_id), raw_schema)
-    write_partitioned(curate(raw, run_id, rules), layer(root, "silver"), partition_cols, overwrite)
+    manifest = read_manifest(spark, root, run_id).first()
+    small = manifest is not None and manifest.fetched_rows <= MAX_SMALL_RUN_ROWS
+    write_partitioned(
+        curate(raw, run_id, rules),
+        layer(root, "silver"),
+        partition_cols,
+        overwrite,
+        tasks=spark.sparkContext.defaultParallelism if small else None,
+    )
 
 
 def check_silver(
@@ -150,21 +165,28 @@ def check_silver(
     max_null_id_ratio: float = 0.0,
     schema: StructType | None = None,
     partition_cols: Sequence[str] = SILVER_PARTITIONS,
+    id_col: str = "id",
     run_col: str = "ingestion_run_id",
+    required: Sequence[str] = REQUIRED_COLUMNS,
 ) -> list[Row]:
     """Write the run's quality report, then raise if a critical check failed.
 
-    Missing columns are judged by the files, not by the declared ``schema``, and a
-    table without a run column is reported instead of failing on the run filter.
+    Columns come from the files, so that a missing one is seen; ``schema`` is only
+    used for a table without files. A table without a run column is reported
+    instead of failing on the run filter.
     """
+    # Only an id or run column that names directories has to keep its string type here.
+    typed = [c for c in (id_col, run_col) if c in partition_cols]
     path = layer(root, "silver")
-    if schema is not None:
-        present = table_columns(spark, path)
-        schema = StructType([f for f in schema if not present or f.name in present])
-    silver = scan_table(spark, path, schema, partition_cols)
+    try:
+        silver = scan_table(spark, path, partition_cols=typed)
+    except AnalysisException as error:
+        if schema is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        silver = scan_table(spark, path, schema)
     if run_col in silver.columns:
         silver = run_slice(silver, run_id, run_col)
-    report = quality_report(silver, run_id, min_rows, max_null_id_ratio, run_col=run_col)
+    report = quality_report(silver, run_id, min_rows, max_null_id_ratio, id_col, run_col, required)
 
     # At most five rows: collected once for the file, the gate and the caller.
     checks = report.collect()

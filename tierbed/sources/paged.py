@@ -26,11 +26,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from tierbed.sources.tables import gather_partitions
+
 PAGE_SCHEMA = StructType(
     [StructField("page", LongType(), True), StructField("record", StringType(), True)]
 )
 
-# A run never plans more read tasks than this; beyond it each task takes more pages.
+# Read tasks per core, pages per task, and the tasks beyond which a task takes more pages.
+TASKS_PER_CORE = 4
+MAX_TASK_PAGES = 50
 MAX_READ_TASKS = 10_000
 # Rows per Arrow batch handed to the JVM; bounds a task's memory whatever the page size.
 BATCH_ROWS = 4_096
@@ -142,6 +146,12 @@ def to_batch(page: int, records: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["page", "record"])
 
 
+def default_task_pages(max_pages: int, cores: int) -> int:
+    """Pages per task: a few tasks per core, short tasks, and a bounded number of them."""
+    per_task = min(MAX_TASK_PAGES, -(-max_pages // (cores * TASKS_PER_CORE)))
+    return max(1, per_task, -(-max_pages // MAX_READ_TASKS))
+
+
 def read_pages(
     spark: SparkSession,
     backend: PageBackend,
@@ -151,13 +161,12 @@ def read_pages(
 ) -> DataFrame:
     """Pages 1..``max_pages`` of ``backend`` as ``(page, record)`` rows.
 
-    One task reads ``pages_per_task`` consecutive pages: one page each by default,
-    more once that would plan over ``MAX_READ_TASKS`` tasks. A task stops at the
-    first empty page of its range; ``contiguous_prefix`` drops what other tasks
-    read behind the first gap. Every action on the result fetches again, so write
-    it out before using it more than once.
+    One task reads ``pages_per_task`` consecutive pages, by default few enough to
+    keep every core busy. A task stops at the first empty page of its range;
+    ``contiguous_prefix`` drops what other tasks read behind the first gap. Every
+    action on the result fetches again, so write it out before using it twice.
     """
-    step = pages_per_task or max(1, -(-max_pages // MAX_READ_TASKS))
+    step = pages_per_task or default_task_pages(max_pages, spark.sparkContext.defaultParallelism)
     source_name = f"tierbed_pages_{uuid4().hex}"
 
     class PagedSource(DataSource):
@@ -178,16 +187,17 @@ def read_pages(
     return spark.read.format(source_name).load()
 
 
-def write_page_files(df: DataFrame, path: str, page: str = "page") -> None:
-    """Store ``df`` as the page files that ``FilePages`` reads; ``page`` names the page."""
+def write_page_files(
+    df: DataFrame, path: str, page: str = "page", tasks: int | None = None
+) -> None:
+    """Store ``df`` as the page files that ``FilePages`` reads; ``page`` names the page.
+
+    ``tasks`` fixes the number of write tasks, see ``gather_partitions``.
+    """
     fields = F.struct(*[F.col(c) for c in df.columns if c != page])
-    (
-        df.select(
-            F.col(page).alias("page"),
-            F.to_json(fields, {"ignoreNullFields": "false"}).alias("record"),
-        )
-        .hint("rebalance", F.col("page"))
-        .write.mode("overwrite")
-        .partitionBy("page")
-        .text(path)
+    records = df.select(
+        F.col(page).alias("page"),
+        F.to_json(fields, {"ignoreNullFields": "false"}).alias("record"),
     )
+    gathered = gather_partitions(records, ("page",), tasks)
+    gathered.write.mode("overwrite").partitionBy("page").text(path)

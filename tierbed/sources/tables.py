@@ -23,22 +23,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def gather_partitions(
+    df: DataFrame, partition_cols: Sequence[str], tasks: int | None = None
+) -> DataFrame:
+    """Bring rows of a partition value together, so a directory gets few files.
+
+    By default AQE sizes the write tasks by bytes: it merges small values and
+    splits a value that holds much of the table over many tasks. A table known to
+    be small would become one task that opens every file in turn; ``tasks`` spreads
+    its directories over that many tasks instead. Do not set it for large tables.
+    """
+    columns = [F.col(c) for c in partition_cols]
+    return df.hint("rebalance", *columns) if tasks is None else df.repartition(tasks, *columns)
+
+
 def write_partitioned(
     df: DataFrame,
     path: str,
     partition_cols: Sequence[str],
     overwrite: str = "static",
     max_records_per_file: int = 0,
+    tasks: int | None = None,
 ) -> None:
     """Overwrite a Parquet table partitioned by ``partition_cols``.
 
     ``static`` replaces the whole table, ``dynamic`` only the partitions in ``df``.
-    Rows are first brought together by partition value, so a directory gets few
-    files instead of one per task. The rebalance hint lets AQE split a value that
-    holds much of the table over many tasks and merge small ones.
+    ``tasks`` is passed on to ``gather_partitions``.
     """
     (
-        df.hint("rebalance", *[F.col(c) for c in partition_cols])
+        gather_partitions(df, partition_cols, tasks)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
         .option("maxRecordsPerFile", max_records_per_file)
@@ -56,28 +69,18 @@ def scan_table(
     """Read a Parquet table with its partition columns as strings.
 
     Partition discovery would turn the directory name ``007`` into the number 7.
-    A declared ``schema`` avoids that. Without one, types come from the files and
-    the ``partition_cols`` are declared as strings.
+    A declared ``schema`` avoids that. Without one, types come from the files, and
+    the ``partition_cols`` that lost their string type are declared as strings.
     """
-    if schema is None:
-        found = spark.read.parquet(path).schema
-        schema = StructType(
-            [
-                StructField(f.name, StringType(), True) if f.name in partition_cols else f
-                for f in found
-            ]
-        )
-    return spark.read.schema(schema).parquet(path)
-
-
-def table_columns(spark: SparkSession, path: str) -> list[str]:
-    """Columns that the files and directories of a table really have."""
-    try:
-        return spark.read.parquet(path).columns
-    except AnalysisException as error:
-        if error.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return []
-        raise
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    found = spark.read.parquet(path)
+    fields = [
+        StructField(f.name, StringType(), True) if f.name in partition_cols else f
+        for f in found.schema
+    ]
+    declared = StructType(fields)
+    return found if declared == found.schema else spark.read.schema(declared).parquet(path)
 
 
 def write_run(df: DataFrame, prefix: str, run_id: str) -> str:
