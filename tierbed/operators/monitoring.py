@@ -38,8 +38,8 @@ def parse_monitoring(lines: DataFrame, column: str = "value") -> DataFrame:
     payload = F.regexp_extract(F.col(column), EVENT_PATTERN, 1)
     return (
         lines.filter(F.col(column).contains("[monitoring] {"))
-        .select(F.from_json(payload, EVENT_SCHEMA).alias("e"))
-        .select("e.*")
+        # A generator, because the filter would otherwise parse the line a second time.
+        .select(F.inline(F.array(F.from_json(payload, EVENT_SCHEMA))))
         .filter(F.col("event").isNotNull())
     )
 

@@ -72,47 +72,34 @@ def measure(df: DataFrame, run_id: str, id_col: str | None, run_col: str | None)
     Rows are grouped by id once, with counts folded before the shuffle. A NULL or
     very frequent id therefore sends one row per task, not one per occurrence.
     """
+    wrong = F.count(F.when(wrong_run(run_id, run_col), 1)) if run_col else F.expr("0L")
     rows = F.count(F.lit(1))
-    wrong = F.count(F.when(wrong_run(run_id, run_col), 1)) if run_col else F.lit(0).cast("bigint")
     if id_col is None:
-        none = F.lit(0).cast("bigint")
         return df.agg(
             rows.alias("row_count"),
-            none.alias("null_ids"),
-            none.alias("repeated_ids"),
+            F.expr("0L AS null_ids"),
+            F.expr("0L AS repeated_ids"),
             wrong.alias("wrong_run_rows"),
         )
-    per_id = df.groupBy(id_col).agg(rows.alias("n"), wrong.alias("wrong"))
-    is_null = F.col(id_col).isNull()
-
-    def total(column: Column) -> Column:
-        return F.coalesce(F.sum(column), F.lit(0).cast("bigint"))
-
-    return per_id.agg(
-        total(F.col("n")).alias("row_count"),
-        total(F.when(is_null, F.col("n"))).alias("null_ids"),
-        F.count(F.when(~is_null & (F.col("n") > 1), 1)).alias("repeated_ids"),
-        total(F.col("wrong")).alias("wrong_run_rows"),
+    return (
+        df.groupBy(F.col(id_col).alias("id"))
+        .agg(rows.alias("n"), wrong.alias("wrong"))
+        .selectExpr(
+            "coalesce(sum(n), 0L) AS row_count",
+            "coalesce(sum(n) FILTER (WHERE id IS NULL), 0L) AS null_ids",
+            "count_if(id IS NOT NULL AND n > 1) AS repeated_ids",
+            "coalesce(sum(wrong), 0L) AS wrong_run_rows",
+        )
     )
 
 
 def check(
-    ord: int,
-    name: str,
-    severity: str,
-    passed: Column,
-    metric: Column,
-    threshold: str,
-    details: Column,
-) -> Column:
-    return F.struct(
-        F.lit(ord).alias("ord"),
-        F.lit(name).alias("name"),
-        passed.alias("passed"),
-        F.lit(severity).alias("severity"),
-        metric.cast("double").alias("metric"),
-        F.lit(threshold).alias("threshold"),
-        details.alias("details"),
+    ord: int, name: str, severity: str, passed: str, metric: str, threshold: str, details: str
+) -> str:
+    """SQL struct of one check; ``details`` and the conditions are SQL expressions."""
+    return (
+        f"struct({ord} AS ord, '{name}' AS name, {passed} AS passed, '{severity}' AS severity, "
+        f"CAST({metric} AS double) AS metric, '{threshold}' AS threshold, {details} AS details)"
     )
 
 
@@ -133,48 +120,47 @@ def quality_report(
     missing = [c for c in required if c not in df.columns]
     has_id = id_col in df.columns
     has_run = run_col in df.columns
-    rows = F.col("row_count")
-    ratio = F.col("null_ids").cast("double") / F.nullif(rows, F.lit(0))
 
     checks = [
         check(
             1,
             "required_columns_present",
             CRITICAL,
-            F.lit(not missing),
-            F.lit(len(missing)),
+            f"{len(missing)} = 0",
+            f"{len(missing)}",
             "missing_columns == 0",
-            F.lit(f"missing={missing}"),
+            "concat('missing=', missing)",
         ),
         check(
             2,
             "minimum_rows",
             CRITICAL,
-            rows >= min_rows,
-            rows,
             f"row_count >= {min_rows}",
-            F.concat(F.lit("row_count="), rows.cast("string")),
+            "row_count",
+            f"row_count >= {min_rows}",
+            "concat('row_count=', row_count)",
         ),
     ]
     if has_id:
+        ratio = "null_ids / nullif(row_count, 0)"
         checks += [
             check(
                 3,
                 "null_id_ratio",
                 CRITICAL,
-                ratio <= max_null_id_ratio,
+                f"{ratio} <= CAST('{max_null_id_ratio}' AS double)",
                 ratio,
                 f"null_id_ratio <= {max_null_id_ratio}",
-                F.concat(F.lit("null_id_count="), F.col("null_ids").cast("string")),
+                "concat('null_id_count=', null_ids)",
             ),
             check(
                 4,
                 "duplicate_id_groups",
                 WARNING,
-                F.col("repeated_ids") == 0,
-                F.col("repeated_ids"),
+                "repeated_ids = 0",
+                "repeated_ids",
                 "duplicate_id_groups == 0",
-                F.lit(DUPLICATE_DETAILS),
+                f"'{DUPLICATE_DETAILS}'",
             ),
         ]
     if has_run:
@@ -183,24 +169,27 @@ def quality_report(
                 5,
                 "ingestion_run_id_consistency",
                 CRITICAL,
-                F.col("wrong_run_rows") == 0,
-                F.col("wrong_run_rows"),
+                "wrong_run_rows = 0",
+                "wrong_run_rows",
                 "rows_with_wrong_run_id == 0",
-                F.lit(f"expected_run_id={run_id}"),
+                "concat('expected_run_id=', run_id)",
             )
         )
 
-    reported = F.filter(F.array(*checks), lambda c: (rows > 0) | (c["ord"] <= 2))
-    failed = F.exists(F.col("checks"), lambda c: ~c["passed"] & (c["severity"] == CRITICAL))
+    # Caller-given texts enter as literals, never as SQL.
+    literals = (F.lit(run_id).alias("run_id"), F.lit(str(missing)).alias("missing"))
+    reported = f"filter(array({', '.join(checks)}), c -> row_count > 0 OR c.ord <= 2)"
+    failed = f"exists(checks, c -> NOT c.passed AND c.severity = '{CRITICAL}')"
     return (
         measure(df, run_id, id_col if has_id else None, run_col if has_run else None)
-        .select(rows, reported.alias("checks"))
-        .select(
-            F.lit(run_id).alias("run_id"),
-            F.current_timestamp().alias("evaluated_at_utc"),
-            rows,
-            F.when(failed, "failed").otherwise("passed").alias("status"),
-            F.inline("checks"),
+        .select("*", *literals)
+        .selectExpr("run_id", "row_count", f"{reported} AS checks")
+        .selectExpr(
+            "run_id",
+            "current_timestamp() AS evaluated_at_utc",
+            "row_count",
+            f"CASE WHEN {failed} THEN 'failed' ELSE 'passed' END AS status",
+            "inline(checks)",
         )
     )
 
