@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EVENT_PATTERN = r"\[monitoring\] (\{.*\})\s*$"
@@ -49,42 +49,38 @@ def read_monitoring_log(spark: SparkSession, path: str) -> DataFrame:
     return parse_monitoring(spark.read.text(path))
 
 
-def or_none(column: str) -> Column:
-    return F.coalesce(F.col(column).cast("string"), F.lit("None"))
+def or_none(column: str) -> str:
+    return f"coalesce(CAST({column} AS string), 'None')"
 
 
-def by_event(value_of) -> Column:
-    """CASE over the known events; NULL for any other event."""
-    chain = None
-    for event, route in ROUTES.items():
-        matches = F.col("event") == event
-        value = value_of(*route)
-        chain = F.when(matches, value) if chain is None else chain.when(matches, value)
-    return chain
+def by_event(values: dict[str, str]) -> str:
+    """SQL CASE over the known events; NULL for any other event."""
+    whens = " ".join(f"WHEN '{event}' THEN {value}" for event, value in values.items())
+    return f"CASE event {whens} END"
 
 
-def route_alerts(events: DataFrame, notify_success: bool = False) -> DataFrame:
-    """Add ``level``, ``status_label``, ``subject`` and ``notify`` to each event."""
+def subject(prefix: str, happened: str, names_task: bool) -> str:
+    task = f", ': ', {or_none('task_id')}" if names_task else ""
+    return f"concat('[{prefix}][', {or_none('dag_id')}, '] {happened}'{task})"
+
 
-    def subject(level, label, prefix, happened, names_task) -> Column:
-        parts = [F.lit(f"[{prefix}]["), or_none("dag_id"), F.lit(f"] {happened}")]
-        if names_task:
-            parts += [F.lit(": "), or_none("task_id")]
-        return F.concat(*parts)
+def route_alerts(events: DataFrame, notify_success: bool = False) -> DataFrame:
+    """Add ``level``, ``status_label``, ``subject`` and ``notify`` to each event.
 
-    known = F.col("event").isin(*ROUTES)
-    wanted = F.lit(notify_success) | (F.col("event") != "dag_success")
+    An unknown event has no level, label or subject and does not notify.
+    """
+    notify = {event: str(event != "dag_success" or notify_success) for event in ROUTES}
     return events.withColumns(
         {
-            "level": by_event(lambda level, *_: F.lit(level)),
-            "status_label": by_event(lambda level, label, *_: F.lit(label)),
-            "subject": by_event(subject),
-            "notify": F.coalesce(known & wanted, F.lit(False)),
+            "level": F.expr(by_event({e: f"'{r[0]}'" for e, r in ROUTES.items()})),
+            "status_label": F.expr(by_event({e: f"'{r[1]}'" for e, r in ROUTES.items()})),
+            "subject": F.expr(by_event({e: subject(*r[2:]) for e, r in ROUTES.items()})),
+            "notify": F.expr(f"coalesce({by_event(notify)}, false)"),
         }
     )
 
 
 def alert_body(routed: DataFrame, out: str = "body") -> DataFrame:
     """Add the alert text: one ``Label: value`` line per field, ``None`` when missing."""
-    lines = [F.concat(F.lit(f"{label}: "), or_none(c)) for label, c in BODY_LINES.items()]
-    return routed.withColumn(out, F.concat_ws("\n", *lines))
+    lines = [f"concat('{label}: ', {or_none(column)})" for label, column in BODY_LINES.items()]
+    return routed.withColumn(out, F.expr(f"concat_ws(char(10), {', '.join(lines)})"))

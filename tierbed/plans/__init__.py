@@ -5,6 +5,7 @@ from tierbed.plans.pipeline import (
     build_silver,
     check_silver,
     ingest,
+    open_silver,
     run_pipeline,
     silver_schema,
 )
@@ -19,6 +20,7 @@ __all__ = [
     "build_silver",
     "check_silver",
     "ingest",
+    "open_silver",
     "run_pipeline",
     "silver_schema",
 ]

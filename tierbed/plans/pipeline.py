@@ -10,7 +10,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -156,34 +155,37 @@ def build_silver(
     )
 
 
+def open_silver(
+    spark: SparkSession,
+    root: str,
+    schema: StructType | None = None,
+    partition_cols: Sequence[str] = SILVER_PARTITIONS,
+) -> DataFrame:
+    """The silver table. Its directories are listed once, when it is opened."""
+    return scan_table(spark, layer(root, "silver"), schema, partition_cols)
+
+
 def check_silver(
     spark: SparkSession,
     root: str,
     run_id: str,
     *,
+    silver: DataFrame | None = None,
     min_rows: int = 1,
     max_null_id_ratio: float = 0.0,
-    schema: StructType | None = None,
-    partition_cols: Sequence[str] = SILVER_PARTITIONS,
     id_col: str = "id",
     run_col: str = "ingestion_run_id",
     required: Sequence[str] = REQUIRED_COLUMNS,
 ) -> list[Row]:
     """Write the run's quality report, then raise if a critical check failed.
 
-    Columns come from the files, so that a missing one is seen; ``schema`` is only
-    used for a table without files. A table without a run column is reported
-    instead of failing on the run filter.
+    Unless ``silver`` is given, the columns are those the files have, so that a
+    missing one is seen. A table without a run column is reported as such instead
+    of failing on the run filter.
     """
-    # Only an id or run column that names directories has to keep its string type here.
-    typed = [c for c in (id_col, run_col) if c in partition_cols]
-    path = layer(root, "silver")
-    try:
-        silver = scan_table(spark, path, partition_cols=typed)
-    except AnalysisException as error:
-        if schema is None or error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
-            raise
-        silver = scan_table(spark, path, schema)
+    if silver is None:
+        # Only an id or run column that names directories has to be read as a string.
+        silver = open_silver(spark, root, partition_cols=(id_col, run_col))
     if run_col in silver.columns:
         silver = run_slice(silver, run_id, run_col)
     report = quality_report(silver, run_id, min_rows, max_null_id_ratio, id_col, run_col, required)
@@ -201,14 +203,15 @@ def build_gold(
     root: str,
     run_id: str,
     *,
+    silver: DataFrame | None = None,
     keys: Sequence[str] = GOLD_KEYS,
     id_col: str = "id",
     out: str = GOLD_COUNT,
-    schema: StructType | None = None,
     partition_cols: Sequence[str] = SILVER_PARTITIONS,
 ) -> str:
     """Count distinct entities of the run per group into ``gold/``; returns the path."""
-    silver = scan_table(spark, layer(root, "silver"), schema, partition_cols)
+    if silver is None:
+        silver = open_silver(spark, root, partition_cols=partition_cols)
     counts = entity_counts(run_slice(silver, run_id), keys, id_col, out)
     return write_run(stamp_run(counts, run_id), layer(root, "gold/entity_counts"), run_id)
 
@@ -228,7 +231,9 @@ def run_pipeline(
     raw_schema: str = PLACE_SCHEMA,
     rules: Sequence[FillRule] = PLACE_RULES,
     partition_cols: Sequence[str] = SILVER_PARTITIONS,
+    required: Sequence[str] = REQUIRED_COLUMNS,
     keys: Sequence[str] = GOLD_KEYS,
+    id_col: str = "id",
     out: str = GOLD_COUNT,
 ) -> DataFrame:
     """Ingest, guard, curate, check and aggregate one run; returns its gold table."""
@@ -246,17 +251,16 @@ def run_pipeline(
     build_silver(
         spark, root, run_id, raw_schema=raw_schema, rules=rules, partition_cols=partition_cols
     )
-    schema = silver_schema(spark, raw_schema, rules)
+    silver = open_silver(spark, root, silver_schema(spark, raw_schema, rules), partition_cols)
     check_silver(
         spark,
         root,
         run_id,
+        silver=silver,
         min_rows=min_rows,
         max_null_id_ratio=max_null_id_ratio,
-        schema=schema,
-        partition_cols=partition_cols,
-    )
-    gold = build_gold(
-        spark, root, run_id, keys=keys, out=out, schema=schema, partition_cols=partition_cols
+        id_col=id_col,
+        required=required,
     )
+    gold = build_gold(spark, root, run_id, silver=silver, keys=keys, id_col=id_col, out=out)
     return spark.read.parquet(gold)
