@@ -117,17 +117,19 @@ def with_pages(df: DataFrame, key: str) -> tuple[DataFrame, int, int]:
 
 
 def place_pages(spark: SparkSession, sf_dir: str) -> tuple[FilePages, int, int]:
+    """Page files of all customers, rows per page and number of pages."""
     paged, per_page, n_pages = with_pages(customers(spark, sf_dir), "c_custkey")
     store = scratch(spark, "place-pages")
-    write_page_files(paged.drop("c_custkey"), store, tasks=n_pages)
+    write_page_files(paged.drop("c_custkey"), store, rows=n_pages * per_page)
     return FilePages(store), per_page, n_pages
 
 
 def event_pages(spark: SparkSession, sf_dir: str) -> tuple[FilePages, int, int]:
+    """Page files of all events, rows per page and number of pages."""
     events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
     paged, per_page, n_pages = with_pages(events, "event_id")
     store = scratch(spark, "event-pages")
-    write_page_files(paged, store, tasks=n_pages)
+    write_page_files(paged, store, rows=n_pages * per_page)
     return FilePages(store), per_page, n_pages
 
 

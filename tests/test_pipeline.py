@@ -69,7 +69,7 @@ def test_raw_file_count(spark, root, monkeypatch):
     assert len(glob.glob(f"{root}/raw/run_id=R1/part-*")) == 3
     ingest(spark, pages, root, "R2", slices=5)
     assert len(glob.glob(f"{root}/raw/run_id=R2/part-*")) == 5
-    monkeypatch.setattr(pipeline, "MAX_SMALL_RUN_ROWS", 10)
+    monkeypatch.setattr(pipeline, "MAX_RESLICED_ROWS", 10)
     ingest(spark, pages, root, "R3")
     assert spark.read.json(run_path(f"{root}/raw", "R3")).distinct().count() == 1600
 

@@ -65,8 +65,8 @@ def test_static_and_dynamic_overwrite(spark, root, coded):
 
 def test_few_files_per_partition(spark, root):
     df = spark.range(0, 4000, 1, 8).withColumn("k", (F.col("id") % 20).cast("string"))
-    for tasks in (None, 2):
-        write_partitioned(df, root, ("k",), tasks=tasks)
+    for rows in (None, 4000, 4_000_000):
+        write_partitioned(df, root, ("k",), rows=rows)
         assert len(glob.glob(f"{root}/k=*/*.parquet")) == 20
         assert spark.read.parquet(root).count() == 4000
 
@@ -80,11 +80,12 @@ def test_hot_partition_value_is_split_over_tasks(spark, root):
     before = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
     try:
-        write_partitioned(df, root, ("k",))
+        for rows in (None, 1_000_000):
+            write_partitioned(df, root, ("k",), rows=rows)
+            assert len(glob.glob(f"{root}/k=hot/*.parquet")) >= 3
+            assert spark.read.parquet(root).distinct().count() == 200_000
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", before)
-    assert len(glob.glob(f"{root}/k=hot/*.parquet")) >= 3
-    assert spark.read.parquet(root).distinct().count() == 200_000
 
 
 def test_run_scoped_overwrite_keeps_other_runs(spark, root):

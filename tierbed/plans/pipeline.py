@@ -49,10 +49,9 @@ from tierbed.sources.tables import (
     write_run,
 )
 
-# Runs up to this size are laid out by count: raw data in exactly ``output_slices``
-# files, silver directories spread over the cores. Larger runs keep one raw file per
-# staged split, without a shuffle, and leave the silver write tasks to AQE.
-MAX_SMALL_RUN_ROWS = 1_000_000
+# Up to this many rows, raw data is written in exactly ``output_slices`` files. Larger
+# runs keep one file per staged split and are not shuffled for it.
+MAX_RESLICED_ROWS = 200_000
 
 
 def layer(root: str, name: str) -> str:
@@ -102,7 +101,7 @@ def ingest(
         raise RuntimeError(f"Ingest returned 0 rows, nothing is committed. run_id={run_id}")
     # The prefix is pages 1..n, so the distinct pages counted are its last page.
     kept = staged.filter(F.col("page").between(1, totals.pages_fetched))
-    if slices is None and totals.fetched_rows <= MAX_SMALL_RUN_ROWS:
+    if slices is None and totals.fetched_rows <= MAX_RESLICED_ROWS:
         slices = output_slices(totals.fetched_rows)
     write_raw_records(kept, raw, slices)
 
@@ -145,13 +144,12 @@ def build_silver(
     """Curate a run's raw lines into the silver table."""
     raw = scan_raw(spark, run_path(layer(root, "raw"), run_id), raw_schema)
     manifest = read_manifest(spark, root, run_id).first()
-    small = manifest is not None and manifest.fetched_rows <= MAX_SMALL_RUN_ROWS
     write_partitioned(
         curate(raw, run_id, rules),
         layer(root, "silver"),
         partition_cols,
         overwrite,
-        tasks=spark.sparkContext.defaultParallelism if small else None,
+        rows=manifest.fetched_rows if manifest else None,
     )
 
 

@@ -188,16 +188,16 @@ def read_pages(
 
 
 def write_page_files(
-    df: DataFrame, path: str, page: str = "page", tasks: int | None = None
+    df: DataFrame, path: str, page: str = "page", rows: int | None = None
 ) -> None:
     """Store ``df`` as the page files that ``FilePages`` reads; ``page`` names the page.
 
-    ``tasks`` fixes the number of write tasks, see ``gather_partitions``.
+    ``rows`` is the number of records if known, see ``gather_partitions``.
     """
     fields = F.struct(*[F.col(c) for c in df.columns if c != page])
     records = df.select(
         F.col(page).alias("page"),
         F.to_json(fields, {"ignoreNullFields": "false"}).alias("record"),
     )
-    gathered = gather_partitions(records, ("page",), tasks)
+    gathered = gather_partitions(records, ("page",), rows)
     gathered.write.mode("overwrite").partitionBy("page").text(path)

@@ -23,18 +23,32 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
+# A table up to this size is spread over the cores by partition value alone.
+SMALL_TABLE_ROWS = 200_000
+# Shuffle partitions asked for when the row count is known; AQE merges and splits them.
+ROWS_PER_SHUFFLE_PARTITION = 100_000
+MAX_SHUFFLE_PARTITIONS = 20_000
+
+
 def gather_partitions(
-    df: DataFrame, partition_cols: Sequence[str], tasks: int | None = None
+    df: DataFrame, partition_cols: Sequence[str], rows: int | None = None
 ) -> DataFrame:
     """Bring rows of a partition value together, so a directory gets few files.
 
-    By default AQE sizes the write tasks by bytes: it merges small values and
-    splits a value that holds much of the table over many tasks. A table known to
-    be small would become one task that opens every file in turn; ``tasks`` spreads
-    its directories over that many tasks instead. Do not set it for large tables.
+    AQE sizes the write tasks by bytes: it merges small values and splits a value
+    that holds much of the table over many tasks. ``rows``, the size of the table
+    if known, sets how finely values are spread before that. A small table would
+    become one task that opens every file in turn, so it is spread evenly instead.
     """
     columns = [F.col(c) for c in partition_cols]
-    return df.hint("rebalance", *columns) if tasks is None else df.repartition(tasks, *columns)
+    spark = df.sparkSession
+    if rows is None:
+        return df.hint("rebalance", *columns)
+    if rows <= SMALL_TABLE_ROWS:
+        return df.repartition(spark.sparkContext.defaultParallelism, *columns)
+    wanted = min(MAX_SHUFFLE_PARTITIONS, rows // ROWS_PER_SHUFFLE_PARTITION)
+    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return df.hint("rebalance", partitions, *columns)
 
 
 def write_partitioned(
@@ -43,15 +57,15 @@ def write_partitioned(
     partition_cols: Sequence[str],
     overwrite: str = "static",
     max_records_per_file: int = 0,
-    tasks: int | None = None,
+    rows: int | None = None,
 ) -> None:
     """Overwrite a Parquet table partitioned by ``partition_cols``.
 
     ``static`` replaces the whole table, ``dynamic`` only the partitions in ``df``.
-    ``tasks`` is passed on to ``gather_partitions``.
+    ``rows`` is passed on to ``gather_partitions``.
     """
     (
-        gather_partitions(df, partition_cols, tasks)
+        gather_partitions(df, partition_cols, rows)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
         .option("maxRecordsPerFile", max_records_per_file)
