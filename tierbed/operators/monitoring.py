@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# How an event is marked in a log line, and its fields.
 EVENT_PATTERN = r"\[monitoring\] (\{.*\})\s*$"
 EVENT_SCHEMA = (
     "dag_id string, task_id string, run_id string, try_number int, state string, owner string, "

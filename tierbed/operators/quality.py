@@ -18,7 +18,31 @@ REQUIRED_COLUMNS = (
 )
 CRITICAL = "critical"
 WARNING = "warning"
-DUPLICATE_DETAILS = "Warning-only check to monitor duplicate upstream IDs."
+
+# The rules in report order, each with its severity, threshold text, and
+# details text with the metric that follows it.
+RULES = {
+    "required_columns_present": (CRITICAL, "missing_columns == 0", "missing=", "missing"),
+    "minimum_rows": (CRITICAL, "row_count >= {min_rows}", "row_count=", "row_count"),
+    "null_id_ratio": (
+        CRITICAL,
+        "null_id_ratio <= {max_null_id_ratio}",
+        "null_id_count=",
+        "null_ids",
+    ),
+    "duplicate_id_groups": (
+        WARNING,
+        "duplicate_id_groups == 0",
+        "Warning-only check to monitor duplicate upstream IDs.",
+        "''",
+    ),
+    "ingestion_run_id_consistency": (
+        CRITICAL,
+        "rows_with_wrong_run_id == 0",
+        "expected_run_id=",
+        "run_id",
+    ),
+}
 
 
 class QualityGateError(RuntimeError):
@@ -93,16 +117,6 @@ def measure(df: DataFrame, run_id: str, id_col: str | None, run_col: str | None)
     )
 
 
-def check(
-    ord: int, name: str, severity: str, passed: str, metric: str, threshold: str, details: str
-) -> str:
-    """SQL struct of one check; ``details`` and the conditions are SQL expressions."""
-    return (
-        f"struct({ord} AS ord, '{name}' AS name, {passed} AS passed, '{severity}' AS severity, "
-        f"CAST({metric} AS double) AS metric, '{threshold}' AS threshold, {details} AS details)"
-    )
-
-
 def quality_report(
     df: DataFrame,
     run_id: str,
@@ -121,63 +135,36 @@ def quality_report(
     has_id = id_col in df.columns
     has_run = run_col in df.columns
 
-    checks = [
-        check(
-            1,
-            "required_columns_present",
-            CRITICAL,
-            f"{len(missing)} = 0",
-            f"{len(missing)}",
-            "missing_columns == 0",
-            "concat('missing=', missing)",
+    # Per rule: can it be measured, its metric, and what the metric must satisfy.
+    tests = {
+        "required_columns_present": (True, "size(missing_columns)", "= 0"),
+        "minimum_rows": (True, "row_count", f">= {min_rows}"),
+        "null_id_ratio": (
+            has_id,
+            "null_ids / nullif(row_count, 0)",
+            f"<= CAST('{max_null_id_ratio}' AS double)",
         ),
-        check(
-            2,
-            "minimum_rows",
-            CRITICAL,
-            f"row_count >= {min_rows}",
-            "row_count",
-            f"row_count >= {min_rows}",
-            "concat('row_count=', row_count)",
-        ),
-    ]
-    if has_id:
-        ratio = "null_ids / nullif(row_count, 0)"
-        checks += [
-            check(
-                3,
-                "null_id_ratio",
-                CRITICAL,
-                f"{ratio} <= CAST('{max_null_id_ratio}' AS double)",
-                ratio,
-                f"null_id_ratio <= {max_null_id_ratio}",
-                "concat('null_id_count=', null_ids)",
-            ),
-            check(
-                4,
-                "duplicate_id_groups",
-                WARNING,
-                "repeated_ids = 0",
-                "repeated_ids",
-                "duplicate_id_groups == 0",
-                f"'{DUPLICATE_DETAILS}'",
-            ),
-        ]
-    if has_run:
-        checks.append(
-            check(
-                5,
-                "ingestion_run_id_consistency",
-                CRITICAL,
-                "wrong_run_rows = 0",
-                "wrong_run_rows",
-                "rows_with_wrong_run_id == 0",
-                "concat('expected_run_id=', run_id)",
+        "duplicate_id_groups": (has_id, "repeated_ids", "= 0"),
+        "ingestion_run_id_consistency": (has_run, "wrong_run_rows", "= 0"),
+    }
+    limits = {"min_rows": min_rows, "max_null_id_ratio": max_null_id_ratio}
+    checks = []
+    for ord, (name, (measurable, metric, condition)) in enumerate(tests.items(), start=1):
+        severity, threshold, details, value = RULES[name]
+        if measurable:
+            checks.append(
+                f"struct({ord} AS ord, '{name}' AS name, {metric} {condition} AS passed, "
+                f"'{severity}' AS severity, CAST({metric} AS double) AS metric, "
+                f"'{threshold.format(**limits)}' AS threshold, "
+                f"concat('{details}', {value}) AS details)"
             )
-        )
 
-    # Caller-given texts enter as literals, never as SQL.
-    literals = (F.lit(run_id).alias("run_id"), F.lit(str(missing)).alias("missing"))
+    # Texts from the caller enter as literals, never as SQL.
+    literals = (
+        F.lit(run_id).alias("run_id"),
+        F.lit(str(missing)).alias("missing"),
+        F.lit(missing).cast("array<string>").alias("missing_columns"),
+    )
     reported = f"filter(array({', '.join(checks)}), c -> row_count > 0 OR c.ord <= 2)"
     failed = f"exists(checks, c -> NOT c.passed AND c.severity = '{CRITICAL}')"
     return (
@@ -222,7 +209,8 @@ def write_report(report: DataFrame, path: str) -> None:
 
 def quality_gate(checks: Sequence[Row]) -> None:
     """Raise when a collected report (at most five rows) has a failed critical check."""
-    failed = [c.name for c in sorted(checks, key=lambda c: c.ord) if not c.passed and c.severity == CRITICAL]
+    ordered = sorted(checks, key=lambda c: c.ord)
+    failed = [c.name for c in ordered if not c.passed and c.severity == CRITICAL]
     if failed:
         raise QualityGateError(
             f"Data quality checks failed. run_id={checks[0].run_id} failed_critical_checks={failed}"

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+# The manifest's fields.
 MANIFEST_SCHEMA = StructType(
     [
         StructField("run_id", StringType(), True),
