@@ -22,6 +22,7 @@ from tierbed.operators import (  # noqa: E402
     curate,
     duplicate_groups,
     entity_counts,
+    format_monitoring,
     mismatch_count,
     null_ratio,
     parse_monitoring,
@@ -136,30 +137,29 @@ def event_pages(spark: SparkSession, sf_dir: str) -> tuple[FilePages, int, int]:
 def monitoring_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log with one monitoring line and one ordinary line per event."""
     kind = F.col("event_type")
-    payload = F.struct(
-        run_id_text("ts").alias("captured_at_utc"),
-        F.lit("pipe").alias("dag_id"),
+    event = (
         F.when(kind == "error", "task_failure")
         .when(kind == "click", "task_retry")
         .when(kind == "signup", "dag_failure")
         .otherwise("dag_success")
-        .alias("event"),
-        F.when(kind == "error", F.concat(F.lit("falló {"), "event_id", F.lit('}: "x"')))
-        .alias("exception"),
-        F.concat(F.lit("logs/"), "event_id").alias("log_url"),
-        F.date_format("ts", "yyyy-MM-dd").alias("logical_date"),
-        F.lit("data").alias("owner"),
-        F.col("user_id").cast("string").alias("run_id"),
-        F.when(kind != "view", kind).alias("state"),
+    )
+    failure = F.concat(F.lit("falló {"), "event_id", F.lit('}: "x"'))
+    records = table(spark, sf_dir, "events").select(
+        F.lit("pipe").alias("dag_id"),
         F.concat(F.lit("t"), F.col("user_id") % 5).alias("task_id"),
+        F.col("user_id").cast("string").alias("run_id"),
         (F.col("event_id") % 3 + 1).cast("int").alias("try_number"),
+        F.when(kind != "view", kind).alias("state"),
+        F.lit("data").alias("owner"),
+        F.concat(F.lit("logs/"), "event_id").alias("log_url"),
+        F.date_format("ts", "yyyy-MM-dd").alias("logical_date"),
+        F.when(kind == "error", failure).alias("exception"),
+        run_id_text("ts").alias("captured_at_utc"),
+        event.alias("event"),
     )
-    event_line = F.concat(
-        F.lit("INFO [monitoring] "), F.to_json(payload, {"ignoreNullFields": "false"})
-    )
-    other_line = F.concat(F.lit("INFO task done {"), "event_id", F.lit("}"))
-    lines = F.explode(F.array(event_line, other_line)).alias("value")
-    return table(spark, sf_dir, "events").select(lines)
+    other = F.concat(F.lit("task done, "), F.length("value"), F.lit(" characters {}"))
+    lines = F.array(F.concat(F.lit("INFO "), "value"), other)
+    return format_monitoring(records).select(F.explode(lines).alias("value"))
 
 
 # --- queries ------------------------------------------------------------------------------

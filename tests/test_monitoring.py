@@ -2,7 +2,13 @@ import json
 
 import pytest
 
-from tierbed.operators import alert_body, parse_monitoring, read_monitoring_log, route_alerts
+from tierbed.operators import (
+    alert_body,
+    format_monitoring,
+    parse_monitoring,
+    read_monitoring_log,
+    route_alerts,
+)
 
 EVENT = {
     "dag_id": "daily", "task_id": "dq_silver", "run_id": "R1", "try_number": 2, "state": "failed",
@@ -34,6 +40,16 @@ def test_parse_round_trip_and_noise(spark):
     assert got == [EVENT, EVENT | {"exception": None, "try_number": None}]
 
 
+def test_format_is_sorted_and_parses_back(spark):
+    df = events(spark, line(EVENT), line(EVENT, exception=None))
+    lines = format_monitoring(df)
+    text = lines.first().value
+    assert text.startswith("[monitoring] {")
+    keys = list(json.loads(text.removeprefix("[monitoring] ")))
+    assert keys == sorted(EVENT) and "é" in text
+    assert parse_monitoring(lines).collect() == df.collect()
+
+
 def test_read_from_files(spark, tmp_path):
     (tmp_path / "a.log").write_text(line(EVENT) + "\nother\n", encoding="utf-8")
     (tmp_path / "b.log").write_text(line(EVENT, event="dag_success") + "\n", encoding="utf-8")

@@ -4,6 +4,7 @@ from tierbed.operators.aggregate import entity_counts
 from tierbed.operators.curate import FillRule, curate, stamp_run
 from tierbed.operators.monitoring import (
     alert_body,
+    format_monitoring,
     parse_monitoring,
     read_monitoring_log,
     route_alerts,
@@ -42,6 +43,7 @@ __all__ = [
     "duplicate_groups",
     "entity_counts",
     "fetch_totals",
+    "format_monitoring",
     "mismatch_count",
     "null_ratio",
     "parse_monitoring",

@@ -34,6 +34,13 @@ BODY_LINES = {
 }
 
 
+def format_monitoring(events: DataFrame, column: str = "value") -> DataFrame:
+    """One log line per event: its fields as JSON with sorted keys and NULLs kept."""
+    fields = F.struct(*sorted(events.columns))
+    payload = F.to_json(fields, {"ignoreNullFields": "false"})
+    return events.select(F.concat(F.lit("[monitoring] "), payload).alias(column))
+
+
 def parse_monitoring(lines: DataFrame, column: str = "value") -> DataFrame:
     """Events found in log lines; lines that carry no event are dropped."""
     payload = F.regexp_extract(F.col(column), EVENT_PATTERN, 1)

@@ -57,17 +57,17 @@ class PageBackend(Protocol):
 class FilePages:
     """Pages stored as JSON-lines files under ``<path>/page=<n>/``.
 
-    ``path`` must be readable from every executor: a shared mount, or a URI of a
-    filesystem that pyarrow knows.
+    ``path`` must be readable from every executor: an absolute path on a shared
+    mount, or a URI of a filesystem that pyarrow knows.
     """
 
     def __init__(self, path: str):
         self.path = path
 
     def records(self, page: int, per_page: int) -> Iterator[str]:
-        scheme, rest = self.path.split(":", 1) if ":" in self.path else ("file", self.path)
-        if scheme == "file":
-            fs, root = pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+        uri = urllib.parse.urlsplit(self.path)
+        if uri.scheme in ("", "file"):
+            fs, root = pafs.LocalFileSystem(), uri.path
         else:
             fs, root = pafs.FileSystem.from_uri(self.path.replace("s3a:", "s3:", 1))
         listing = pafs.FileSelector(f"{root.rstrip('/')}/page={page}", allow_not_found=True)

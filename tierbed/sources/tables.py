@@ -25,9 +25,9 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 # A table up to this size is spread over the cores by partition value alone.
 SMALL_TABLE_ROWS = 200_000
-# Shuffle partitions asked for when the row count is known; AQE merges and splits them.
-ROWS_PER_SHUFFLE_PARTITION = 100_000
-MAX_SHUFFLE_PARTITIONS = 20_000
+# Write tasks of a larger table: one per so many rows, within bounds.
+ROWS_PER_WRITE_TASK = 1_000_000
+MAX_WRITE_TASKS = 20_000
 
 
 def gather_partitions(
@@ -35,20 +35,27 @@ def gather_partitions(
 ) -> DataFrame:
     """Bring rows of a partition value together, so a directory gets few files.
 
-    AQE sizes the write tasks by bytes: it merges small values and splits a value
-    that holds much of the table over many tasks. ``rows``, the size of the table
-    if known, sets how finely values are spread before that. A small table would
-    become one task that opens every file in turn, so it is spread evenly instead.
+    With the table's size in ``rows``, a large table is split into even ranges of
+    (partition value, input split): small values share a task, a value that holds
+    much of the table is cut into several, and no other value is cut up with it.
+    The price is one more pass over the input to sample it. A small table is hashed
+    over the cores, since opening its files takes longer than writing them. Without
+    ``rows``, AQE merges and splits the shuffle partitions by their bytes.
     """
     columns = [F.col(c) for c in partition_cols]
-    spark = df.sparkSession
+    cores = df.sparkSession.sparkContext.defaultParallelism
     if rows is None:
         return df.hint("rebalance", *columns)
     if rows <= SMALL_TABLE_ROWS:
-        return df.repartition(spark.sparkContext.defaultParallelism, *columns)
-    wanted = min(MAX_SHUFFLE_PARTITIONS, rows // ROWS_PER_SHUFFLE_PARTITION)
-    partitions = max(wanted, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return df.hint("rebalance", partitions, *columns)
+        return df.repartition(cores, *columns)
+    tasks = min(MAX_WRITE_TASKS, max(cores, rows // ROWS_PER_WRITE_TASK))
+    # The split number is the same when a lost task runs again, unlike a random salt.
+    split = "_input_split"
+    return (
+        df.withColumn(split, F.spark_partition_id())
+        .repartitionByRange(tasks, *columns, F.col(split))
+        .drop(split)
+    )
 
 
 def write_partitioned(
