@@ -23,9 +23,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-# A table up to this size is spread over the cores by partition value alone.
-SMALL_TABLE_ROWS = 200_000
-# Write tasks of a larger table: one per so many rows, within bounds.
+# Rows that one write task may take, and the most write tasks planned.
 ROWS_PER_WRITE_TASK = 1_000_000
 MAX_WRITE_TASKS = 20_000
 
@@ -38,15 +36,15 @@ def gather_partitions(
     With the table's size in ``rows``, a large table is split into even ranges of
     (partition value, input split): small values share a task, a value that holds
     much of the table is cut into several, and no other value is cut up with it.
-    The price is one more pass over the input to sample it. A small table is hashed
-    over the cores, since opening its files takes longer than writing them. Without
-    ``rows``, AQE merges and splits the shuffle partitions by their bytes.
+    The price is one more pass over the input to sample it. A table that one task
+    could write is hashed over the cores, since opening its files takes longest.
+    Without ``rows``, AQE merges and splits the shuffle partitions by their bytes.
     """
     columns = [F.col(c) for c in partition_cols]
     cores = df.sparkSession.sparkContext.defaultParallelism
     if rows is None:
         return df.hint("rebalance", *columns)
-    if rows <= SMALL_TABLE_ROWS:
+    if rows <= ROWS_PER_WRITE_TASK:
         return df.repartition(cores, *columns)
     tasks = min(MAX_WRITE_TASKS, max(cores, rows // ROWS_PER_WRITE_TASK))
     # The split number is the same when a lost task runs again, unlike a random salt.
