@@ -112,7 +112,7 @@ def lines_with_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_pages(df: DataFrame, key: str) -> tuple[DataFrame, int, int]:
     """Add ``page`` by key; also rows per page and number of pages."""
-    top = df.agg(F.max(key)).first()[0]
+    top = df.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
     per_page = max(PAGE_ROWS, top // MAX_STORED_PAGES + 1)
     return df.withColumn("page", F.expr(f"{key} div {per_page} + 1")), per_page, top // per_page + 1
 

@@ -1,5 +1,5 @@
-import json
 import glob
+import json
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -8,7 +8,6 @@ from hypothesis import strategies as st
 from tierbed.operators import (
     QualityGateError,
     duplicate_groups,
-    entity_counts,
     mismatch_count,
     null_ratio,
     quality_gate,
@@ -160,16 +159,3 @@ def test_report_file(spark, root):
     assert set(data["checks"][0]) == {
         "name", "passed", "severity", "metric", "threshold", "details"
     }
-
-
-def test_entity_counts(spark):
-    schema = "id string, country string, brewery_type string"
-    data = [("1", "BR", "micro"), ("2", "BR", "micro"), ("2", "BR", "micro"), ("3", "BR", "brewpub")]
-    data += [(None, "US", "micro"), (None, None, "nano"), ("9", None, "nano")]
-    counts = entity_counts(spark.createDataFrame(data, schema), ("country", "brewery_type"), out="n")
-    assert [tuple(r) for r in counts.collect()] == [
-        ("BR", "micro", 2),
-        (None, "nano", 1),
-        ("BR", "brewpub", 1),
-        ("US", "micro", 0),
-    ]

@@ -85,7 +85,7 @@ def ingest(
     raw = run_path(layer(root, "raw"), run_id)
     staging = run_path(layer(root, "staging"), run_id)
     committed = not read_manifest(spark, root, run_id).isEmpty()
-    action = rerun_action(committed, path_exists(spark, raw), write_mode, raw)
+    action = rerun_action(committed, committed or path_exists(spark, raw), write_mode, raw)
     if action == "skip":
         return "skipped"
 
