@@ -43,6 +43,14 @@ def test_query(spark, duck, name):
     assert ordered(df.collect(), df.columns) == ordered(result.fetchall(), names)
 
 
+def test_scratch_is_in_the_shared_folder(spark):
+    """``spark.checkpoint.dir`` is fixed for a session, so this reads what it has."""
+    first, second = entry.scratch(spark, "x"), entry.scratch(spark, "x")
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    assert first != second and "tierbed-x-" in first
+    assert shared is None or first.startswith(shared)
+
+
 def test_entry(spark):
     assert entry.entry(spark).columns == [
         "country", "state_province", "city", "brewery_type", "brewery_count", "ingestion_run_id"

@@ -38,15 +38,20 @@ def gather_partitions(
     much of the table is cut into several, and no other value is cut up with it.
     The price is one more pass over the input to sample it. A table that one task
     could write is hashed over the cores, since opening its files takes longest.
-    Without ``rows``, AQE merges and splits the shuffle partitions by their bytes.
+    Without ``rows``, AQE merges and splits the shuffle partitions by their bytes;
+    where AQE is off, ranges over ``spark.sql.shuffle.partitions`` tasks are used.
     """
     columns = [F.col(c) for c in partition_cols]
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if rows is None:
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if rows is None and spark.conf.get("spark.sql.adaptive.enabled") == "true":
         return df.hint("rebalance", *columns)
-    if rows <= ROWS_PER_WRITE_TASK:
+    if rows is None:
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    elif rows <= ROWS_PER_WRITE_TASK:
         return df.repartition(cores, *columns)
-    tasks = min(MAX_WRITE_TASKS, max(cores, rows // ROWS_PER_WRITE_TASK))
+    else:
+        tasks = min(MAX_WRITE_TASKS, max(cores, rows // ROWS_PER_WRITE_TASK))
     # The split number is the same when a lost task runs again, unlike a random salt.
     split = "_input_split"
     return (
