@@ -48,6 +48,14 @@ from tierbed.sources import (  # noqa: E402
     write_run,
 )
 
+try:  # the one place that allows for the llm folders to be absent
+    import corpus_pipeline  # noqa: E402
+    from tierbed.llm import queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("tierbed.llm", "corpus_pipeline"):
+        raise
+    llm = corpus_pipeline = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 # Rows per page while the table is small; page stores never get more pages than this.
 PAGE_ROWS = 200
@@ -387,6 +395,10 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return table_queries() | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
+
+
+def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "silver_curate": silver_curate,
         "gold_aggregate": gold_aggregate,
@@ -516,6 +528,10 @@ FROM events"""
 
 
 def oracle_sql() -> dict[str, str]:
+    return table_sql() | (llm.oracle_sql() if llm else {})
+
+
+def table_sql() -> dict[str, str]:
     silver = silver_sql(CUSTOMERS)
     gold = gold_sql(silver)
     report = report_sql(silver, "id")

@@ -31,13 +31,13 @@ def ordered(rows, names):
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.table_queries()) == set(entry.table_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.table_queries()))
 def test_query(spark, duck, name):
     df = entry.queries()[name](spark, SF)
-    result = duck.execute(entry.oracle_sql()[name])
+    result = duck.execute(entry.table_sql()[name])
     names = [d[0] for d in result.description]
     assert sorted(df.columns) == sorted(names)
     assert ordered(df.collect(), df.columns) == ordered(result.fetchall(), names)
