@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierbed.llm.chosen_path import one_of_each_class
 from tierbed.llm.curve_packing import pack_along_curve
 from tierbed.llm.fair_mixing import mixed_documents
+from tierbed.llm.line_dedup import dedup_documents
 from tierbed.llm.quality_rules import kept_documents
 from tierbed.llm.storage import scratch
 
@@ -15,6 +17,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return kept_documents(docs)
 
 
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops repeated lines from the texts."""
+    return dedup_documents(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each class of near copies."""
+    return one_of_each_class(docs)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats or leaves out documents so that the sources come near their targets."""
     return mixed_documents(docs)
@@ -27,10 +39,15 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("chosen_path", near_copies),
     ("fair_mixing", mix),
     ("curve_packing", pack),
 ]
 
+# Shingle classes, Hilbert order and token ids are beyond SQL; tests/llm has a brute-force version.
+ORACLE_SQL = None
+
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each result is written to the shared folder and reread."""
@@ -40,6 +57,3 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
-
-
-ORACLE_SQL = None

@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tierbed.llm.chosen_path import ngram_join
 from tierbed.llm.curve_packing import pack_along_curve
 from tierbed.llm.fair_mixing import fair_mix
+from tierbed.llm.line_dedup import dedup_lines
 from tierbed.llm.quality_rules import quality_rules
 
 
@@ -19,6 +22,16 @@ def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_along_curve(table(spark, sf_dir, "documents"))
 
 
+def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join(table(spark, sf_dir, "documents")).drop("row", "class")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents")).select(
+        F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("removed_words", "key")
 
@@ -30,6 +43,8 @@ def op9_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_curve_packing": op2_curve_packing,
+        "op3_chosen_path": op3_chosen_path,
+        "op6_line_dedup": op6_line_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op9_fair_mixing": op9_fair_mixing,
     }
