@@ -7,11 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierbed.llm.arc import convert_pages
 from tierbed.llm.chosen_path import ngram_join
 from tierbed.llm.curve_packing import pack_along_curve
 from tierbed.llm.fair_mixing import fair_mix
 from tierbed.llm.line_dedup import dedup_lines
 from tierbed.llm.quality_rules import quality_rules
+from tierbed.llm.storage import scratch
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +42,13 @@ def op9_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix(table(spark, sf_dir, "documents")).drop("copies", "shuffle")
 
 
+def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = convert_pages(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
+    return records.filter(F.col("type").isin("response", "revisit")).select(
+        "page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_curve_packing": op2_curve_packing,
@@ -47,6 +56,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op6_line_dedup": op6_line_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op9_fair_mixing": op9_fair_mixing,
+        "op10_arc_to_warc": op10_arc_to_warc,
     }
 
 
