@@ -14,12 +14,18 @@ from tierbed.llm.fair_mixing import fair_mix
 from tierbed.llm.line_dedup import dedup_lines
 from tierbed.llm.quality_rules import quality_rules
 from tierbed.llm.storage import scratch
+from tierbed.llm.suffix_tree import suffix_tree_scores
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 7
+    return suffix_tree_scores(table(spark, sf_dir, "documents"), fold != 2)
+
+
 def op2_curve_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_along_curve(table(spark, sf_dir, "documents"))
 
@@ -51,6 +57,7 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_suffix_tree": op1_suffix_tree,
         "op2_curve_packing": op2_curve_packing,
         "op3_chosen_path": op3_chosen_path,
         "op6_line_dedup": op6_line_dedup,

@@ -133,43 +133,48 @@ class HashIndex:
             found[open_] = self.slots[at[open_]]
             tried = found[open_]
             open_ = open_[(tried >= 0) & (self.keys[tried] != wanted[open_])]
+        found[open_] = -1
         return found
 
 
-def distinct_counts(keys: np.ndarray, counts: np.ndarray | None = None):
-    """Distinct keys and their counts."""
-    if counts is None:
-        return np.unique(keys, return_counts=True)
-    order = np.argsort(keys, kind="stable")
-    keys, counts = keys[order], counts[order]
-    first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
-
-
 class Tally:
-    """Counts of keys over many blocks; folds when it has grown, so memory stays bounded."""
+    """Counts of keys over many blocks, with an array of values for each key; it folds when it has
+    grown, so memory stays bounded."""
 
     def __init__(self, limit: int = 1 << 21) -> None:
-        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
         self.size, self.limit = 0, limit
 
-    def add(self, keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """Count ``keys``; gives counts out whenever folding no longer frees enough."""
-        part = distinct_counts(keys)
-        self.parts.append(part)
-        self.size += len(part[0])
+    def add(self, keys: np.ndarray, *values: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """Count ``keys``; gives ``(keys, counts, *values)`` out when folding frees too little."""
+        self._keep(keys, None, values)
         if self.size > self.limit:
-            folded = self._fold()
+            folded = self.rest()
             if len(folded[0]) > self.limit // 2:
                 yield folded
             else:
                 self.parts, self.size = [folded], len(folded[0])
 
-    def _fold(self) -> tuple[np.ndarray, np.ndarray]:
-        parts, self.parts, self.size = self.parts, [], 0
-        if not parts:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return distinct_counts(*(np.concatenate(x) for x in zip(*parts, strict=True)))
+    def _keep(self, keys: np.ndarray, counts: np.ndarray | None, values: tuple) -> None:
+        if values or counts is not None:
+            order = np.argsort(keys)
+            keys = keys[order]
+            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))[: len(keys)]
+            if counts is None:
+                totals = np.diff(np.append(first, len(keys)))
+            else:
+                totals = np.add.reduceat(counts[order], first) if len(first) else counts
+            part = (keys[first], totals, *(v[order[first]] for v in values))
+        else:
+            part = np.unique(keys, return_counts=True)
+        self.parts.append(part)
+        self.size += len(part[0])
 
-    def rest(self) -> tuple[np.ndarray, np.ndarray]:
-        return self._fold()
+    def rest(self) -> tuple[np.ndarray, ...]:
+        """Everything counted so far, which is then forgotten."""
+        parts, self.parts, self.size = self.parts, [], 0
+        if len(parts) > 1:
+            keys, counts, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
+            self._keep(keys, counts, tuple(values))
+            parts, self.parts, self.size = self.parts, [], 0
+        return parts[0] if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
