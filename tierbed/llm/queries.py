@@ -13,7 +13,8 @@ from tierbed.llm.curve_packing import pack_along_curve
 from tierbed.llm.fair_mixing import fair_mix
 from tierbed.llm.line_dedup import dedup_lines
 from tierbed.llm.quality_rules import quality_rules
-from tierbed.llm.storage import scratch
+from tierbed.llm.simhash import as_hex, fingerprints, likeness, neighbours
+from tierbed.llm.storage import saved, scratch
 from tierbed.llm.suffix_tree import suffix_tree_scores
 
 
@@ -34,6 +35,23 @@ def op3_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(table(spark, sf_dir, "documents")).drop("row", "class")
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``n_near``: other rows within Hamming radius 3, for every row whose id 100 divides."""
+    prints = saved(fingerprints(table(spark, sf_dir, "documents")), "fingerprints")
+    near = neighbours(prints, prints.filter("doc_id % 100 = 0")).withColumnRenamed("fp", "found")
+    asked = (F.col("fp") == F.col("found")) & (F.col("doc_id") % 100 == 0)
+    return prints.join(near, asked, "left").select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        as_hex("fp").alias("fingerprint"),
+        as_hex("edited_fp").alias("edited_fingerprint"),
+        likeness("fp", "edited_fp").alias("near_edited"),
+        likeness("fp", "next_fp").alias("near_next"),
+        (F.col("near") - 1).alias("n_near"),
+    )
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
@@ -60,6 +78,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_suffix_tree": op1_suffix_tree,
         "op2_curve_packing": op2_curve_packing,
         "op3_chosen_path": op3_chosen_path,
+        "op4_simhash": op4_simhash,
         "op6_line_dedup": op6_line_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op9_fair_mixing": op9_fair_mixing,
