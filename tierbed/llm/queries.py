@@ -13,6 +13,7 @@ from tierbed.llm.curve_packing import pack_along_curve
 from tierbed.llm.fair_mixing import fair_mix
 from tierbed.llm.line_dedup import dedup_lines
 from tierbed.llm.quality_rules import quality_rules
+from tierbed.llm.secret_scan import joined_spans, scan_secrets
 from tierbed.llm.simhash import as_hex, fingerprints, likeness, neighbours
 from tierbed.llm.storage import saved, scratch
 from tierbed.llm.suffix_tree import suffix_tree_scores
@@ -52,6 +53,18 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = [F.expr(f"cast(size(filter(spans, x -> x.kind = {i})) as bigint)") for i in range(3)]
+    return scan_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        counts[0].alias("n_assign"),
+        counts[1].alias("n_access"),
+        counts[2].alias("n_hex"),
+        F.sha2(joined_spans("spans", 3), 256).alias("base_sha256"),
+        joined_spans("spans", 4).alias("spans"),
+    )
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents")).select(
         F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
@@ -79,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_curve_packing": op2_curve_packing,
         "op3_chosen_path": op3_chosen_path,
         "op4_simhash": op4_simhash,
+        "op5_secret_scan": op5_secret_scan,
         "op6_line_dedup": op6_line_dedup,
         "op7_quality_rules": op7_quality_rules,
         "op9_fair_mixing": op9_fair_mixing,
