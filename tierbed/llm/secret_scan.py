@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierbed.llm.storage import saved
+
 # Fixed patterns; the second group of the first is the assigned value.
 ASSIGN = (
     r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -34,7 +36,7 @@ MOST_BIN = 400
 # Ordinary text: chance that two characters are equal, that the class changes from one character
 # to the next, and the serial correlation of digits.
 TEXT_EQUAL = 0.06
-TEXT_CHANGE = 0.1
+TEXT_CHANGE = 0.2
 TEXT_CORRELATION = 0.8
 
 
@@ -52,10 +54,12 @@ def _places(text: str, pattern: str, kind: int, value: int) -> Column:
     )
 
 
-def _log_tail(z: Column) -> Column:
-    """ln of the standard normal distribution function, by a logistic approximation."""
-    y = -(z * 1.5976 + z * z * z * 0.07056)
-    return -F.when(y > 30, y).otherwise(F.log1p(F.exp(F.least(y, F.lit(30.0)))))
+def _with_log_tails(frame: DataFrame, names: list[str]) -> DataFrame:
+    """Turns standard normal values into ln of the distribution function, by a logistic
+    approximation. Each step is a projection of its own, so no expression is written out twice."""
+    cubic = {n: F.col(n) * 1.5976 + F.col(n) * F.col(n) * F.col(n) * 0.07056 for n in names}
+    tail = {n: F.when(F.col(n) < -30, F.col(n)).otherwise(-F.log1p(F.exp(-F.greatest(F.col(n), F.lit(-30.0))))) for n in names}
+    return frame.withColumns(cubic).withColumns(tail)
 
 
 def encoding(value: str) -> Column:
@@ -73,7 +77,9 @@ def encoding(value: str) -> Column:
 def with_p_values(found: DataFrame) -> DataFrame:
     """Adds ``encoding`` and ``log_p`` to rows with a candidate in ``part``.
 
-    Decimal runs get no p-value below 1: numbers of any sort look random.
+    The tests leave signs out, which also join ordinary words, and do not count the change from a
+    capital to a small letter. Decimal runs get no p-value below 1: numbers of any sort look
+    random.
     """
     sizes = {"hex": 16, "base32": 32, "base36": 36, "base64": 64}
     k = F.lit(10)
@@ -82,11 +88,11 @@ def with_p_values(found: DataFrame) -> DataFrame:
     chars = F.expr("transform(sequence(1, n), i -> substring(part, i, 1))")
     classes = F.expr(
         "transform(chars, c -> case when c between 'a' and 'z' then 1 when c between 'A' and 'Z' then 2"
-        " when c between '0' and '9' then 3 else 4 end)"
+        " else 3 end)"
     )
     squares = F.expr("aggregate(chars, 0L, (a, c) -> a + n - length(replace(part, c, '')))")
     changes = F.expr(
-        "aggregate(zip_with(classes, slice(classes, 2, n), (a, b) -> if(a != b, 1, 0)), 0,"
+        "aggregate(zip_with(classes, slice(classes, 2, n), (a, b) -> if(a != b and not (a = 2 and b = 1), 1, 0)), 0,"
         " (a, x) -> a + coalesce(x, 0))"
     )
     digits = F.expr("aggregate(classes, 0, (a, c) -> a + if(c = 3, 1, 0))")
@@ -94,8 +100,10 @@ def with_p_values(found: DataFrame) -> DataFrame:
         "aggregate(zip_with(classes, slice(classes, 2, n), (a, b) -> if(a = 3 and b = 3, 1, 0)), 0,"
         " (a, x) -> a + coalesce(x, 0))"
     )
+    plain = F.regexp_replace("part", "[+/_-]", "")
     step = (
-        found.withColumns({"encoding": encoding("part"), "n": F.length("part")})
+        found.withColumns({"encoding": encoding("part"), "part": plain})
+        .withColumn("n", F.length("part"))
         .withColumn("chars", chars)
         .withColumns({"classes": classes, "squares": squares, "k": k})
         .withColumns({"changes": changes, "digits": digits, "together": together})
@@ -107,14 +115,15 @@ def with_p_values(found: DataFrame) -> DataFrame:
     z_chi = (chi - expected) / F.sqrt(2 * (F.col("k") - 1) + 4 * far)
     z_runs = -(F.col("changes") - (n - 1) * TEXT_CHANGE) / F.sqrt((n - 1) * TEXT_CHANGE * (1 - TEXT_CHANGE))
     spread = F.greatest(share * (1 - share), F.lit(1e-9))
-    r = F.when((share > 0) & (share < 1), (F.col("together") / (n - 1) - share * share) / spread)
+    r = F.when((F.col("digits") > 2) & (share < 1), (F.col("together") / (n - 1) - share * share) / spread)
     bounded = F.greatest(F.lit(-0.99), F.least(F.lit(0.99), F.coalesce(r, F.lit(0.99))))
     z_serial = (F.atanh(bounded) - F.atanh(F.lit(TEXT_CORRELATION))) * F.sqrt(n - 3)
-    t = -(_log_tail(z_chi) + _log_tail(z_runs) + _log_tail(z_serial))
-    log_p = F.when(F.col("encoding") == "decimal", 0.0).otherwise(-t + F.log1p(t + t * t / 2))
-    return step.withColumn("log_p", log_p).drop(
-        "chars", "classes", "squares", "changes", "digits", "together", "k", "n"
-    )
+    tails = _with_log_tails(
+        step.withColumns({"z_chi": z_chi, "z_runs": z_runs, "z_serial": z_serial}), ["z_chi", "z_runs", "z_serial"]
+    ).withColumn("t", -(F.col("z_chi") + F.col("z_runs") + F.col("z_serial")))
+    combined = -F.col("t") + F.log1p(F.col("t") + F.col("t") * F.col("t") / 2)
+    log_p = F.when((F.col("encoding") == "decimal") | (n < 12), 0.0).otherwise(combined)
+    return tails.withColumn("log_p", log_p)
 
 
 def discoveries(candidates: DataFrame, rate: float) -> DataFrame:
@@ -161,12 +170,13 @@ def secret_spans(
     # Rows alike give the same places once. The gap after the last match has no match.
     order = Window.partitionBy("key", "kind").orderBy("nth").rowsBetween(Window.unboundedPreceding, 0)
     ends = found.filter("len is not null").dropDuplicates(["key", "kind", "nth"])
-    spans = ends.withColumn("end", F.sum(F.col("gap") + F.col("len")).over(order).cast("bigint")).withColumn(
+    spans = saved(ends, "secret-matches").withColumn("end", F.sum(F.col("gap") + F.col("len")).over(order).cast("bigint")).withColumn(
         "start", F.col("end") - F.col("len")
     )
     known = spans.filter((F.col("kind") < 3) & ((F.col("kind") > 0) | (F.length("part") >= 8)))
-    tested = discoveries(with_p_values(spans.filter("kind = 3")), rate)
     columns = ["key", "start", "kind", "end"]
+    candidates = with_p_values(spans.filter("kind = 3")).select(*columns, "len", "encoding", "log_p")
+    tested = discoveries(saved(candidates, "secret-candidates"), rate)
     both = known.select(columns).union(tested.select(columns))
     line = Window.partitionBy("key").orderBy("start", "kind")
     base = F.col("kind") < 3
