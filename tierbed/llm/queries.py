@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tierbed.llm.arc import convert_pages
 from tierbed.llm.chosen_path import ngram_join
+from tierbed.llm.cotraining import quality_scores
 from tierbed.llm.curve_packing import pack_along_curve
 from tierbed.llm.fair_mixing import fair_mix
 from tierbed.llm.line_dedup import dedup_lines
@@ -75,6 +76,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents")).drop("removed_words", "key")
 
 
+def op8_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fair_mix(table(spark, sf_dir, "documents")).drop("copies", "shuffle")
 
@@ -95,6 +100,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_secret_scan": op5_secret_scan,
         "op6_line_dedup": op6_line_dedup,
         "op7_quality_rules": op7_quality_rules,
+        "op8_cotraining": op8_cotraining,
         "op9_fair_mixing": op9_fair_mixing,
         "op10_arc_to_warc": op10_arc_to_warc,
     }
