@@ -7,7 +7,8 @@ part again until it is small; parts then are compared by brute force. At similar
 loses a pair with probability ``lost_per_run``; runs are repeated until the target recall.
 
 A part that does not fall apart (near copies share almost every token) is cut into blocks, and
-every pair of blocks is compared by a task of its own; nothing is dropped.
+every pair of blocks is compared by a task of its own; so are parts at the last depth. Nothing
+is dropped.
 
 Parts give edges between sets that their tokens show to be near. Components of these edges are
 then compared exactly, by shingles, in blocks of bounded size; pairs are counted there, and
@@ -33,7 +34,9 @@ SHINGLE_WORDS = 5
 TOKENS = 128
 BRANCHES = 2
 SMALL_PART = 128
-MAX_DEPTH = 4
+MAX_DEPTH = 12
+# A part that keeps this share of the part it came from is not going to fall apart.
+DENSE = 0.5
 PART_BLOCK = 1024
 BLOCK_SHINGLES = 100_000
 
@@ -127,14 +130,20 @@ def _split(runs: int):
             node = batch.column("node").to_numpy()
             raw = b"".join(batch.column("tokens").to_pylist())
             tokens = np.frombuffer(raw, np.uint32).reshape(-1, TOKENS)
+            above = np.full(len(node), 1 << 62)
             if "path" in batch.schema.names:
                 roots = [batch.column("path").to_numpy().view(np.uint64)]
+                above = batch.column("size").to_numpy()
             else:
                 roots = [np.full(len(node), mix(np.array([r + 1], np.uint64))[0]) for r in range(runs)]
             for paths in roots:
                 for child in _children(paths, tokens):
                     yield pa.RecordBatch.from_pydict(
-                        {"path": pa.array(child.view(np.int64)), "node": pa.array(node)}
+                        {
+                            "path": pa.array(child.view(np.int64)),
+                            "node": pa.array(node),
+                            "above": pa.array(above),
+                        }
                     )
 
     return run
@@ -216,31 +225,39 @@ def _candidate_edges(nodes: DataFrame, similarity: float, recall: float) -> Data
     least = math.floor((similarity - slack) * TOKENS)
     tokens = nodes.select(F.col("node").alias("of"), "tokens")
     split = _split(runs_for(similarity, recall))
-    entries = nodes.filter("n > 0").select("node", "tokens").mapInArrow(split, "path bigint, node bigint")
+    entries = nodes.filter("n > 0").select("node", "tokens").mapInArrow(split, "path bigint, node bigint, above bigint")
     compared = []
     for depth in range(1, MAX_DEPTH + 1):
         entries = saved(entries.distinct(), "path-entries")
         parts = (
             entries.groupBy("path")
-            .agg(F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("who"))
+            .agg(
+                F.count("*").alias("size"),
+                F.bit_xor(F.xxhash64("node")).alias("who"),
+                F.min("above").alias("above"),
+            )
             .filter("size > 1")
         )
         # Parts with the same members need one comparison and one further split.
         parts = saved(
-            parts.groupBy("size", "who").agg(F.min("path").alias("part")), "path-parts"
+            parts.groupBy("size", "who").agg(
+                F.min("path").alias("part"), F.min("above").alias("above")
+            ),
+            "path-parts",
         )
-        whole = F.col("size") <= SMALL_PART if depth < MAX_DEPTH else F.lit(True)
+        dense = F.col("size") >= F.col("above") * DENSE
+        whole = (F.col("size") <= SMALL_PART) | dense if depth < MAX_DEPTH else F.lit(True)
         blocks_ = F.ceil(F.col("size") / PART_BLOCK).alias("blocks")
         done = entries.join(parts.filter(whole).select("part", blocks_), F.col("path") == F.col("part"))
-        compared.append(_block_pairs(done.drop("part"), "path"))
+        compared.append(_block_pairs(done.drop("part", "above"), "path"))
         large = parts.filter(~whole)
         if depth == MAX_DEPTH or not large.limit(1).count():
             break
-        going = entries.join(large.select("part"), F.col("path") == F.col("part")).drop("part")
+        going = entries.join(large.select("part", "size"), F.col("path") == F.col("part"))
         entries = (
             going.join(tokens, F.col("node") == F.col("of"))
-            .select("path", "node", "tokens")
-            .mapInArrow(split, "path bigint, node bigint")
+            .select("path", "node", "size", "tokens")
+            .mapInArrow(split, "path bigint, node bigint, above bigint")
         )
     everything = compared[0]
     for more in compared[1:]:
