@@ -12,12 +12,14 @@ and tokenised once. A task holds one Arrow batch and the pieces of one open sequ
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +28,11 @@ from tierbed.llm.storage import fan_out
 from tierbed.llm.text import blocks, encoded, word_hashes
 
 TOKENIZER = "word_bpe_49k.json"
-SEPARATOR = "<|endoftext|>"
+TYPICAL_WORDS = 64
 CACHED_WORDS = 400_000
 CACHED_WORD_BYTES = 64
+# Below U+0250, without white space and the one letter whose lower case is two characters.
+LATIN = regex.compile(r"[\x21-\x7E\u00A1-\u012F\u0131-\u024F]+")
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -62,9 +66,11 @@ def document_points(hashes: np.ndarray, bounds: np.ndarray, bits: int) -> np.nda
     full = sizes > 0
     if full.any():
         sums[full] = np.add.reduceat(parts, bounds[:-1][full], axis=0, dtype=np.int64)
-    scale = np.sqrt(np.maximum(sizes, 1))[:, None] * (65536 / np.sqrt(12))
-    spread = (sums - sizes[:, None] * 32767.5) / scale
-    unit = 1 / (1 + np.exp(np.clip(-spread / 2, -50, 50)))
+    mean = sums / np.maximum(sizes, 1)[:, None] / 65535 - 0.5
+    # Standard deviations of a mean over at most TYPICAL_WORDS words: longer texts do not pile
+    # up in the corners.
+    spread = mean * np.sqrt(12 * np.minimum(sizes, TYPICAL_WORDS))[:, None] * full[:, None]
+    unit = 1 / (1 + np.exp(-1.7 * spread))
     return np.minimum((unit * (1 << bits)).astype(np.int64), (1 << bits) - 1)
 
 
@@ -86,54 +92,69 @@ def _keys(bits: int):
 class WordTokenizer:
     """Ids of texts, put together from cached ids of their words.
 
-    The vocabulary splits at white space, so a text's ids are those of its words. New words
-    are encoded many at a time, with the end-of-text token between them.
+    The vocabulary splits at white space, so a text's ids are those of its words. Where it lower-cases
+    and splits words by a pattern, as the default does, new words of Latin letters (on
+    which composition has no effect, and lower case is letter by letter) are split here and
+    only unseen pieces go to the merge rules; all other words go through the whole tokenizer.
     """
 
     def __init__(self, path: str | None) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         if path is None:
             import public_tokenizers
 
             path = public_tokenizers.path(TOKENIZER)
         self.model = Tokenizer.from_file(path)
-        self.separator = self.model.token_to_id(SEPARATOR)
         self.cache: dict[bytes, bytes] = {}
-
-    def encode(self, text: str) -> bytes:
-        ids = self.model.encode(text, add_special_tokens=False).ids
+        self.pieces: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            parts = json.load(file)
+        steps = [x["type"] for x in (parts.get("normalizer") or {}).get("normalizers", [])]
+        split = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        self.split = None
+        if steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in split] == ["Split", "ByteLevel"]:
+            self.split = regex.compile(split[0]["pattern"]["Regex"]).findall
+            mapped = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+            self.bytes = {i: mapped.pre_tokenize_str(chr(i))[0][0] for i in range(0x21, 0x250)}
+
+    def encode(self, word: bytes) -> bytes:
+        ids = self.model.encode(word.decode(), add_special_tokens=False).ids
         return np.array(ids, "<u4").tobytes()
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        plain = [w for w in words if b"<|" not in w and len(w) <= CACHED_WORD_BYTES]
-        known = {w: self.encode(w.decode()) for w in set(words) - set(plain)}
-        for i in range(0, len(plain), 1000):
-            some = plain[i : i + 1000]
-            joined = f" {SEPARATOR} ".join(w.decode() for w in some)
-            ids = np.array(self.model.encode(joined, add_special_tokens=False).ids, "<u4")
-            cuts = np.flatnonzero(ids == self.separator)
-            if len(cuts) != len(some) - 1:
-                known |= {w: self.encode(w.decode()) for w in some}
-                continue
-            raw = ids.tobytes()
-            starts, ends = [0, *((cuts + 1) * 4)], [*(cuts * 4), len(raw)]
-            known |= {w: raw[a:b] for w, a, b in zip(some, starts, ends, strict=True)}
+    def _piece(self, piece: str) -> bytes:
+        tokens = self.model.model.tokenize(piece if piece.isascii() else piece.translate(self.bytes))
+        ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
+        if len(piece) <= CACHED_WORD_BYTES:
+            self.pieces[piece] = ids
+        return ids
+
+    def _learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
+        known, get, split, plain = {}, self.pieces.get, self.split, LATIN.fullmatch
+        if len(self.pieces) > CACHED_WORDS:
+            self.pieces.clear()
+        for word in words:
+            text = word.decode()
+            if split and plain(text) and "<|" not in text:
+                known[word] = b"".join([get(x) or self._piece(x) for x in split(text.lower())])
+            else:
+                known[word] = self.encode(word)
         return known
 
     def texts(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of every text."""
         split = [x.split() for x in texts]
-        new = set().union(*split) - self.cache.keys() if split else set()
+        words = set().union(*split)
+        new = words - self.cache.keys()
         if len(self.cache) + len(new) > CACHED_WORDS:
-            self.cache, new = {}, set().union(*split)
-        learned = self._learn(list(new))
-        get = self.cache.get
+            self.cache, new = {}, words
+        learned = self._learn(new)
         long_words = {w: learned.pop(w) for w in [w for w in learned if len(w) > CACHED_WORD_BYTES]}
         self.cache.update(learned)
+        get = self.cache.get
         if long_words:
-            return [b"".join([get(w) or long_words.get(w, b"") for w in words]) for words in split]
+            get = {w: get(w) or long_words.get(w, b"") for w in words}.get
         return [b"".join(map(get, words)) for words in split]
 
 
