@@ -8,13 +8,15 @@ import tempfile
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tierbed.functions import as_text, output_slices, run_id_text, run_path  # noqa: E402
 from tierbed.operators import (  # noqa: E402
+    FillRule,
+    QualityGateError,
     alert_body,
     commit_runs,
     committed_rows,
@@ -26,22 +28,26 @@ from tierbed.operators import (  # noqa: E402
     mismatch_count,
     null_ratio,
     parse_monitoring,
+    quality_gate,
     quality_report,
+    read_manifest,
     read_monitoring_log,
     read_registry,
     report_status,
     route_alerts,
     run_slice,
     stamp_run,
+    unparsed_monitoring,
+    write_manifest,
     write_report,
 )
 from tierbed.plans import GOLD_KEYS, PLACE_RULES, ingest, run_pipeline  # noqa: E402
 from tierbed.sources import (  # noqa: E402
     FilePages,
-    read_pages,
     scan_raw,
     scan_runs,
     scan_table,
+    stage_pages,
     write_page_files,
     write_partitioned,
     write_raw,
@@ -57,9 +63,7 @@ except ModuleNotFoundError as missing:
     llm = corpus_pipeline = None
 
 SF_SMOKE = "/root/testdata/sf0.001"
-# Rows per page while the table is small; page stores never get more pages than this.
 PAGE_ROWS = 200
-MAX_STORED_PAGES = 20_000
 
 
 # --- inputs -------------------------------------------------------------------------------
@@ -70,9 +74,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh directory in the cluster's shared folder, or a local one where none is set."""
+    """A fresh directory in the cluster's shared folder; a local one only in local mode."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not shared:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         return tempfile.mkdtemp(prefix=f"tierbed-{label}-")
     return f"{shared.rstrip('/')}/tierbed-{label}-{uuid4().hex}"
 
@@ -118,28 +124,25 @@ def lines_with_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", run.alias("ingestion_run_id"))
 
 
-def with_pages(df: DataFrame, key: str) -> tuple[DataFrame, int, int]:
-    """Add ``page`` by key; also rows per page and number of pages."""
-    top = df.agg(F.coalesce(F.max(key), F.lit(0))).first()[0]
-    per_page = max(PAGE_ROWS, top // MAX_STORED_PAGES + 1)
-    return df.withColumn("page", F.expr(f"{key} div {per_page} + 1")), per_page, top // per_page + 1
+def with_pages(df: DataFrame, key: str) -> DataFrame:
+    """Add ``page`` by key, ``PAGE_ROWS`` keys to a page."""
+    return df.withColumn("page", F.expr(f"{key} div {PAGE_ROWS} + 1"))
 
 
-def place_pages(spark: SparkSession, sf_dir: str) -> tuple[FilePages, int, int]:
-    """Page files of all customers, rows per page and number of pages."""
-    paged, per_page, n_pages = with_pages(customers(spark, sf_dir), "c_custkey")
+def place_pages(spark: SparkSession, sf_dir: str) -> FilePages:
+    """Page files of all customers."""
     store = scratch(spark, "place-pages")
-    write_page_files(paged.drop("c_custkey"), store, rows=n_pages * per_page)
-    return FilePages(store), per_page, n_pages
+    paged = with_pages(customers(spark, sf_dir), "c_custkey")
+    write_page_files(paged.drop("c_custkey"), store)
+    return FilePages(store)
 
 
-def event_pages(spark: SparkSession, sf_dir: str) -> tuple[FilePages, int, int]:
-    """Page files of all events, rows per page and number of pages."""
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
-    paged, per_page, n_pages = with_pages(events, "event_id")
+def event_pages(spark: SparkSession, sf_dir: str) -> FilePages:
+    """Page files of all events."""
     store = scratch(spark, "event-pages")
-    write_page_files(paged, store, rows=n_pages * per_page)
-    return FilePages(store), per_page, n_pages
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "props")
+    write_page_files(with_pages(events, "event_id"), store)
+    return FilePages(store)
 
 
 def monitoring_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,7 +154,8 @@ def monitoring_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == "signup", "dag_failure")
         .otherwise("dag_success")
     )
-    failure = F.concat(F.lit("falló {"), "event_id", F.lit('}: "x"'))
+    # Next line, line and paragraph separator: line ends to some regular expressions.
+    failure = F.concat(F.lit("falló {\u0085"), "event_id", F.lit('}: \u2028"x"\u2029'))
     records = table(spark, sf_dir, "events").select(
         F.lit("pipe").alias("dag_id"),
         F.concat(F.lit("t"), F.col("user_id") % 5).alias("task_id"),
@@ -209,8 +213,95 @@ def dq_report_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_rows(report)
 
 
+def event_report(rows: DataFrame, run_id: str, **limits) -> DataFrame:
+    columns = ("event_id", "ingestion_run_id")
+    return quality_report(rows, run_id, id_col="event_id", required=columns, **limits)
+
+
 def dq_report_empty_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return report_rows(quality_report(run_slice(curated(spark, sf_dir), "R9"), "R9"))
+    """A run that no event belongs to; the runs are made from the data, so the scan stays."""
+    run = F.concat(F.lit("R"), (F.col("user_id") % 10).cast("string")).alias("ingestion_run_id")
+    rows = table(spark, sf_dir, "events").select("event_id", run)
+    return report_rows(event_report(run_slice(rows, "R99"), "R99"))
+
+
+def dq_status_passed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report_status(event_report(run_slice(events_with_runs(spark, sf_dir), "R1"), "R1"))
+
+
+def dq_report_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """More rows are asked for than the run has, and one NULL id in fifty is allowed."""
+    report = quality_report(curated(spark, sf_dir), "R1", 10**12, 0.02)
+    return report_rows(report).select("ord", "name", "passed", "metric", "status")
+
+
+def quality_gate_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate over a sound run and over one with missing ids."""
+    reports = {
+        "events": event_report(run_slice(events_with_runs(spark, sf_dir), "R1"), "R1"),
+        "customers": quality_report(curated(spark, sf_dir), "R1"),
+    }
+    rows = []
+    for case, report in reports.items():
+        try:
+            quality_gate(report.collect())
+            rows.append((case, "open"))
+        except QualityGateError:
+            rows.append((case, "closed"))
+    return spark.createDataFrame(rows, "rows_of string, gate string")
+
+
+def ingestion_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of a run bear one and the same time."""
+    places = customers(spark, sf_dir).drop("c_custkey")
+    return curate(places, "R1", PLACE_RULES).agg(
+        F.count("*").alias("n_rows"),
+        F.count("ingestion_ts_utc").alias("stamped"),
+        F.count_distinct("ingestion_ts_utc").alias("stamps"),
+    )
+
+
+def gold_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each group in the sorted result; one row per flag and status."""
+    ordered = gold_lineitem(spark, sf_dir).withColumn("at", F.monotonically_increasing_id())
+    place = F.row_number().over(Window.orderBy("at")).alias("place")
+    return ordered.select("l_returnflag", "l_linestatus", "entity_count", place)
+
+
+def curate_blank_as_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    key = F.col("c_custkey")
+    blank = F.when(key % 5 == 0, "").when(key % 7 == 0, "  ").otherwise(F.col("city"))
+    rows = customers(spark, sf_dir).withColumn("city", blank).select("c_custkey", "city")
+    out = curate(rows, "R1", (FillRule("city", ("city",)),), blank_as_missing=True)
+    return out.drop("ingestion_ts_utc")
+
+
+def partition_dynamic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line number 1 is replaced by its rows with a flag, the other partitions stay."""
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.lit("old").alias("version"), F.col("l_linenumber").alias("line")
+    )
+    path = scratch(spark, "dynamic")
+    write_partitioned(lines, path, ("line",))
+    renewed = lines.filter("line = 1").withColumn("version", F.lit("new"))
+    write_partitioned(renewed, path, ("line",), overwrite="dynamic")
+    return scan_table(spark, path, lines.schema)
+
+
+def alert_route_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Success notifies as well; one event in seven is of an unknown kind."""
+    events = parse_monitoring(monitoring_lines(spark, sf_dir))
+    kind = F.when(F.col("run_id").cast("bigint") % 7 == 0, "dag_paused").otherwise(F.col("event"))
+    routed = route_alerts(events.withColumn("event", kind), notify_success=True)
+    return routed.select("log_url", "event", "level", "notify")
+
+
+def monitoring_unparsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every third line is cut off in its event."""
+    lines = monitoring_lines(spark, sf_dir).filter(F.col("value").contains("[monitoring]"))
+    cut = F.regexp_extract("value", '"log_url":"logs/([0-9]+)"', 1).cast("bigint")
+    broken = F.when(cut % 3 == 0, F.expr("left(value, length(value) - 4)")).otherwise(F.col("value"))
+    return unparsed_monitoring(lines.select(cut.alias("event_id"), broken.alias("value"))).select("event_id")
 
 
 def dq_report_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -255,30 +346,74 @@ def dq_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The page at three quarters of the table is taken out to make a gap."""
-    events = table(spark, sf_dir, "events").select("event_id")
-    paged, _, n_pages = with_pages(events, "event_id")
+    paged = with_pages(table(spark, sf_dir, "events").select("event_id"), "event_id")
+    n_pages = paged.agg(F.max("page")).first()[0]
     return contiguous_prefix(paged.filter(F.col("page") != n_pages * 3 // 4))
 
 
-def paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
-    backend, per_page, n_pages = event_pages(spark, sf_dir)
-    staging = scratch(spark, "staging")
-    read_pages(spark, backend, per_page, n_pages + 2).write.mode("overwrite").parquet(staging)
+def page_fields(staged: DataFrame) -> DataFrame:
     fields = F.from_json("record", "event_id bigint, event_type string, props string")
     return (
-        contiguous_prefix(spark.read.parquet(staging))
+        contiguous_prefix(staged)
         .select("page", fields.alias("r"))
         .select("r.event_id", "r.event_type", "r.props", "page")
     )
 
 
+def paged_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_fields(stage_pages(spark, event_pages(spark, sf_dir), scratch(spark, "staging")))
+
+
+class AskedPages:
+    """Page files behind the interface of a backend that Spark cannot read as files."""
+
+    def __init__(self, path: str):
+        self.path = path
+
+    def records(self, page: int, per_page: int):
+        return FilePages(self.path).records(page, per_page)
+
+
+def paged_source_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers' pages, asked for in rounds by Python tasks."""
+    backend = AskedPages(place_pages(spark, sf_dir).path)
+    staged = stage_pages(spark, backend, scratch(spark, "staging"))
+    fields = F.from_json("record", "id string, name string")
+    return contiguous_prefix(staged).select("page", fields.alias("r")).select("r.id", "r.name", "page")
+
+
+def paged_source_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A cap of three pages and one that is not reached, with what the manifest says."""
+    backend, root = place_pages(spark, sf_dir), scratch(spark, "capped")
+    for run_id, cap in (("capped", 3), ("whole", 10**9)):
+        ingest(spark, backend, root, run_id, max_pages=cap)
+    return read_registry(spark, root).select("run_id", "fetched_rows", "pages_fetched", "truncated")
+
+
 def run_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    backend, per_page, n_pages = event_pages(spark, sf_dir)
-    root = scratch(spark, "manifest")
-    ingest(spark, backend, root, "R1", per_page=per_page, max_pages=n_pages + 2)
+    backend, root = event_pages(spark, sf_dir), scratch(spark, "manifest")
+    ingest(spark, backend, root, "R1", per_page=PAGE_ROWS)
+    where = F.when(F.col("api_url") == backend.path, "the page files").otherwise(F.col("api_url"))
     return read_registry(spark, root).select(
-        "run_id", "fetched_rows", "pages_fetched", "per_page", "max_pages"
-    )
+        "run_id", "fetched_rows", "pages_fetched", "per_page", "max_pages", "truncated",
+        where.alias("api_url"),
+    )
+
+
+def empty_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ingests of all events and of none of them."""
+    root, rows = scratch(spark, "empty"), []
+    paged = with_pages(table(spark, sf_dir, "events").select("event_id", "event_type"), "event_id")
+    for case, kept in (("all", F.lit(True)), ("none", F.col("event_type") == "no such type")):
+        store = scratch(spark, f"event-pages-{case}")
+        write_page_files(paged.filter(kept), store)
+        try:
+            outcome = ingest(spark, FilePages(store), root, case)
+        except RuntimeError:
+            outcome = "refused"
+        committed = read_manifest(spark, root, case).first()
+        rows.append((case, outcome, committed.fetched_rows if committed else 0))
+    return spark.createDataFrame(rows, "events string, outcome string, committed_rows bigint")
 
 
 def output_slices_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -326,19 +461,20 @@ def committed_runs_only(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rerun_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each write mode from each earlier state, with the rows committed afterwards."""
-    backend, per_page, n_pages = place_pages(spark, sf_dir)
-    root = scratch(spark, "rerun")
-    pages = {"per_page": per_page, "max_pages": n_pages + 1}
+    backend, root = place_pages(spark, sf_dir), scratch(spark, "rerun")
     cells = []
-    for state in ("committed", "incomplete", "absent"):
+    for state in ("committed", "incomplete", "absent", "output lost"):
         for mode in ("skip", "overwrite", "fail"):
             run_id = f"{state}-{mode}"
             if state == "committed":
-                ingest(spark, backend, root, run_id, **pages)
+                ingest(spark, backend, root, run_id)
             elif state == "incomplete":
                 write_raw(customers(spark, sf_dir), run_path(f"{root}/raw", run_id))
+            elif state == "output lost":
+                rows = customers(spark, sf_dir).count()
+                write_manifest(spark, root, {"run_id": run_id, "fetched_rows": rows})
             try:
-                outcome = ingest(spark, backend, root, run_id, write_mode=mode, **pages)
+                outcome = ingest(spark, backend, root, run_id, write_mode=mode)
             except RuntimeError:
                 outcome = "failed"
             cells.append((run_id, state, mode, outcome))
@@ -377,16 +513,22 @@ def alert_body_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def medallion_flow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    backend, per_page, n_pages = place_pages(spark, sf_dir)
-    return run_pipeline(
-        spark,
-        backend,
-        scratch(spark, "flow"),
-        "R1",
-        per_page=per_page,
-        max_pages=n_pages + 2,
-        max_null_id_ratio=0.05,
-    )
+    backend = place_pages(spark, sf_dir)
+    return run_pipeline(spark, backend, scratch(spark, "flow"), "R1", max_null_id_ratio=0.05)
+
+
+def medallion_flow_all_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver rows of a source with fields that the default schema does not name."""
+    store, root = scratch(spark, "wide-pages"), scratch(spark, "wide-flow")
+    more = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"), "c_acctbal", "c_nationkey")
+    wide = customers(spark, sf_dir).join(more, F.col("c_custkey") == F.col("k")).drop("k")
+    write_page_files(with_pages(wide, "c_custkey").drop("c_custkey"), store)
+    run_pipeline(spark, FilePages(store), root, "R1", max_null_id_ratio=0.05)
+    silver = spark.read.parquet(f"{root}/silver")
+    return silver.select(
+        "id", "name", "country", "state_province", "city", "c_acctbal",
+        F.col("c_nationkey").cast("bigint").alias("c_nationkey"),
+    )
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -429,6 +571,19 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "alert_route": alert_route,
         "alert_body": alert_body_events,
         "medallion_flow": medallion_flow,
+        "medallion_flow_all_fields": medallion_flow_all_fields,
+        "dq_status_passed": dq_status_passed,
+        "dq_report_limits": dq_report_limits,
+        "quality_gate": quality_gate_outcome,
+        "ingestion_stamp": ingestion_stamp,
+        "gold_order": gold_order,
+        "curate_blank_as_missing": curate_blank_as_missing,
+        "partition_dynamic": partition_dynamic,
+        "alert_route_all": alert_route_all,
+        "monitoring_unparsed": monitoring_unparsed,
+        "paged_source_asked": paged_source_asked,
+        "paged_source_capped": paged_source_capped,
+        "empty_ingest": empty_ingest,
     }
 
 
@@ -463,10 +618,8 @@ FROM ({silver}) s GROUP BY country, state_province, city, brewery_type"""
 def paged_sql(rows: str, key: str) -> str:
     """Number the pages of ``rows`` by ``key``."""
     return f"""
-SELECT t.*, {key} // per_page + 1 AS page, per_page, max_key // per_page + 1 AS n_pages
-FROM ({rows}) t, (SELECT max({key}) AS max_key,
-                         greatest({PAGE_ROWS}, max({key}) // {MAX_STORED_PAGES} + 1) AS per_page
-                  FROM ({rows}) u) z"""
+SELECT t.*, {key} // {PAGE_ROWS} + 1 AS page, max({key}) OVER () // {PAGE_ROWS} + 1 AS n_pages
+FROM ({rows}) t"""
 
 
 def prefix_sql(paged: str) -> str:
@@ -517,7 +670,8 @@ SELECT strftime(ts, '%Y%m%dT%H%M%S') AS captured_at_utc, 'pipe' AS dag_id,
        CASE event_type WHEN 'error' THEN 'task_failure' WHEN 'click' THEN 'task_retry'
             WHEN 'signup' THEN 'dag_failure' ELSE 'dag_success' END AS event,
        CASE WHEN event_type = 'error'
-            THEN 'falló {' || CAST(event_id AS VARCHAR) || '}: "x"' END AS exception,
+            THEN 'falló {' || chr(133) || CAST(event_id AS VARCHAR) || '}: ' || chr(8232) || '"x"'
+                 || chr(8233) END AS exception,
        'logs/' || CAST(event_id AS VARCHAR) AS log_url,
        strftime(ts, '%Y-%m-%d') AS logical_date, 'data' AS owner,
        CAST(user_id AS VARCHAR) AS run_id,
@@ -554,7 +708,54 @@ FROM lineitem GROUP BY l_returnflag, l_linestatus, l_shipdate""",
 SELECT CAST(0 AS BIGINT) AS row_count, ord, name, ord = 1 AS passed, severity,
        CAST(0 AS DOUBLE) AS metric, threshold,
        CASE ord WHEN 1 THEN details ELSE 'row_count=0' END AS details, 'failed' AS status
-FROM ({report}) r WHERE ord <= 2""",
+FROM ({report_sql(EVENT_RUNS, 'event_id')}) r WHERE ord <= 2""",
+        "dq_status_passed": f"""
+SELECT max(status) AS status,
+       count(CASE WHEN NOT passed AND severity = 'critical' THEN 1 END) AS failed_critical
+FROM ({report_sql(f"SELECT * FROM ({EVENT_RUNS}) e WHERE ingestion_run_id = 'R1'", 'event_id')}) r""",
+        "dq_report_limits": f"""
+SELECT ord, name, CASE ord WHEN 2 THEN metric >= 1e12 WHEN 3 THEN metric <= 0.02 ELSE passed END AS passed,
+       metric, 'failed' AS status FROM ({report}) r""",
+        "quality_gate": f"""
+SELECT 'events' AS rows_of, CASE WHEN bool_or(NOT passed AND severity = 'critical') THEN 'closed'
+       ELSE 'open' END AS gate
+FROM ({report_sql(f"SELECT * FROM ({EVENT_RUNS}) e WHERE ingestion_run_id = 'R1'", 'event_id')}) r
+UNION ALL
+SELECT 'customers', CASE WHEN bool_or(NOT passed AND severity = 'critical') THEN 'closed' ELSE 'open' END
+FROM ({report}) r""",
+        "ingestion_stamp": f"""
+SELECT count(*) AS n_rows, count(*) AS stamped, CAST(1 AS BIGINT) AS stamps FROM ({silver}) s""",
+        "gold_order": """
+SELECT l_returnflag, l_linestatus, entity_count,
+       CAST(row_number() OVER (ORDER BY entity_count DESC) AS INTEGER) AS place
+FROM (SELECT l_returnflag, l_linestatus, count(DISTINCT l_orderkey) AS entity_count
+      FROM lineitem GROUP BY l_returnflag, l_linestatus) t""",
+        "curate_blank_as_missing": f"""
+SELECT c_custkey, CASE WHEN c_custkey % 5 = 0 OR c_custkey % 7 = 0 THEN 'UNKNOWN'
+       ELSE coalesce(city, 'UNKNOWN') END AS city, 'R1' AS ingestion_run_id FROM ({CUSTOMERS}) c""",
+        "partition_dynamic": """
+SELECT l_orderkey, CASE l_linenumber WHEN 1 THEN 'new' ELSE 'old' END AS version,
+       l_linenumber AS line FROM lineitem""",
+        "alert_route_all": f"""
+SELECT log_url, CASE WHEN CAST(run_id AS BIGINT) % 7 = 0 THEN 'dag_paused' ELSE event END AS event,
+       CASE WHEN CAST(run_id AS BIGINT) % 7 = 0 THEN NULL WHEN event = 'task_retry' THEN 'WARNING'
+            WHEN event = 'dag_success' THEN 'INFO' ELSE 'ERROR' END AS level,
+       CAST(run_id AS BIGINT) % 7 <> 0 AS notify FROM ({MONITORING}) m""",
+        "monitoring_unparsed": "SELECT event_id FROM events WHERE event_id % 3 = 0",
+        "paged_source_asked": f"SELECT id, name, page FROM ({place_prefix}) p",
+        "paged_source_capped": f"""
+SELECT 'capped' AS run_id, count(*) AS fetched_rows, CAST(max(page) AS BIGINT) AS pages_fetched,
+       max(n_pages) > 3 AS truncated FROM ({place_prefix}) p WHERE page <= 3
+UNION ALL SELECT 'whole', count(*), CAST(max(page) AS BIGINT), false FROM ({place_prefix}) p""",
+        "empty_ingest": f"""
+SELECT 'all' AS events, 'ingested' AS outcome, count(*) AS committed_rows FROM ({event_prefix}) p
+UNION ALL SELECT 'none', 'refused', CAST(0 AS BIGINT)""",
+        "medallion_flow_all_fields": f"""
+SELECT id, name, coalesce(country, 'UNKNOWN') AS country,
+       coalesce(state_province, state, 'UNKNOWN') AS state_province,
+       coalesce(city, 'UNKNOWN') AS city, c_acctbal, CAST(c_nationkey AS BIGINT) AS c_nationkey
+FROM ({place_prefix}) p JOIN (SELECT c_custkey AS k, c_acctbal, c_nationkey FROM customer) c
+  ON p.c_custkey = c.k""",
         "dq_report_missing_columns": f"""
 SELECT * FROM ({report_sql(EVENT_RUNS, 'event_id', 5, MISSING_FROM_EVENTS)}) r
 WHERE ord IN (1, 2, 5)""",
@@ -580,7 +781,8 @@ FROM ({report}) r""",
         "paged_source": f"SELECT event_id, event_type, props, page FROM ({event_prefix}) p",
         "run_manifest": f"""
 SELECT 'R1' AS run_id, count(*) AS fetched_rows, count(DISTINCT page) AS pages_fetched,
-       max(per_page) AS per_page, max(n_pages) + 2 AS max_pages FROM ({event_prefix}) p""",
+       CAST({PAGE_ROWS} AS BIGINT) AS per_page, CAST(NULL AS BIGINT) AS max_pages, false AS truncated,
+       'the page files' AS api_url FROM ({event_prefix}) p""",
         "output_slices": """
 SELECT l_quantity, n, least(8, greatest(1, n // 500)) AS slices,
        least(64, greatest(1, n // 20)) AS more_slices
@@ -601,7 +803,9 @@ FROM (VALUES ('committed', 'skip', 'skipped', true), ('committed', 'overwrite',
              ('committed', 'fail', 'failed', true), ('incomplete', 'skip', 'ingested', true),
              ('incomplete', 'overwrite', 'ingested', true), ('incomplete', 'fail', 'failed', false),
              ('absent', 'skip', 'ingested', true), ('absent', 'overwrite', 'ingested', true),
-             ('absent', 'fail', 'ingested', true)) t(state, write_mode, outcome, kept),
+             ('absent', 'fail', 'ingested', true), ('output lost', 'skip', 'ingested', true),
+             ('output lost', 'overwrite', 'ingested', true),
+             ('output lost', 'fail', 'ingested', true)) t(state, write_mode, outcome, kept),
      (SELECT count(*) AS n FROM ({place_prefix}) p) c""",
         "run_id_format": "SELECT event_id, strftime(ts, '%Y%m%dT%H%M%S') AS run_id FROM events",
         "monitoring_parse": MONITORING,

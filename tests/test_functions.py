@@ -49,5 +49,19 @@ def test_run_id_text_matches_python(spark):
 def test_run_path_strips_slash_and_encodes():
     assert run_path("s3a://lake/raw/", "20260228T120000") == "s3a://lake/raw/run_id=20260228T120000"
     assert run_path("/lake", "manual__2026-02-28T12:00:00+00:00").endswith(
-        "run_id=manual__2026-02-28T12%3A00%3A00%2B00%3A00"
+        "run_id=manual__2026-02-28T12%3A00%3A00+00%3A00"
     )
+
+
+def test_run_id_text_in_other_time_zones(spark):
+    """Instants are told in UTC; wall times stand as they are, also in a gap of daylight saving."""
+    for zone in ("UTC", "America/New_York", "Asia/Kolkata"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            row = spark.sql(
+                "SELECT timestamp'2026-01-05T12:00:05Z' AS t, timestamp'2026-11-01T05:30:00.9Z' AS u,"
+                " timestamp_ntz'2026-03-08 02:30:00' AS n, timestamp'1969-12-31T23:59:59.5Z' AS o"
+            ).select(*[run_id_text(c).alias(c) for c in "tuno"]).first()
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+        assert tuple(row) == ("20260105T120005", "20261101T053000", "20260308T023000", "19691231T235959")

@@ -8,6 +8,7 @@ from tierbed.operators import (
     parse_monitoring,
     read_monitoring_log,
     route_alerts,
+    unparsed_monitoring,
 )
 
 EVENT = {
@@ -96,3 +97,17 @@ def test_body(spark):
         "Log URL: http://log/1",
         "Captured At (UTC): 2026-02-28T12:00:00+00:00",
     ]
+
+
+def test_line_separators_inside_a_text_lose_no_event(spark):
+    texts = ["a\u0085b", "\u2028", "x\u2029y", "plain"]
+    rows = [("e", "task_failure", t) for t in texts]
+    events = spark.createDataFrame(rows, "dag_id string, event string, exception string")
+    parsed = parse_monitoring(format_monitoring(events))
+    assert sorted(r.exception for r in parsed.collect()) == sorted(texts)
+
+
+def test_unparsed_lines_are_given_out(spark):
+    lines = ['[monitoring] {"event": "x"}', '[monitoring] {"event": "x"', "[monitoring] {} tail", "other"]
+    df = spark.createDataFrame([(x,) for x in lines], "value string")
+    assert sorted(r.value for r in unparsed_monitoring(df).collect()) == sorted(lines[1:3])

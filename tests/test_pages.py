@@ -7,7 +7,15 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from tierbed.operators import contiguous_prefix, fetch_totals
-from tierbed.sources import FilePages, HttpPages, paged, read_pages, write_page_files
+from tierbed.sources import (
+    FilePages,
+    HttpPages,
+    paged,
+    read_page_files,
+    read_pages,
+    stage_pages,
+    write_page_files,
+)
 from tierbed.sources.paged import PageReader, default_task_pages
 
 
@@ -90,10 +98,35 @@ def test_large_page_is_read_in_bounded_batches():
 def test_task_count_is_bounded():
     assert default_task_pages(10, 8) == 1
     assert default_task_pages(1000, 8) == 32
-    assert default_task_pages(100_000, 8) == paged.MAX_TASK_PAGES
-    for max_pages in (10, 1_000, 500_000_000):
-        step = default_task_pages(max_pages, 8)
-        assert -(-max_pages // step) <= paged.MAX_READ_TASKS
+    for pages in (10, 1_000, 500_000_000):
+        assert -(-pages // default_task_pages(pages, 8)) <= 8 * paged.TASKS_PER_CORE
+        assert -(-pages // default_task_pages(pages, 8, max_concurrency=3)) <= 3
+
+
+def test_concurrency_limit_of_a_backend(spark):
+    backend = ListPages({p: [{"id": p}] for p in range(1, 8)})
+    backend.max_concurrency = 2
+    df = read_pages(spark, backend, max_pages=7)
+    assert df.rdd.getNumPartitions() == 2 and df.count() == 7
+
+
+def test_rounds_go_on_until_an_empty_page(spark, tmp_path):
+    n = 3 * spark.sparkContext.defaultParallelism * paged.TASKS_PER_CORE + 5
+    backend = ListPages({p: [{"id": p}] for p in range(1, n + 1)})
+    staged = stage_pages(spark, backend, str(tmp_path / "all"))
+    assert sorted(r.page for r in staged.collect()) == list(range(1, n + 1))
+    capped = stage_pages(spark, backend, str(tmp_path / "capped"), max_pages=3)
+    assert sorted(r.page for r in capped.collect()) == [1, 2, 3, 4]
+
+
+def test_page_files_read_by_spark(spark, tmp_path):
+    path = str(tmp_path / "pages")
+    rows = [(1, 1, "é"), (2, 1, None), (3, 12, "x\ny")]
+    write_page_files(spark.createDataFrame(rows, "id int, page int, name string"), path)
+    got = sorted((r.page, json.loads(r.record)["id"]) for r in read_page_files(spark, path).collect())
+    assert got == [(1, 1), (1, 2), (12, 3)]
+    write_page_files(spark.createDataFrame([], "id int, page int"), str(tmp_path / "none"))
+    assert read_page_files(spark, str(tmp_path / "none")).collect() == []
 
 
 def test_page_files(spark, tmp_path):

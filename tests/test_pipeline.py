@@ -1,5 +1,6 @@
 import glob
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,6 @@ from tierbed.functions import run_path
 from tierbed.operators import QualityGateError, read_registry
 from tierbed.plans import (
     PLACE_SCHEMA,
-    SILVER_PARTITIONS,
     build_gold,
     build_silver,
     check_silver,
@@ -63,15 +63,41 @@ def test_raw_keeps_records_as_sent(spark, root):
     assert line == json.dumps(odd)
 
 
-def test_raw_file_count(spark, root, monkeypatch):
+def test_raw_file_count(spark, root):
     pages = Pages(*[[place(f"{p}-{i}") for i in range(200)] for p in range(8)])
     ingest(spark, pages, root, "R1")
     assert len(glob.glob(f"{root}/raw/run_id=R1/part-*")) == 3
-    ingest(spark, pages, root, "R2", slices=5)
+    ingest(spark, pages, root, "R2", max_slices=64, rows_per_slice=320)
     assert len(glob.glob(f"{root}/raw/run_id=R2/part-*")) == 5
-    monkeypatch.setattr(pipeline, "MAX_RESLICED_ROWS", 10)
-    ingest(spark, pages, root, "R3")
-    assert spark.read.json(run_path(f"{root}/raw", "R3")).distinct().count() == 1600
+    assert spark.read.json(run_path(f"{root}/raw", "R2")).distinct().count() == 1600
+
+
+def test_no_cap_and_cap(spark, root):
+    pages = Pages(*[[place(str(p))] for p in range(15)])
+    ingest(spark, pages, root, "R1")
+    ingest(spark, pages, root, "R2", max_pages=10)
+    ingest(spark, pages, root, "R3", max_pages=15)
+    got = {k: (r.fetched_rows, r.pages_fetched, r.max_pages, r.truncated)
+           for k, r in manifest(spark, root).items()}
+    assert got == {"R1": (15, 15, None, False), "R2": (10, 10, 10, True), "R3": (15, 15, 15, False)}
+    assert len(raw_ids(spark, root, "R2")) == 10
+
+
+def test_lost_output_is_fetched_again(spark, root):
+    ingest(spark, Pages([place("1")]), root, "R1")
+    shutil.rmtree(f"{root}/raw/run_id=R1")
+    assert ingest(spark, Pages([place("2")]), root, "R1", write_mode="fail") == "ingested"
+    assert raw_ids(spark, root, "R1") == ["2"]
+
+
+def test_silver_keeps_all_fields(spark, root):
+    wide = [place("1") | {"phone": "12", "geo": {"lat": 1.5}}, place("2")]
+    for run_id, options in (("R1", {}), ("R2", {"raw_schema": None})):
+        run_pipeline(spark, Pages(wide), root, run_id, **options)
+        rows = {r.id: r for r in spark.read.parquet(f"{root}/silver").collect()}
+        assert rows["1"].phone == "12" and rows["1"].geo.lat == 1.5 and rows["2"].phone is None
+    run_pipeline(spark, Pages(wide), root, "R3", other_fields=False)
+    assert "phone" not in spark.read.parquet(f"{root}/silver").columns
 
 
 def test_empty_ingest_commits_nothing(spark, root):
@@ -158,7 +184,7 @@ def test_gold_counts_only_its_run(spark, root):
 def test_check_reports_missing_run_column(spark, root):
     df = spark.createDataFrame([("1", "micro", "US", "CA", "LA")],
                                "id string, brewery_type string, country string, state_province string, city string")
-    write_partitioned(df, f"{root}/silver", SILVER_PARTITIONS)
+    write_partitioned(df, f"{root}/silver", ("country",))
     with pytest.raises(QualityGateError, match="required_columns_present"):
         check_silver(spark, root, "R1")
 

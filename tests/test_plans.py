@@ -6,6 +6,7 @@ import io
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from tierbed.operators import (
     commit_runs,
     committed_rows,
@@ -13,10 +14,13 @@ from tierbed.operators import (
     entity_counts,
     quality_report,
     read_registry,
-    registry,
     run_slice,
 )
 
+from tierbed.plans.pipeline import open_silver
+from tierbed.plans.places import SILVER_PARTITIONS, SILVER_SORT
+from tierbed.sources import write_partitioned
+
 SCHEMA = "id string, brewery_type string, city string, page bigint, ingestion_run_id string, note string"
 
 
@@ -63,14 +67,27 @@ def test_prefix_does_not_shuffle_or_order_rows(table):
     assert "ReadSchema: struct<page:bigint>" in text
 
 
-def test_committed_rows_join(spark, table, root, monkeypatch):
+def test_committed_rows_join(spark, table, root):
     commit_runs(spark.createDataFrame([("R1", 1)], "run_id string, fetched_rows bigint"), root)
     rows = table.withColumn("run_id", F.col("ingestion_run_id"))
     assert "BroadcastHashJoin LeftSemi" in plan(committed_rows(rows, read_registry(spark, root)))
-    monkeypatch.setattr(registry, "MAX_BROADCAST_RUNS", 0)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         assert "SortMergeJoin LeftSemi" in plan(committed_rows(rows, read_registry(spark, root)))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_run_slice_prunes_silver_directories(spark, root):
+    rows = [("1", "A", "US", "CA", "LA", run) for run in ("R1", "R2")]
+    columns = "id string, brewery_type string, country string, state_province string, city string"
+    df = spark.createDataFrame(rows, f"{columns}, ingestion_run_id string")
+    write_partitioned(df, f"{root}/silver", SILVER_PARTITIONS, sort_cols=SILVER_SORT)
+    text = plan(run_slice(open_silver(spark, root, df.schema), "R1"))
+    assert "PartitionFilters: [isnotnull(ingestion_run_id" in text
+
+
+def test_empty_run_report_scans_its_table(spark):
+    text = plan(entry.dq_report_empty_run(spark, entry.SF_SMOKE))
+    assert "Scan parquet" in text and "user_id" in text

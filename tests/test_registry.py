@@ -4,8 +4,8 @@ from tierbed.operators import (
     commit_runs,
     committed_rows,
     drop_manifest,
+    read_manifest,
     read_registry,
-    registry,
     require_committed,
     rerun_action,
     write_manifest,
@@ -14,7 +14,7 @@ from tierbed.operators import (
 
 def manifest(run_id, rows=1):
     return {"run_id": run_id, "fetched_rows": rows, "pages_fetched": 1, "per_page": 200,
-            "max_pages": 10, "started_at_utc": "a", "finished_at_utc": "b", "api_url": "u"}
+            "max_pages": 10, "truncated": False, "started_at_utc": "a", "finished_at_utc": "b", "api_url": "u"}
 
 
 def runs(spark, root):
@@ -54,9 +54,21 @@ def test_guard(spark, root):
         require_committed(spark, root, "R2")
 
 
-@pytest.mark.parametrize("limit", [100_000, 0])
-def test_committed_rows_with_and_without_broadcast(spark, root, monkeypatch, limit):
-    monkeypatch.setattr(registry, "MAX_BROADCAST_RUNS", limit)
+def test_directories_are_those_of_a_partitioned_write(spark, root):
+    odd = "a+b c:d/e%f#g[h]é=i"
+    commit_runs(spark.createDataFrame([(odd, 1)], "run_id string, fetched_rows bigint"), root)
+    assert read_manifest(spark, root, odd).first().fetched_rows == 1
+    write_manifest(spark, root, manifest(odd, 2))
+    assert runs(spark, root) == {odd: 2}
+
+
+def test_guard_wants_the_output_too(spark, root):
+    write_manifest(spark, root, manifest("R1"))
+    with pytest.raises(RuntimeError, match="output not found"):
+        require_committed(spark, root, "R1", f"{root}/raw/run_id=R1")
+
+
+def test_committed_rows(spark, root):
     commit_runs(spark.createDataFrame([("R1", 1), ("R2", 2)], "run_id string, fetched_rows bigint"), root)
     df = spark.createDataFrame([(1, "R1"), (2, "R3"), (3, "R2"), (4, None), (5, "R1")], "id int, run_id string")
     kept = committed_rows(df, read_registry(spark, root))

@@ -9,6 +9,7 @@ from tierbed.sources import (
     scan_raw,
     scan_runs,
     scan_table,
+    with_other_fields,
     write_partitioned,
     write_raw,
     write_raw_records,
@@ -25,6 +26,20 @@ def test_raw_keeps_nulls_and_text(spark, root):
     assert sorted(scan_raw(spark, root, df.schema).collect()) == sorted(df.collect())
 
 
+def test_line_breaks_between_tokens_do_not_make_more_records(spark, root):
+    df = spark.createDataFrame([(1, '{\n "id": "a",\r\n "b": "x\\ny"\n}')], "page int, record string")
+    write_raw_records(df, root)
+    assert [tuple(r) for r in scan_raw(spark, root, "id string, b string").collect()] == [("a", "x\ny")]
+
+
+def test_other_fields_follow_the_declared_ones(spark, root):
+    write_raw_records(spark.createDataFrame([('{"id": 7, "lat": 1.5}',)], "record string"), root)
+    schema = with_other_fields(spark, root, "id string, city string")
+    assert [(f.name, f.dataType.simpleString()) for f in schema] == [
+        ("id", "string"), ("city", "string"), ("lat", "double")
+    ]
+
+
 def test_raw_records_are_written_unchanged(spark, root):
     records = ['{"id": 1, "x": null}', '{"id": 2, "y": "é"}', "{bad"]
     df = spark.createDataFrame([(1, r) for r in records], "page int, record string")
@@ -65,40 +80,27 @@ def test_static_and_dynamic_overwrite(spark, root, coded):
 
 def test_few_files_per_partition(spark, root):
     df = spark.range(0, 4000, 1, 8).withColumn("k", (F.col("id") % 20).cast("string"))
-    for rows in (None, 4000, 4_000_000):
-        write_partitioned(df, root, ("k",), rows=rows)
-        # Ranges over 4 tasks cut at most three values in two; hashing cuts none.
-        files = len(glob.glob(f"{root}/k=*/*.parquet"))
-        assert files == 20 if rows in (None, 4000) else files <= 23
-        assert spark.read.parquet(root).count() == 4000
+    write_partitioned(df, root, ("k",), sort_cols=("id",))
+    assert len(glob.glob(f"{root}/k=*/*.parquet")) == 20
+    assert spark.read.parquet(root).count() == 4000
 
 
-@pytest.mark.parametrize(
-    ("rows", "adaptive"), [(None, "true"), (None, "false"), (8_000_000, "true")]
-)
-def test_hot_partition_value_is_split_over_tasks(spark, root, rows, adaptive):
-    """A value with 90 % of the rows must not be written by one task."""
-    df = spark.range(0, 200_000, 1, 8).select(
+@pytest.mark.parametrize(("n", "bytes_per_task"), [(20_000, "200k"), (200_000, "2m")])
+def test_hot_partition_value_is_split_over_tasks(spark, root, n, bytes_per_task):
+    """A value with 90 % of the rows must not be written by one task, at any size."""
+    df = spark.range(0, n, 1, 8).select(
         F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("c"), F.col("id") % 7)).alias("k"),
         F.sha2(F.col("id").cast("string"), 256).alias("payload"),
     )
-    settings = {
-        "spark.sql.adaptive.enabled": adaptive,
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2m",
-    }
-    before = {key: spark.conf.get(key) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, bytes_per_task)
     try:
-        write_partitioned(df, root, ("k",), rows=rows)
+        write_partitioned(df, root, ("k",))
     finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        spark.conf.set(key, before)
     assert len(glob.glob(f"{root}/k=hot/*.parquet")) >= 3
-    if rows is not None or adaptive == "false":
-        # Ranges leave the small values next to the hot one whole; rebalance may cut them.
-        assert len(glob.glob(f"{root}/k=c*/*.parquet")) <= 9
-    assert spark.read.parquet(root).distinct().count() == 200_000
+    assert spark.read.parquet(root).distinct().count() == n
 
 
 def test_run_scoped_overwrite_keeps_other_runs(spark, root):

@@ -8,6 +8,7 @@ from tierbed.operators.monitoring import (
     parse_monitoring,
     read_monitoring_log,
     route_alerts,
+    unparsed_monitoring,
 )
 from tierbed.operators.pages import contiguous_prefix, fetch_totals
 from tierbed.operators.quality import (
@@ -25,6 +26,7 @@ from tierbed.operators.registry import (
     commit_runs,
     committed_rows,
     drop_manifest,
+    read_manifest,
     read_registry,
     require_committed,
     rerun_action,
@@ -50,6 +52,7 @@ __all__ = [
     "quality_gate",
     "quality_report",
     "read_monitoring_log",
+    "read_manifest",
     "read_registry",
     "report_status",
     "require_committed",
@@ -57,6 +60,7 @@ __all__ = [
     "route_alerts",
     "run_slice",
     "stamp_run",
+    "unparsed_monitoring",
     "write_manifest",
     "write_report",
 ]

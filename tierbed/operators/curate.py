@@ -30,11 +30,13 @@ def curate(
 ) -> DataFrame:
     """Apply ``rules`` and stamp run id and ingestion time; other columns pass through.
 
-    All rules read the input row, not each other's results.
+    All rules read the input row, not each other's results. A source column that ``df`` lacks
+    counts as NULL.
     """
+    there = set(df.columns)
     columns = {
         rule.target: fill_default(
-            *rule.sources, default=rule.default, blank_as_missing=blank_as_missing
+            *[s if s in there else F.lit(None) for s in rule.sources], default=rule.default, blank_as_missing=blank_as_missing
         )
         for rule in rules
     }

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # How an event is marked in a log line, and its fields.
-EVENT_PATTERN = r"\[monitoring\] (\{.*\})\s*$"
+EVENT_PATTERN = r"(?s)\[monitoring\] (\{.*\})\s*\z"
+EVENT_MARK = "[monitoring] {"
 EVENT_SCHEMA = (
     "dag_id string, task_id string, run_id string, try_number int, state string, owner string, "
     "log_url string, logical_date string, exception string, captured_at_utc string, event string"
@@ -42,16 +43,26 @@ def format_monitoring(events: DataFrame, column: str = "value") -> DataFrame:
 
 
 def parse_monitoring(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Events found in log lines; lines that carry no event are dropped."""
+    """Events found in log lines; lines that carry no event are dropped.
+
+    Lines with the mark whose event cannot be read are given by ``unparsed_monitoring``.
+    """
     payload = F.regexp_extract(F.col(column), EVENT_PATTERN, 1)
     return (
-        lines.filter(F.col(column).contains("[monitoring] {"))
+        lines.filter(F.col(column).contains(EVENT_MARK))
         # A generator, because the filter would otherwise parse the line a second time.
         .select(F.inline(F.array(F.from_json(payload, EVENT_SCHEMA))))
         .filter(F.col("event").isNotNull())
     )
 
 
+def unparsed_monitoring(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Lines that are marked as an event but hold none that can be read."""
+    payload = F.regexp_extract(F.col(column), EVENT_PATTERN, 1)
+    event = F.from_json(payload, EVENT_SCHEMA)["event"]
+    return lines.filter(F.col(column).contains(EVENT_MARK) & event.isNull())
+
+
 def read_monitoring_log(spark: SparkSession, path: str) -> DataFrame:
     """Events of the log files under ``path``."""
     return parse_monitoring(spark.read.text(path))

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
-# The manifest's fields.
+from tierbed.functions.runs import run_path
+from tierbed.sources.tables import path_exists
+
+# The manifest's fields, and whether pages beyond the cap were left out.
 MANIFEST_SCHEMA = StructType(
     [
         StructField("run_id", StringType(), True),
@@ -15,14 +18,13 @@ MANIFEST_SCHEMA = StructType(
         StructField("pages_fetched", LongType(), True),
         StructField("per_page", LongType(), True),
         StructField("max_pages", LongType(), True),
+        StructField("truncated", BooleanType(), True),
         StructField("started_at_utc", StringType(), True),
         StructField("finished_at_utc", StringType(), True),
         StructField("api_url", StringType(), True),
     ]
 )
 WRITE_MODES = ("skip", "overwrite", "fail")
-# Registry rows that are sent to every executor; more runs than this use a shuffle join.
-MAX_BROADCAST_RUNS = 100_000
 
 
 def manifests_path(root: str) -> str:
@@ -33,11 +35,10 @@ def commit_runs(manifests: DataFrame, root: str) -> None:
     """Commit the runs of ``manifests`` (``run_id``, ``fetched_rows`` and more).
 
     Replaces earlier manifests of these runs only. Call it last, after the data
-    that the manifests describe is written.
+    that the manifests describe is written. Each task writes the manifests it has.
     """
     (
-        manifests.coalesce(1)
-        .write.mode("overwrite")
+        manifests.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("ignoreNullFields", "false")
         .partitionBy("run_id")
@@ -46,8 +47,11 @@ def commit_runs(manifests: DataFrame, root: str) -> None:
 
 
 def write_manifest(spark: SparkSession, root: str, manifest: dict) -> None:
-    """Commit one run."""
-    commit_runs(spark.createDataFrame([manifest], MANIFEST_SCHEMA), root)
+    """Commit one run; touches no other run's directory."""
+    row = spark.createDataFrame([manifest], MANIFEST_SCHEMA).drop("run_id")
+    row.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(
+        run_path(manifests_path(root), manifest["run_id"])
+    )
 
 
 def drop_manifest(spark: SparkSession, root: str, run_id: str) -> None:
@@ -67,12 +71,28 @@ def read_registry(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, root: str, run_id: str) -> DataFrame:
-    """Manifest of one run; the filter prunes the registry to one directory."""
-    return read_registry(spark, root).filter(F.col("run_id") == F.lit(run_id))
+    """Manifest of one run, read from its directory alone: other runs are not even listed."""
+    fields = [f for f in MANIFEST_SCHEMA.fields if f.name != "run_id"]
+    try:
+        found = spark.read.schema(StructType(fields)).json(run_path(manifests_path(root), run_id))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], StructType(fields))
+    committed = found.filter(F.col("fetched_rows").isNotNull())
+    return committed.select(F.lit(run_id).alias("run_id"), *[f.name for f in fields])
 
 
-def require_committed(spark: SparkSession, root: str, run_id: str) -> None:
-    """Raise when the run has no manifest, so that later steps do not start."""
+def require_committed(
+    spark: SparkSession, root: str, run_id: str, output: str | None = None
+) -> None:
+    """Raise when the run has no manifest, or its ``output`` path is gone, so that later steps do
+    not start."""
+    if output is not None and not path_exists(spark, output):
+        raise RuntimeError(
+            f"Commit guard failed: output not found. location={output} key=run_id={run_id} "
+            "error_code=NO_OUTPUT"
+        )
     if read_manifest(spark, root, run_id).isEmpty():
         raise RuntimeError(
             "Commit guard failed: manifest not found. "
@@ -83,13 +103,11 @@ def require_committed(spark: SparkSession, root: str, run_id: str) -> None:
 def committed_rows(df: DataFrame, registry: DataFrame, run_col: str = "run_id") -> DataFrame:
     """Rows of ``df`` whose run is in the registry.
 
-    The registry is broadcast while it is small, so ``df`` is not shuffled by a
-    column with few, uneven values. A larger registry is joined by shuffle, where
-    AQE splits runs that hold much of the table.
+    Spark broadcasts the registry if its measured bytes allow, so that ``df`` is not shuffled by a
+    column with few, uneven values. A larger registry is joined by shuffle, where AQE splits
+    runs that hold much of the table.
     """
     runs = registry.select(F.col("run_id").alias(run_col)).distinct()
-    if runs.limit(MAX_BROADCAST_RUNS + 1).count() <= MAX_BROADCAST_RUNS:
-        runs = F.broadcast(runs)
     return df.join(runs, run_col, "left_semi")
 
 

@@ -39,9 +39,10 @@ from tierbed.plans.places import (
     PLACE_RULES,
     PLACE_SCHEMA,
     SILVER_PARTITIONS,
+    SILVER_SORT,
 )
-from tierbed.sources.paged import PAGE_SCHEMA, PageBackend, read_pages
-from tierbed.sources.raw import scan_raw, write_raw_records
+from tierbed.sources.paged import PAGE_SCHEMA, PageBackend, stage_pages
+from tierbed.sources.raw import scan_raw, with_other_fields, write_raw_records
 from tierbed.sources.tables import (
     path_exists,
     scan_table,
@@ -49,10 +50,6 @@ from tierbed.sources.tables import (
     write_run,
 )
 
-# Up to this many rows, raw data is written in exactly ``output_slices`` files. Larger
-# runs keep one file per staged split and are not shuffled for it.
-MAX_RESLICED_ROWS = 200_000
-
 
 def layer(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
@@ -70,53 +67,59 @@ def ingest(
     *,
     write_mode: str = "skip",
     per_page: int = 200,
-    max_pages: int = 10,
+    max_pages: int | None = None,
     pages_per_task: int | None = None,
-    slices: int | None = None,
-    api_url: str = "",
+    max_slices: int = 8,
+    rows_per_slice: int = 500,
+    api_url: str | None = None,
 ) -> str:
     """Fetch a run's pages into ``raw/`` and commit it; returns ``skipped`` or ``ingested``.
 
     Pages are fetched once, into ``staging/``; counts and raw lines are made from
     the staged copy. The old manifest goes first and the new one comes last, so a
-    run that breaks in between is seen as incomplete and redone. ``slices`` forces
-    the number of raw files.
+    run that breaks in between is seen as incomplete and redone, as is one whose raw
+    output is gone. All pages up to the first empty one are fetched unless ``max_pages`` says
+    otherwise; the manifest's ``truncated`` tells whether that left pages out. Raw data is
+    written in one file per ``rows_per_slice`` rows, at most ``max_slices``: raise both for
+    large runs. ``api_url`` is by default the backend's URL or path.
     """
     raw = run_path(layer(root, "raw"), run_id)
     staging = run_path(layer(root, "staging"), run_id)
-    committed = not read_manifest(spark, root, run_id).isEmpty()
-    action = rerun_action(committed, committed or path_exists(spark, raw), write_mode, raw)
+    listed = not read_manifest(spark, root, run_id).isEmpty()
+    has_output = path_exists(spark, raw)
+    committed = listed and has_output
+    action = rerun_action(committed, has_output, write_mode, raw)
     if action == "skip":
         return "skipped"
 
     started = utc_now()
-    if committed:
+    if listed:
         drop_manifest(spark, root, run_id)
-    pages = read_pages(spark, backend, per_page, max_pages, pages_per_task)
-    pages.write.mode("overwrite").parquet(staging)
-    staged = spark.read.schema(PAGE_SCHEMA).parquet(staging)
+    staged = stage_pages(spark, backend, staging, per_page, max_pages, pages_per_task)
 
     totals = fetch_totals(contiguous_prefix(staged)).first()
     if totals.fetched_rows == 0:
         raise RuntimeError(f"Ingest returned 0 rows, nothing is committed. run_id={run_id}")
     # The prefix is pages 1..n, so the distinct pages counted are its last page.
-    kept = staged.filter(F.col("page").between(1, totals.pages_fetched))
-    if slices is None and totals.fetched_rows <= MAX_RESLICED_ROWS:
-        slices = output_slices(totals.fetched_rows)
-    write_raw_records(kept, raw, slices)
+    truncated = max_pages is not None and totals.pages_fetched > max_pages
+    pages_kept = max_pages if truncated else totals.pages_fetched
+    kept = staged.filter(F.col("page").between(1, pages_kept))
+    rows_kept = kept.count() if truncated else totals.fetched_rows
+    write_raw_records(kept, raw, output_slices(rows_kept, max_slices, rows_per_slice))
 
     write_manifest(
         spark,
         root,
         {
             "run_id": run_id,
-            "fetched_rows": totals.fetched_rows,
-            "pages_fetched": totals.pages_fetched,
+            "fetched_rows": rows_kept,
+            "pages_fetched": pages_kept,
             "per_page": per_page,
             "max_pages": max_pages,
+            "truncated": truncated,
             "started_at_utc": started,
             "finished_at_utc": utc_now(),
-            "api_url": api_url,
+            "api_url": api_url if api_url is not None else place_of(backend),
         },
     )
     # The run is committed; give the staged copy's space back.
@@ -124,6 +127,11 @@ def ingest(
     return "ingested"
 
 
+def place_of(backend: PageBackend) -> str:
+    """Where a backend says its pages come from."""
+    return str(getattr(backend, "url", None) or getattr(backend, "path", ""))
+
+
 def silver_schema(
     spark: SparkSession, raw_schema: str = PLACE_SCHEMA, rules: Sequence[FillRule] = PLACE_RULES
 ) -> StructType:
@@ -137,20 +145,28 @@ def build_silver(
     run_id: str,
     *,
     raw_schema: str | None = PLACE_SCHEMA,
+    other_fields: bool = True,
     rules: Sequence[FillRule] = PLACE_RULES,
     partition_cols: Sequence[str] = SILVER_PARTITIONS,
+    sort_cols: Sequence[str] = SILVER_SORT,
     overwrite: str = "static",
-) -> None:
-    """Curate a run's raw lines into the silver table."""
-    raw = scan_raw(spark, run_path(layer(root, "raw"), run_id), raw_schema)
-    manifest = read_manifest(spark, root, run_id).first()
+) -> StructType:
+    """Curate a run's raw lines into the silver table; returns the table's schema.
+
+    Fields that ``raw_schema`` does not name are found by one more pass over the raw lines and
+    kept, unless ``other_fields`` is false. Without ``raw_schema`` all types are inferred.
+    """
+    path = run_path(layer(root, "raw"), run_id)
+    schema = with_other_fields(spark, path, raw_schema) if raw_schema and other_fields else raw_schema
+    curated = curate(scan_raw(spark, path, schema), run_id, rules)
     write_partitioned(
-        curate(raw, run_id, rules),
+        curated,
         layer(root, "silver"),
         partition_cols,
         overwrite,
-        rows=manifest.fetched_rows if manifest else None,
+        sort_cols=[c for c in sort_cols if c in curated.columns and c not in partition_cols],
     )
+    return curated.schema
 
 
 def open_silver(
@@ -222,13 +238,18 @@ def run_pipeline(
     *,
     write_mode: str = "skip",
     per_page: int = 200,
-    max_pages: int = 10,
+    max_pages: int | None = None,
     pages_per_task: int | None = None,
+    max_slices: int = 8,
+    rows_per_slice: int = 500,
+    api_url: str | None = None,
     min_rows: int = 1,
     max_null_id_ratio: float = 0.0,
-    raw_schema: str = PLACE_SCHEMA,
+    raw_schema: str | None = PLACE_SCHEMA,
+    other_fields: bool = True,
     rules: Sequence[FillRule] = PLACE_RULES,
     partition_cols: Sequence[str] = SILVER_PARTITIONS,
+    sort_cols: Sequence[str] = SILVER_SORT,
     required: Sequence[str] = REQUIRED_COLUMNS,
     keys: Sequence[str] = GOLD_KEYS,
     id_col: str = "id",
@@ -244,12 +265,22 @@ def run_pipeline(
         per_page=per_page,
         max_pages=max_pages,
         pages_per_task=pages_per_task,
+        max_slices=max_slices,
+        rows_per_slice=rows_per_slice,
+        api_url=api_url,
     )
-    require_committed(spark, root, run_id)
-    build_silver(
-        spark, root, run_id, raw_schema=raw_schema, rules=rules, partition_cols=partition_cols
+    require_committed(spark, root, run_id, run_path(layer(root, "raw"), run_id))
+    schema = build_silver(
+        spark,
+        root,
+        run_id,
+        raw_schema=raw_schema,
+        other_fields=other_fields,
+        rules=rules,
+        partition_cols=partition_cols,
+        sort_cols=sort_cols,
     )
-    silver = open_silver(spark, root, silver_schema(spark, raw_schema, rules), partition_cols)
+    silver = open_silver(spark, root, schema, partition_cols)
     check_silver(
         spark,
         root,

@@ -14,6 +14,8 @@ PLACE_RULES = (
     FillRule("state_province", ("state_province", "state")),
     FillRule("city", ("city",)),
 )
-SILVER_PARTITIONS = ("country", "state_province", "city")
+# Runs and countries are directories; within a file rows are sorted by place.
+SILVER_PARTITIONS = ("ingestion_run_id", "country")
+SILVER_SORT = ("state_province", "city")
 GOLD_KEYS = ("country", "state_province", "city", "brewery_type")
 GOLD_COUNT = "brewery_count"

@@ -1,7 +1,15 @@
 """Readers and writers: pages, raw JSON lines, Parquet tables."""
 
-from tierbed.sources.paged import FilePages, HttpPages, PageBackend, read_pages, write_page_files
-from tierbed.sources.raw import scan_raw, write_raw, write_raw_records
+from tierbed.sources.paged import (
+    FilePages,
+    HttpPages,
+    PageBackend,
+    read_page_files,
+    read_pages,
+    stage_pages,
+    write_page_files,
+)
+from tierbed.sources.raw import scan_raw, with_other_fields, write_raw, write_raw_records
 from tierbed.sources.tables import (
     path_exists,
     scan_runs,
@@ -15,10 +23,13 @@ __all__ = [
     "HttpPages",
     "PageBackend",
     "path_exists",
+    "read_page_files",
     "read_pages",
     "scan_raw",
     "scan_runs",
     "scan_table",
+    "stage_pages",
+    "with_other_fields",
     "write_page_files",
     "write_partitioned",
     "write_raw",

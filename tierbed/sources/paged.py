@@ -6,6 +6,7 @@ typed here, so no field is lost and the raw layer stores what the source sent.
 
 from __future__ import annotations
 
+import base64
 import io
 import json
 import random
@@ -16,7 +17,6 @@ import urllib.parse
 import urllib.request
 from collections.abc import Iterator
 from typing import Protocol
-from uuid import uuid4
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -32,10 +32,8 @@ PAGE_SCHEMA = StructType(
     [StructField("page", LongType(), True), StructField("record", StringType(), True)]
 )
 
-# Read tasks per core, pages per task, and the tasks beyond which a task takes more pages.
+# Read tasks per core, unless a source limits how many may run at once.
 TASKS_PER_CORE = 4
-MAX_TASK_PAGES = 50
-MAX_READ_TASKS = 10_000
 # Rows per Arrow batch handed to the JVM; bounds a task's memory whatever the page size.
 BATCH_ROWS = 4_096
 
@@ -80,11 +78,15 @@ class FilePages:
 
 
 class HttpPages:
-    """Pages of a REST endpoint that takes ``page`` and ``per_page`` and returns a list."""
+    """Pages of a REST endpoint that takes ``page`` and ``per_page`` and returns a list.
 
-    def __init__(self, url: str, timeout_s: int = 30):
+    At most ``max_concurrency`` tasks ask at once. Records are parsed and written as JSON again.
+    """
+
+    def __init__(self, url: str, timeout_s: int = 30, max_concurrency: int = 1):
         self.url = url
         self.timeout_s = timeout_s
+        self.max_concurrency = max_concurrency
 
     def records(self, page: int, per_page: int) -> Iterator[str]:
         query = urllib.parse.urlencode({"page": page, "per_page": per_page})
@@ -111,17 +113,25 @@ class PageRange(InputPartition):
 
 
 class PageReader(DataSourceReader):
-    def __init__(self, backend: PageBackend, per_page: int, max_pages: int, pages_per_task: int):
+    def __init__(
+        self,
+        backend: PageBackend,
+        per_page: int,
+        max_pages: int,
+        pages_per_task: int,
+        first_page: int = 1,
+    ):
         self.backend = backend
         self.per_page = per_page
         self.max_pages = max_pages
         self.pages_per_task = pages_per_task
+        self.first_page = first_page
 
     def partitions(self) -> list[PageRange]:
         step = self.pages_per_task
         return [
             PageRange(first, min(first + step - 1, self.max_pages))
-            for first in range(1, self.max_pages + 1, step)
+            for first in range(self.first_page, self.max_pages + 1, step)
         ]
 
     def read(self, partition: PageRange) -> Iterator[pa.RecordBatch]:
@@ -146,10 +156,25 @@ def to_batch(page: int, records: list[str]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["page", "record"])
 
 
-def default_task_pages(max_pages: int, cores: int) -> int:
-    """Pages per task: a few tasks per core, short tasks, and a bounded number of them."""
-    per_task = min(MAX_TASK_PAGES, -(-max_pages // (cores * TASKS_PER_CORE)))
-    return max(1, per_task, -(-max_pages // MAX_READ_TASKS))
+class PagedSource(DataSource):
+    """The source behind ``read_pages``; its options carry the backend as text."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "tierbed_pages"
+
+    def schema(self) -> StructType:
+        return PAGE_SCHEMA
+
+    def reader(self, schema: StructType) -> DataSourceReader:
+        backend = cloudpickle.loads(base64.b64decode(self.options["backend"]))
+        numbers = (int(self.options[k]) for k in ("per_page", "last", "step", "first"))
+        return PageReader(backend, *numbers)
+
+
+def default_task_pages(pages: int, cores: int, max_concurrency: int | None = None) -> int:
+    """Pages per task: a few tasks per core, or as many tasks as may ask at once."""
+    return max(1, -(-pages // (max_concurrency or cores * TASKS_PER_CORE)))
 
 
 def read_pages(
@@ -158,46 +183,84 @@ def read_pages(
     per_page: int = 200,
     max_pages: int = 10,
     pages_per_task: int | None = None,
+    first_page: int = 1,
 ) -> DataFrame:
-    """Pages 1..``max_pages`` of ``backend`` as ``(page, record)`` rows.
+    """Pages ``first_page``..``max_pages`` of ``backend`` as ``(page, record)`` rows.
 
     One task reads ``pages_per_task`` consecutive pages, by default few enough to
-    keep every core busy. A task stops at the first empty page of its range;
+    keep every core busy, or so many that no more tasks run than the backend's
+    ``max_concurrency``. A task stops at the first empty page of its range;
     ``contiguous_prefix`` drops what other tasks read behind the first gap. Every
     action on the result fetches again, so write it out before using it twice.
     """
-    step = pages_per_task or default_task_pages(max_pages, spark.sparkContext.defaultParallelism)
-    source_name = f"tierbed_pages_{uuid4().hex}"
-
-    class PagedSource(DataSource):
-        @classmethod
-        def name(cls) -> str:
-            return source_name
-
-        def schema(self) -> StructType:
-            return PAGE_SCHEMA
-
-        def reader(self, schema: StructType) -> DataSourceReader:
-            return PageReader(backend, per_page, max_pages, step)
-
+    cores = spark.sparkContext.defaultParallelism
+    limit = getattr(backend, "max_concurrency", None)
+    step = pages_per_task or default_task_pages(max_pages - first_page + 1, cores, limit)
     # Ship the source code with the plan, so executors need no copy of the package.
-    for module in {__name__, type(backend).__module__} - {"__main__", "builtins"}:
-        cloudpickle.register_pickle_by_value(sys.modules[module])
-    spark.dataSource.register(PagedSource)
-    return spark.read.format(source_name).load()
-
-
-def write_page_files(
-    df: DataFrame, path: str, page: str = "page", rows: int | None = None
-) -> None:
-    """Store ``df`` as the page files that ``FilePages`` reads; ``page`` names the page.
+    modules = [
+        sys.modules[m] for m in {__name__, type(backend).__module__} - {"__main__", "builtins"}
+    ]
+    cloudpickle.register_pickle_by_value(modules[0])
+    for module in modules[1:]:
+        cloudpickle.register_pickle_by_value(module)
+    try:
+        packed = base64.b64encode(cloudpickle.dumps(backend)).decode()
+        spark.dataSource.register(PagedSource)
+    finally:
+        for module in modules:
+            cloudpickle.unregister_pickle_by_value(module)
+    options = {"per_page": per_page, "last": max_pages, "step": step, "first": first_page}
+    return spark.read.format(PagedSource.name()).options(backend=packed, **options).load()
+
+
+def stage_pages(
+    spark: SparkSession,
+    backend: PageBackend,
+    path: str,
+    per_page: int = 200,
+    max_pages: int | None = None,
+    pages_per_task: int | None = None,
+) -> DataFrame:
+    """Write the pages of ``backend`` to ``path`` and read them from there.
 
-    ``rows`` is the number of records if known, see ``gather_partitions``.
+    Stored page files are read by Spark itself. Other backends are asked in rounds, each twice
+    as long as the one before, until a round meets an empty page. With ``max_pages`` one page
+    more is asked for, which shows whether there is more than that.
     """
+    if isinstance(backend, FilePages):
+        pages = read_page_files(spark, backend.path)
+        if max_pages is not None:
+            pages = pages.filter(F.col("page") <= max_pages + 1)
+        pages.write.mode("overwrite").parquet(path)
+        return spark.read.schema(PAGE_SCHEMA).parquet(path)
+    first, mode = 1, "overwrite"
+    size = spark.sparkContext.defaultParallelism * TASKS_PER_CORE
+    while True:
+        last = first + size - 1 if max_pages is None else max_pages + 1
+        pages = read_pages(spark, backend, per_page, last, pages_per_task, first)
+        pages.write.mode(mode).parquet(path)
+        staged = spark.read.schema(PAGE_SCHEMA).parquet(path)
+        found = staged.filter(F.col("page") >= first).agg(F.count_distinct("page")).first()[0]
+        if max_pages is not None or found < last - first + 1:
+            return staged
+        first, size, mode = last + 1, 2 * size, "append"
+
+
+def read_page_files(spark: SparkSession, path: str) -> DataFrame:
+    """The page files under ``path`` as ``(page, record)`` rows; large files are read in splits."""
+    files = spark.read.text(path)
+    if "page" not in files.columns:  # no page at all
+        return spark.createDataFrame([], PAGE_SCHEMA)
+    page = F.col("page").cast("bigint").alias("page")
+    return files.filter(F.trim("value") != "").select(page, F.col("value").alias("record"))
+
+
+def write_page_files(df: DataFrame, path: str, page: str = "page") -> None:
+    """Store ``df`` as the page files that ``FilePages`` reads; ``page`` names the page."""
     fields = F.struct(*[F.col(c) for c in df.columns if c != page])
     records = df.select(
         F.col(page).alias("page"),
         F.to_json(fields, {"ignoreNullFields": "false"}).alias("record"),
     )
-    gathered = gather_partitions(records, ("page",), rows)
+    gathered = gather_partitions(records, ("page",))
     gathered.write.mode("overwrite").partitionBy("page").text(path)

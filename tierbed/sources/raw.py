@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -13,8 +14,11 @@ def write_raw(df: DataFrame, path: str, slices: int | None = None) -> None:
 
 
 def write_raw_records(records: DataFrame, path: str, slices: int | None = None) -> None:
-    """Write the JSON texts of a ``record`` column as they are."""
-    lines = records.select("record")
+    """Write the JSON texts of a ``record`` column, one line each.
+
+    Line breaks, which JSON allows between tokens only, become blanks; nothing else changes.
+    """
+    lines = records.select(F.translate("record", "\r\n", "  ").alias("record"))
     out = lines if slices is None else lines.repartition(slices)
     out.write.mode("overwrite").text(path)
 
@@ -29,3 +33,11 @@ def scan_raw(spark: SparkSession, path: str, schema: StructType | str | None = N
     if schema is not None:
         reader = reader.schema(schema)
     return reader.json(path)
+
+
+def with_other_fields(spark: SparkSession, path: str, schema: StructType | str) -> StructType:
+    """``schema`` and, after it, every other field that the JSON lines have; one pass over them."""
+    declared = spark.createDataFrame([], schema).schema
+    found = scan_raw(spark, path).schema
+    others = [f for f in found if f.name not in declared.names and f.name != "_corrupt_record"]
+    return StructType([*declared.fields, *others])

@@ -23,42 +23,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return True
 
 
-# Rows that one write task may take, and the most write tasks planned.
-ROWS_PER_WRITE_TASK = 1_000_000
-MAX_WRITE_TASKS = 20_000
-
-
-def gather_partitions(
-    df: DataFrame, partition_cols: Sequence[str], rows: int | None = None
-) -> DataFrame:
+def gather_partitions(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """Bring rows of a partition value together, so a directory gets few files.
 
-    With the table's size in ``rows``, a large table is split into even ranges of
-    (partition value, input split): small values share a task, a value that holds
-    much of the table is cut into several, and no other value is cut up with it.
-    The price is one more pass over the input to sample it. A table that one task
-    could write is hashed over the cores, since opening its files takes longest.
-    Without ``rows``, AQE merges and splits the shuffle partitions by their bytes;
-    where AQE is off, ranges over ``spark.sql.shuffle.partitions`` tasks are used.
+    Spark merges small shuffle partitions and splits large ones by their bytes
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so a value that holds much of the
+    table is written by many tasks. Needs adaptive execution, as Spark has it by default.
     """
-    columns = [F.col(c) for c in partition_cols]
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if rows is None and spark.conf.get("spark.sql.adaptive.enabled") == "true":
-        return df.hint("rebalance", *columns)
-    if rows is None:
-        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    elif rows <= ROWS_PER_WRITE_TASK:
-        return df.repartition(cores, *columns)
-    else:
-        tasks = min(MAX_WRITE_TASKS, max(cores, rows // ROWS_PER_WRITE_TASK))
-    # The split number is the same when a lost task runs again, unlike a random salt.
-    split = "_input_split"
-    return (
-        df.withColumn(split, F.spark_partition_id())
-        .repartitionByRange(tasks, *columns, F.col(split))
-        .drop(split)
-    )
+    return df.hint("rebalance", *[F.col(c) for c in partition_cols])
 
 
 def write_partitioned(
@@ -67,16 +39,18 @@ def write_partitioned(
     partition_cols: Sequence[str],
     overwrite: str = "static",
     max_records_per_file: int = 0,
-    rows: int | None = None,
+    sort_cols: Sequence[str] = (),
 ) -> None:
     """Overwrite a Parquet table partitioned by ``partition_cols``.
 
     ``static`` replaces the whole table, ``dynamic`` only the partitions in ``df``.
-    ``rows`` is passed on to ``gather_partitions``.
+    Rows are sorted by ``sort_cols`` within each directory's files, which lets scans skip.
     """
+    gathered = gather_partitions(df, partition_cols)
+    if sort_cols:
+        gathered = gathered.sortWithinPartitions(*partition_cols, *sort_cols)
     (
-        gather_partitions(df, partition_cols, rows)
-        .write.mode("overwrite")
+        gathered.write.mode("overwrite")
         .option("partitionOverwriteMode", overwrite)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(*partition_cols)
