@@ -7,13 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierbed.llm import oracles
 from tierbed.llm.arc import convert_pages
 from tierbed.llm.chosen_path import ngram_join
 from tierbed.llm.cotraining import quality_scores
 from tierbed.llm.curve_packing import pack_along_curve
 from tierbed.llm.fair_mixing import fair_mix
 from tierbed.llm.line_dedup import dedup_lines
-from tierbed.llm.quality_rules import quality_rules
+from tierbed.llm.quality_rules import Limits, quality_rules
 from tierbed.llm.secret_scan import joined_spans, scan_secrets
 from tierbed.llm.simhash import as_hex, fingerprints, likeness, neighbours
 from tierbed.llm.storage import saved, scratch
@@ -107,4 +108,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    limits = Limits()
+    return {
+        "op6_line_dedup": oracles.LINE_DEDUP,
+        "op7_quality_rules": oracles.quality_rules(
+            limits.min_docs, limits.share, limits.depletion, limits.min_words, limits.max_repeat_percent
+        ),
+    }
