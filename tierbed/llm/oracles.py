@@ -18,7 +18,7 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM marked GROUP BY doc_id"""
 
 
-def quality_rules(min_docs: int, share: float, depletion: float, min_words: int, percent: int) -> str:
+def quality_rules(min_docs: int, share: float, own: float, depletion: float, min_words: int, percent: int) -> str:
     """The rules of ``quality_rules`` with lines compared by their text."""
     above = f"held >= {min_docs} AND held > host_docs * {share}"
     return rf"""
@@ -38,7 +38,7 @@ by_word AS (SELECT doc_id, count(*) AS n_words, sum(length(w)) AS word_chars, su
 lines AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line FROM docs),
 by_line AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM lines
             WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id),
-plain AS (SELECT doc_id, source, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'),
+plain AS (SELECT doc_id, source, trim(regexp_replace(lower(line),
                  '[\x20\x09\x0B-\x0D]+', ' ', 'g')) AS l FROM lines),
 held_lines AS (SELECT doc_id, source, l, count(*) * len(string_split(l, ' ')) AS n FROM plain
                WHERE l <> '' GROUP BY doc_id, source, l),
@@ -48,7 +48,7 @@ frequent AS (SELECT h.* FROM held_lines h JOIN (
     JOIN hosts USING (source) WHERE {above}) f USING (source, l)),
 own AS (SELECT doc_id FROM (SELECT doc_id, sum(n) AS lost FROM frequent GROUP BY doc_id) a
         JOIN (SELECT doc_id, sum(n) AS total FROM held_lines GROUP BY doc_id) b USING (doc_id)
-        WHERE lost < total * {depletion}),
+        WHERE lost < total * {own}),
 boilerplate AS (SELECT source, l FROM (SELECT source, l, count(*) AS held FROM frequent JOIN own USING (doc_id)
                 GROUP BY source, l) c JOIN hosts USING (source) WHERE {above}),
 depleted AS (SELECT doc_id FROM (SELECT doc_id, sum(n) AS lost FROM frequent JOIN boilerplate USING (source, l)

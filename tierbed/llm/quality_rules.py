@@ -2,9 +2,9 @@
 
 Lines are normalised and hashed; for each host, the documents that hold a line are counted.
 Lines above the limit are boilerplate and are removed; a document that loses most of its words
-with them is rejected. Copies of a document share all their lines, which is no sign of
-boilerplate, so lines above the limit are counted once more over the documents that keep words
-of their own, and only those above the limit there as well are removed.
+with them is rejected. Copies and near copies of a document share most of their lines, which is no
+sign of boilerplate, so lines above the limit are counted once more over the documents that
+are mostly made of other lines, and only those above the limit there as well are removed.
 
 All steps are DataFrame functions. Lines become rows once and are kept in the shared folder
 without their text. Counts need one partial aggregation; joins back to lines are salted.
@@ -25,11 +25,13 @@ SALTS = 16
 @dataclass(frozen=True)
 class Limits:
     """A line is boilerplate in a host if at least ``min_docs`` documents and more than
-    ``share`` of the host's documents hold it. A document is depleted when it loses at least
+    ``share`` of the host's documents hold it, counting only documents of which lines held so
+    often make up less than ``own``. A document is depleted when it loses at least
     ``depletion`` of its words. The rest are the rules on single documents."""
 
     min_docs: int = 10
     share: float = 0.01
+    own: float = 0.33
     depletion: float = 0.8
     min_words: int = 20
     max_repeat_percent: int = 30
@@ -92,9 +94,8 @@ def with_word_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def normalised_lines(text: Column) -> Column:
-    """One string per line: lower case, digits as one 0, white space as one blank, trimmed."""
-    plain = F.regexp_replace(F.lower(text), "[0-9]+", "0")
-    plain = F.regexp_replace(plain, r"[\x20\x09\x0B-\x0D]+", " ")
+    """One string per line: lower case, white space as one blank, trimmed."""
+    plain = F.regexp_replace(F.lower(text), r"[\x20\x09\x0B-\x0D]+", " ")
     return F.transform(F.split(plain, "\n"), lambda line: F.trim(line))
 
 
@@ -171,7 +172,7 @@ def boilerplate(prepared: DataFrame, limits: Limits) -> DataFrame:
     frequent = saved(frequent.dropDuplicates(["key", "line"]), "quality-frequent")
     lost = F.sum("n").over(Window.partitionBy("key"))
     own = frequent.withColumn("lost", lost).filter(
-        F.col("lost") < F.col("doc_words") * limits.depletion
+        F.col("lost") < F.col("doc_words") * limits.own
     )
     recounted = own.groupBy("host", "line").agg(F.count("*").alias("held"))
     return _holding(frequent, _above_limits(recounted, hosts, limits))

@@ -112,6 +112,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op6_line_dedup": oracles.LINE_DEDUP,
         "op7_quality_rules": oracles.quality_rules(
-            limits.min_docs, limits.share, limits.depletion, limits.min_words, limits.max_repeat_percent
+            limits.min_docs, limits.share, limits.own, limits.depletion, limits.min_words,
+            limits.max_repeat_percent,
         ),
     }

@@ -250,7 +250,7 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 {
                     "u": pa.array(uids),
                     "rare_known": pa.array(np.bincount(first, minlength=len(uids))),
-                    "rare_log": pa.array(sums),
+                    "rare_log": pa.array(sums.astype(float)),
                 }
             )
 
