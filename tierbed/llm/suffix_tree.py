@@ -125,12 +125,12 @@ def _next_level(levels: list[Level], context: np.ndarray, suffix: np.ndarray, co
     of, shorter = below.index.find(context), below.index.find(suffix)
     log_short = below.log_p[shorter]
     total = below.counts.astype(float)
-    stored = np.bincount(of, weights=counts, minlength=len(total))
+    stored = np.bincount(of, weights=counts, minlength=len(total)).astype(float)
     reserve = 1.0 + np.bincount(of, minlength=len(total))
     share = (total - stored + reserve) / (total + reserve)
     p = counts / (total[of] + reserve[of]) + share[of] * 10**log_short
-    gain = np.bincount(of, weights=counts * (np.log(p) - np.log(10) * log_short), minlength=len(total))
-    gain += (total - stored) * np.log(share)
+    better = counts * (np.log(p) - np.log(10) * log_short)
+    gain = np.bincount(of, weights=better, minlength=len(total)) + (total - stored) * np.log(share)
     state = (gain >= divergence) & (stored > 0)
     below.back_off = np.where(state, np.log10(share), 0.0)
     log_p = np.where(state[of], np.log10(p), log_short)
