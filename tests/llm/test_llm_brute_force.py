@@ -19,7 +19,7 @@ from tierbed.llm.arc import arc_archive, arc_records, convert_arc, warc_fields
 from tierbed.llm.chosen_path import lost_per_run, near_forest, ngram_join, overlaps, runs_for
 from tierbed.llm.curve_packing import WordTokenizer, hilbert_key
 from tierbed.llm.line_dedup import MinimalPerfectHash
-from tierbed.llm.quality_rules import quality_rules
+from tierbed.llm.quality_rules import quality_rules, without_boilerplate
 from tierbed.llm.secret_scan import KINDS, scan_secrets
 from tierbed.llm.text import HashIndex, Tally, word_hashes
 
@@ -310,6 +310,9 @@ def test_quality_rules_spare_copies_and_reject_boilerplate(spark):
     for i, (kind, _) in enumerate(rows):
         assert kept[i].kept == (kind != "empty"), kind
         assert (kept[i].removed_words > 0) == (kind in ("own", "empty"))
+    for r in without_boilerplate(df).collect():
+        kind, text = rows[r.doc_id]
+        assert r.text == {"own": text.split("\n")[0], "empty": ""}.get(kind, text)
 
 
 def test_cotraining_on_held_out_labels(spark, docs):

@@ -11,7 +11,7 @@ from tierbed.llm.cotraining import quality_scores
 from tierbed.llm.curve_packing import pack_along_curve
 from tierbed.llm.fair_mixing import fair_mix
 from tierbed.llm.line_dedup import dedup_lines
-from tierbed.llm.quality_rules import quality_rules
+from tierbed.llm.quality_rules import quality_rules, without_boilerplate
 from tierbed.llm.secret_scan import scan_secrets
 from tierbed.llm.simhash import fingerprints, neighbours
 from tierbed.llm.suffix_tree import suffix_tree_scores
@@ -80,6 +80,10 @@ def test_stages(spark, docs, name):
     assert stage(spark, docs.limit(0), "").collect() == []
 
 
+def test_boilerplate_leaves_other_rows_alone(docs):
+    assert sorted(without_boilerplate(docs).collect(), key=str) == sorted(docs.collect(), key=str)
+
+
 def test_neighbours_of_nothing(docs):
     prints = fingerprints(docs)
     assert neighbours(prints.limit(0), prints).collect() == []

@@ -236,3 +236,30 @@ def kept_documents(
     return keyed.join(rejected, F.col("__key") == F.col("__rejected"), "left_anti").select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )
+
+
+def without_boilerplate(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    host_col: str = "source",
+    limits: Limits = Limits(),
+) -> DataFrame:
+    """All rows of ``docs`` with the lines above the limits removed from the text, other columns
+    as they are. Null texts stay null; a text may end up empty."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    gone = (
+        boilerplate(_prepared(docs, id_col, host_col, text_col), limits)
+        .groupBy(F.col("key").alias("__gone_key"))
+        .agg(F.collect_set("line").alias("__gone"))
+    )
+    keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.col(host_col).cast("string"), text))
+    joined = keyed.join(gone, F.col("__key") == F.col("__gone_key"), "left")
+    left = F.zip_with(
+        F.split(F.col(text_col), "\n"),
+        normalised_lines(F.col(text_col)),
+        lambda line, plain: F.when((plain == "") | ~F.array_contains("__gone", F.xxhash64(plain)), line),
+    )
+    cleaned = F.array_join(F.filter(left, lambda x: x.isNotNull()), "\n")
+    kept = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(cleaned)
+    return joined.select(*[kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])
