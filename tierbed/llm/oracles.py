@@ -64,3 +64,18 @@ SELECT *, n_words < {min_words} OR 100 * n_repeat_words > {percent} * n_words AS
        NOT (n_words < {min_words} OR 100 * n_repeat_words > {percent} * n_words)
        AND doc_id NOT IN (SELECT doc_id FROM depleted) AS kept
 FROM stats"""
+
+
+# Five hexadecimal digits are four base-32 digits.
+ARC_TO_WARC = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+firsts AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h),
+digests AS (SELECT h, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(
+              (CAST('0x' || substr(h, CAST(5 * (j // 4) + 1 AS INTEGER), 5) AS BIGINT)
+               >> CAST(15 - 5 * (j % 4) AS INTEGER)) & 31 AS INTEGER) + 1, 1), '' ORDER BY j) AS digest
+            FROM firsts, range(32) t(j) GROUP BY h)
+SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
+       digest AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM p JOIN firsts USING (h) JOIN digests USING (h)"""

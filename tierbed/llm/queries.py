@@ -110,6 +110,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     limits = Limits()
     return {
+        "op10_arc_to_warc": oracles.ARC_TO_WARC,
         "op6_line_dedup": oracles.LINE_DEDUP,
         "op7_quality_rules": oracles.quality_rules(
             limits.min_docs, limits.share, limits.own, limits.depletion, limits.min_words,
