@@ -70,12 +70,15 @@ def _ranked_sources(sizes: DataFrame, weights: tuple[int, ...]) -> DataFrame:
 
 
 def shuffle_key(id_col: str, source_col: str, text_col: str, seed: int) -> Column:
-    return F.xxhash64(F.lit(seed), F.col(id_col), F.col(source_col), F.col(text_col))
+    """60 bits of a digest of the row."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (id_col, source_col, text_col)]
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), *parts))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint")
 
 
 def _timed(queue: DataFrame, sources: DataFrame) -> DataFrame:
     """The queue with ``finish``, the virtual time at which its first pass has each document."""
-    sliced = queue.withColumn("slice", F.shiftrightunsigned("shuffle", 65 - SLICES.bit_length()))
+    sliced = queue.withColumn("slice", F.shiftright("shuffle", 61 - SLICES.bit_length()))
     earlier = Window.partitionBy("of").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     slices = (
         sliced.groupBy(F.col("source").alias("of"), F.col("slice").alias("at"))

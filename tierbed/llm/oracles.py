@@ -79,3 +79,30 @@ SELECT page_id, CAST(octet_length(encode(body)) AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id <> first_id THEN first_id END AS refers_to
 FROM p JOIN firsts USING (h) JOIN digests USING (h)"""
+
+
+FAIR_MIXING = r"""
+WITH d AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+         CAST('0x' || substr(md5(concat_ws(':', '7', coalesce(CAST(doc_id AS VARCHAR), ''),
+              coalesce(source, ''), coalesce(text, ''))), 1, 15) AS BIGINT) AS shuffle
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+             row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY source),
+w AS (SELECT *, rank % 3 + 1 AS weight, 3 * source_size AS most, 3 * source_size / (rank % 3 + 1) AS dry FROM s),
+l AS (SELECT *, CAST(sum(source_size) OVER () AS BIGINT) AS budget,
+             coalesce(CAST(sum(most) OVER o AS BIGINT), 0) AS given,
+             CAST(sum(weight) OVER () AS BIGINT) - coalesce(CAST(sum(weight) OVER o AS BIGINT), 0) AS open_weight
+      FROM w WINDOW o AS (ORDER BY dry, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT (budget - given) / open_weight AS height FROM l
+          WHERE (budget - given) / open_weight <= dry ORDER BY dry, rank LIMIT 1),
+t AS (SELECT source, source_size, weight, budget, least(CAST(most AS DOUBLE), weight * height) AS target
+      FROM l, level),
+q AS (SELECT d.*, source_size, weight, budget, target,
+             CAST(sum(size) OVER (PARTITION BY d.source ORDER BY shuffle) AS BIGINT) AS queued
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+e AS (SELECT q.*, epoch, (source_size * epoch + queued) / weight AS finish FROM q, range(3) r(epoch)),
+c AS (SELECT *, sum(size) OVER (ORDER BY finish, shuffle, epoch) AS total FROM e)
+SELECT doc_id, size, source_size, target,
+       CAST(sum(CASE WHEN total <= budget THEN size ELSE 0 END) AS BIGINT) AS taken
+FROM c GROUP BY doc_id, size, source_size, target"""

@@ -116,4 +116,5 @@ def oracle_sql() -> dict[str, str]:
             limits.min_docs, limits.share, limits.own, limits.depletion, limits.min_words,
             limits.max_repeat_percent,
         ),
+        "op9_fair_mixing": oracles.FAIR_MIXING,
     }
