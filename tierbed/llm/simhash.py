@@ -211,8 +211,10 @@ def neighbours(fps: DataFrame, queries: DataFrame, radius: int = 3, blocks: int
         passed = [b for b in range(table[-1]) if b not in table]
         missed = reduce(lambda a, b: a & b, [differing.bitwiseAND(_signed(masks[b])) != 0 for b in passed], F.lit(True))
         first = first | ((F.col("entry_table") == i) & missed)
+    # Queries grow eightyfold after the last measured shuffle, so their size there must not make
+    # Spark broadcast them.
     met = entries.join(
-        asked,
+        asked.hint("merge"),
         (F.col("entry_table") == F.col("query_table"))
         & (F.col("entry_key") == F.col("query_key"))
         & (F.col("salt") == F.col("query_salt"))
