@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _SPACE = np.zeros(256, bool)
@@ -141,7 +141,7 @@ class Tally:
     """Counts of keys over many blocks, with an array of values for each key; it folds when it has
     grown, so memory stays bounded."""
 
-    def __init__(self, limit: int = 1 << 21) -> None:
+    def __init__(self, limit: int = 1 << 19) -> None:
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.size, self.limit = 0, limit
 
