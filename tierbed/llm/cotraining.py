@@ -214,17 +214,17 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, sample: int) -> Mode
     named = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col("doc_id").alias("of"))
     named = named.agg(F.max(F.col(label_col)).cast("int").alias("y"), F.min(label_col).alias("low"))
     named = named.filter(F.col("y") == F.col("low"))  # labels that disagree are none
-    joined = docs.join(named, F.col("doc_id") == F.col("of"), "left").select(
-        "doc_id", "text", "source", "lang", F.coalesce("y", F.lit(-1)).alias("y"),
-        F.xxhash64("doc_id", F.xxhash64("text")).alias("rank"),
-    )
-    # Which rows are sampled is decided on hashes alone; texts are read for the chosen ones.
-    ranks = joined.select("doc_id", "rank", "y")
-    chosen = ranks.filter("y >= 0").orderBy("rank").limit(sample).union(
-        ranks.filter("y < 0").orderBy("rank").limit(sample)
-    ).select(F.col("rank").alias("r"))
-    # At most 2 * sample hashes.
-    picked = joined.join(F.broadcast(chosen.distinct()), F.col("rank") == F.col("r"), "left_semi")
+    rank = F.xxhash64("doc_id", F.xxhash64("text")).alias("rank")
+    # Which rows are sampled is decided on hashes alone; texts stay where they are.
+    ranks = docs.select("doc_id", rank).join(named, F.col("doc_id") == F.col("of"), "left")
+    ranks = ranks.select(F.col("rank").alias("r"), F.coalesce("y", F.lit(-1)).alias("y"))
+    chosen = ranks.filter("y >= 0").orderBy("r").limit(sample).union(
+        ranks.filter("y < 0").orderBy("r").limit(sample)
+    )
+    # At most 2 * sample rows of two numbers.
+    picked = docs.withColumn("rank", rank).join(
+        F.broadcast(chosen.dropDuplicates(["r"])), F.col("rank") == F.col("r")
+    )
     found = picked.mapInArrow(_sampled, "y int, rank bigint, text binary, meta binary").toPandas()
     found = found.drop_duplicates("rank").sort_values("rank")
 
