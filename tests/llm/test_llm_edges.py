@@ -105,3 +105,49 @@ def test_null_pages(spark, tmp_path):
     assert got == sorted([(1, "response", None), (2, "revisit", 1), (0, "revisit", 1), (3, "response", None),
                           (4, "revisit", 3), (4, "revisit", 3), (0, "revisit", 3), (5, "response", None)], key=str)
     assert convert_pages(pages.limit(0), str(tmp_path / "none")).collect() == []
+
+
+def test_suffix_tree_keeps_contexts_at_any_size(spark):
+    """A context met forty times is a state however large the rest of the corpus is; texts, against
+    the tree on arrays."""
+    import numpy as np
+
+    from tierbed.llm.suffix_tree import DIVERGENCE, END, Level, _next_level
+    from tierbed.llm.text import HashIndex, combine, with_end, word_hashes
+
+    texts = ["some rare context comes true"] * 40 + [f"w{i % 977} w{i % 89} w{i % 7} x" for i in range(2000)]
+    texts = [(i, t, True) for i, t in enumerate(texts)] + [(9000, "a rare context comes true now", False)]
+    df = spark.createDataFrame(texts, "doc_id long, text string, train boolean")
+    got = {r.doc_id: r for r in suffix_tree_scores(df, F.col("train"), p_min=0.05).collect()}
+    assert got[9000].score > got[9000].base_score + 5
+
+    chains = [[with_end(*word_hashes([t.encode()]), END)[0] for _, t, _ in texts]]
+    for _ in range(3):
+        chains.append([combine(t[:-1], t[1:]) for t in chains[-1]])
+    learned = [np.concatenate([t for t, (_, _, train) in zip(level, texts, strict=True) if train]) for level in chains]
+    keys, counts = np.unique(learned[0], return_counts=True)
+    log_total = np.log10(counts.sum() + len(keys) + 1)
+    levels = [Level(HashIndex(keys), counts, np.log10(counts + 1.0) - log_total, np.zeros(len(keys)))]
+    for depth in (1, 2, 3):
+        pairs = [np.stack([t[:-1], t[1:]], 1) for t, (_, _, train) in zip(chains[depth - 1], texts, strict=True) if train]
+        pairs, counts = np.unique(np.concatenate(pairs), axis=0, return_counts=True)
+        pairs, counts = pairs[counts > 1], counts[counts > 1]
+        levels.append(_next_level(levels, pairs[:, 0], pairs[:, 1], counts, DIVERGENCE))
+    for (doc, _, _), *of in zip(texts, *chains, strict=True):
+        score = 0.0
+        for t in range(len(of[0])):
+            for depth in (3, 2, 1, 0):
+                if depth > t:
+                    continue
+                find = lambda d, at: int(levels[d].index.find(of[d][at - d : at - d + 1])[0])
+                if not depth:
+                    at = find(0, t)
+                    score += levels[0].log_p[at] if at >= 0 else -log_total
+                    break
+                before, at = find(depth - 1, t - 1), find(depth, t)
+                share = levels[depth - 1].back_off[before] if before >= 0 else 0.0
+                if share < 0 and at >= 0:
+                    score += levels[depth].log_p[at]
+                    break
+                score += share
+        assert got[doc].score == pytest.approx(score, rel=1e-9), doc

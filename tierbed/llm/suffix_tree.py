@@ -2,16 +2,19 @@
 
 The root's next-token distribution covers the whole vocabulary, with one count added to each
 token and to the unknown one. Deeper states are contexts of one to ``DEPTH`` words. A context and
-a next token are considered if together they make up at least ``P_MIN`` of all tokens, so a
-level holds at most ``1 / P_MIN`` of them at any corpus size; a context is retained if its
-next-token distribution diverges enough from that of the context one word shorter. A state's
-distribution is smoothed with the shorter state's. A token is scored by the longest suffix of
-the words before it that is a state.
-
-Learning reads the corpus once per level and counts exactly. The tree above the root, bounded by
-``P_MIN``, is sent to all tasks. Counts of frequent words go with it; the rest of the vocabulary
-grows with the corpus and stays in shards: documents send the hashes of their rare words there
-and get sums back.
+a next token are considered if they occur together ``LEAST`` times, at any corpus size; a context
+is retained if its next-token distribution diverges enough from that of the context one word
+shorter. A state's distribution is smoothed with the shorter state's. A token is scored by the
+longest suffix of the words before it that is a state.
+
+Learning reads the corpus once per level and counts exactly; the test for divergence and the
+smoothing are aggregations and joins, so the tree grows with the corpus and is never in one
+place. A text's score is a sum of one weight for each of its chains (``_weighed``), so it is
+looked up like a bag of words: weights of the chains that make up at least ``P_MIN`` of all
+tokens, at most ``1 / P_MIN`` a level, are sent to all tasks; the others stay in shards, and
+documents send the hashes of their chains there and get sums back. Bit arrays of bounded size
+(``Bits``) tell most chains that are not in the tree apart; one that they let through is only
+looked up in vain.
 """
 
 from __future__ import annotations
@@ -19,6 +22,8 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -32,9 +37,12 @@ from tierbed.llm.text import HashIndex, Tally, blocks, combine, encoded, with_en
 
 DEPTH = 3
 P_MIN = 5e-7
+LEAST = 2
 DIVERGENCE = 10.0
 END = 0x5EED0E0D
 SHARD_WORDS = 500_000
+MOST_BITS = 28
+SEGMENTS = 8
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -56,34 +64,52 @@ class Level:
     back_off: np.ndarray
 
 
-def _matched(levels: list[Level], tokens: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Level by level: the chain that ends at each token, the chain before it of the same level,
-    and the numbers of the chains in the level (-1: not frequent, or none).
+class Bits:
+    """A set of 64-bit hashes by their first bits: may hold others too, never misses one."""
 
-    The chain of the next level is made of two neighbouring chains of this one, and can only be
-    frequent where both are.
-    """
-    chain = tokens
-    where = np.arange(len(tokens))
+    def __init__(self, words: np.ndarray) -> None:
+        self.words = words
+        self.shift = np.uint64(64 - (64 * len(words)).bit_length() + 1)
+
+    def has(self, keys: np.ndarray) -> np.ndarray:
+        at = keys >> self.shift
+        return (self.words[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _bits(keys: DataFrame) -> Bits:
+    """``Bits`` of the column ``key``; each segment is made by one task."""
+    size = min(MOST_BITS, max(16, (16 * keys.count()).bit_length()))
+
+    def segment(part: pd.DataFrame) -> pd.DataFrame:
+        at = part["key"].to_numpy(np.int64).view(np.uint64) >> np.uint64(64 - size)
+        flags = np.zeros(1 << (size - SEGMENTS), bool)
+        flags[(at & np.uint64(len(flags) - 1)).astype(np.int64)] = True
+        bits = np.packbits(flags, bitorder="little").tobytes()
+        return pd.DataFrame([{"segment": part["segment"].iloc[0], "bits": bits}])
+
+    dealt = keys.select("key", F.shiftrightunsigned("key", 64 - SEGMENTS).alias("segment"))
+    words = np.zeros((1 << SEGMENTS, 1 << (size - SEGMENTS - 6)), np.uint64)
+    for row in dealt.groupBy("segment").applyInPandas(segment, "segment bigint, bits binary").collect():
+        words[row["segment"]] = np.frombuffer(row["bits"], "<u8")
+    return Bits(words.reshape(-1))
+
+
+def _chains(tokens: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Level by level: the chain that ends at each token, and whether one of that length does."""
     starts = np.zeros(len(tokens) + 1, bool)
     starts[bounds[:-1]] = True
-    for level in levels:
-        number = np.full(len(tokens), -1, np.int32)
-        number[where] = level.index.find(chain[where])
-        yield chain, number, where
-        both = number >= 0
-        both[1:] &= number[:-1] >= 0
-        both[0:1] = False
-        both &= ~starts[:-1]
-        where = np.flatnonzero(both)
-        longer = np.zeros(len(tokens), np.uint64)
-        longer[where] = combine(chain[where - 1], chain[where])
-        chain = longer
-    yield chain, np.full(len(tokens), -1, np.int32), where
-
-
-def _count(shared):
-    """Counts the chains one level above the known ones; rows ``context, suffix, n``."""
+    chain, whole = tokens, np.ones(len(tokens), bool)
+    while True:
+        yield chain, whole
+        longer, both = np.zeros_like(chain), whole & ~starts[:-1]
+        longer[1:] = combine(chain[:-1], chain[1:])
+        both[1:] &= whole[:-1]
+        chain, whole = longer, both
+
+
+def _count(depth: int, shared):
+    """Counts the chains of ``depth + 1`` tokens; rows ``context, suffix, n``. ``shared`` has the
+    ``Bits`` of the chains one token shorter: a chain is repeated only if both it is made of are."""
 
     def rows(found: tuple[np.ndarray, ...]) -> pa.RecordBatch:
         keys, counts, *pair = found
@@ -97,16 +123,21 @@ def _count(shared):
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = shared.value
+        known = shared.value
         tally = Tally()
         for batch in batches:
             texts = batch.column("text")
             for a, b in blocks(texts):
                 tokens, bounds = _tokens(texts[a:b])
-                if not levels:
+                if not depth:
                     parts = tally.add(tokens)
                 else:
-                    *_, (below, _, _), (chain, _, where) = _matched(levels, tokens, bounds)
+                    *_, (below, _), (chain, whole) = islice(_chains(tokens, bounds), depth + 1)
+                    if known is not None:
+                        repeated = known.has(below)
+                        whole &= repeated
+                        whole[1:] &= repeated[:-1]
+                    where = np.flatnonzero(whole)
                     parts = tally.add(chain[where], below[where - 1], below[where])
                 for part in parts:
                     yield rows(part)
@@ -117,9 +148,18 @@ def _count(shared):
     return run
 
 
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        context, suffix = (batch.column(k).to_numpy().view(np.uint64) for k in ("context", "suffix"))
+        key = pa.array(combine(context, suffix).view(np.int64))
+        yield pa.RecordBatch.from_arrays([key, *batch.columns], ["key", *batch.schema.names])
+
+
 def _next_level(levels: list[Level], context: np.ndarray, suffix: np.ndarray, counts: np.ndarray,
                 divergence: float) -> Level:
-    """The level of the given frequent chains; says which contexts of the level below are states."""
+    """The level of the given chains; says which contexts of the level below are states.
+
+    ``_weighed`` does the same on tables; this is what tests hold it against."""
     below = levels[-1]
     chain = combine(context, suffix)
     of, shorter = below.index.find(context), below.index.find(suffix)
@@ -137,45 +177,104 @@ def _next_level(levels: list[Level], context: np.ndarray, suffix: np.ndarray, co
     return Level(HashIndex(chain), counts, log_p, np.zeros(len(chain)))
 
 
-def _bounded(counts: DataFrame, least: int) -> tuple[np.ndarray, ...]:
-    """Frequent chains on the driver: at most ``1 / P_MIN`` rows."""
-    frame = counts.filter(F.col("n") >= least).toPandas()
-    context, suffix = (frame[k].to_numpy(np.int64).view(np.uint64) for k in ("context", "suffix"))
-    return context, suffix, frame["n"].to_numpy(np.int64)
+def _weighed(below: DataFrame, chains: DataFrame, divergence: float) -> tuple[DataFrame, DataFrame]:
+    """The level below with weights, ``key, n, weight``, and the level of ``chains``.
+
+    A level has ``key, n``; ``log_p``, the last token's probability after the longest state among
+    the contexts that the chain ends; ``own``, that probability without the shares ``left`` to
+    shorter contexts by the states it ends after; ``short``, the same of the chain one token
+    shorter; and ``left``, the shares left by the states that its suffixes are.
+
+    With these a token's log probability is the sum, over all chains that end at it, of
+    ``own - short`` and, over all that end before it, of what they leave to shorter contexts.
+    """
+    groups = chains.groupBy("context").agg(F.sum("n").alias("stored"), (F.count("*") + 1.0).alias("reserve"))
+    of = below.select(F.col("key").alias("context"), F.col("n").alias("total"), F.col("left").alias("context_left"))
+    share = F.expr("(total - stored + reserve) / (total + reserve)")
+    groups = saved(groups.join(of, "context").withColumn("share", share), "tree-contexts")
+    of = below.select(F.col("key").alias("suffix"), F.col("log_p").alias("log_short"), F.col("own").alias("short"))
+    p = F.log10(F.expr("n / (total + reserve) + share * pow(10D, log_short)"))
+    rows = chains.join(groups, "context").join(of, "suffix").withColumn("log_state", p)
+    rows = saved(rows.select("key", "context", "suffix", "n", "log_state", "log_short", "short"), "tree-smoothed")
+    gains = rows.groupBy(F.col("context").alias("c")).agg(
+        F.sum(F.expr("n * (log_state - log_short)") * math.log(10)).alias("better")
+    )
+    states = groups.join(gains, F.col("context") == F.col("c")).filter(
+        (F.expr("better + (total - stored) * ln(share)") >= divergence) & (F.col("stored") > 0)
+    )
+    back_off = F.log10("share")
+    states = saved(
+        states.select("context", back_off.alias("back_off"), (back_off + F.col("context_left")).alias("all_left")),
+        "tree-states",
+    )
+    done = below.join(states, F.col("key") == F.col("context"), "left").select(
+        "key",
+        "n",
+        (F.col("own") - F.col("short") + F.coalesce("back_off", F.lit(0.0))).alias("weight"),
+        (F.col("left") + F.coalesce("back_off", F.lit(0.0))).alias("left"),
+    )
+    done = saved(done, "tree-weights")
+    left = done.select(F.col("key").alias("suffix"), "left")
+    hit = F.col("all_left").isNotNull()
+    level = rows.join(states, "context", "left").join(left, "suffix").select(
+        "key",
+        "n",
+        F.when(hit, F.col("log_state")).otherwise(F.col("log_short")).alias("log_p"),
+        F.when(hit, F.col("log_state") - F.col("all_left")).otherwise(F.col("short")).alias("own"),
+        "short",
+        "left",
+    )
+    return done.drop("left"), saved(level, "tree-level")
+
+
+@dataclass
+class Hot:
+    """Frequent words and chains with their weights, and which others are in the shards."""
+
+    words: HashIndex
+    counts: np.ndarray
+    word_weights: np.ndarray
+    chains: HashIndex
+    weights: np.ndarray
+    others: Bits
+
+
+def _bounded(weights: DataFrame, least: int) -> tuple[np.ndarray, ...]:
+    """Frequent chains on the driver: at most ``1 / P_MIN`` rows a level."""
+    frame = weights.filter(F.col("n") >= least).toPandas()
+    return frame["key"].to_numpy(np.int64).view(np.uint64), frame["n"].to_numpy(np.int64), frame["weight"].to_numpy(float)
 
 
-def _score(shared, log_total: float):
-    """Per document: what the tree and the frequent words give, and the hashes of rare words."""
+def _score(shared, depth: int):
+    """Per document: what frequent words and chains give, and the hashes of the others."""
+
+    def of(values: np.ndarray, number: np.ndarray) -> np.ndarray:
+        return np.where(number >= 0, values[number], 0.0) if len(values) else np.zeros(len(number))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = shared.value
+        hot = shared.value
         uid = TaskContext.get().partitionId() << 36
-        log_counts = np.log10(levels[0].counts + 1.0)
+        log_counts = np.log10(hot.counts + 1.0)
         for batch in batches:
             texts = batch.column("text")
             for a, b in blocks(texts):
                 tokens, bounds = _tokens(texts[a:b])
-                numbers = [n for _, n, _ in _matched(levels, tokens, bounds)][:-1]
-                frequent = numbers[0] >= 0
-                base = np.where(frequent, log_counts[numbers[0]] if len(log_counts) else 0.0, 0.0)
-                score = np.zeros(len(tokens))
-                open_ = np.ones(len(tokens), bool)
-                for depth in range(len(levels) - 1, 0, -1):
-                    number = numbers[depth]
-                    before = np.full(len(tokens), -1, np.int32)
-                    before[1:] = numbers[depth - 1][:-1]
-                    before[bounds[:-1]] = -1
-                    left = levels[depth - 1].back_off
-                    share = np.where(before >= 0, left[before], 0.0) if len(left) else np.zeros(len(tokens))
-                    hit = open_ & (number >= 0) & (share < 0)
-                    score[hit] += levels[depth].log_p[number[hit]]
-                    open_ &= ~hit
-                    score[open_] += share[open_]
-                score[open_] += base[open_] - log_total
-                sizes = np.diff(bounds)
+                number = hot.words.find(tokens)
+                frequent = number >= 0
+                base, weight = of(log_counts, number), of(hot.word_weights, number)
                 rare = np.flatnonzero(~frequent)
-                cuts = np.searchsorted(rare, bounds)
-                raw = tokens[rare]
+                at, raw = [rare], [tokens[rare]]
+                for chain, whole in islice(_chains(tokens, bounds), 1, depth + 1):
+                    where = np.flatnonzero(whole)
+                    number = hot.chains.find(chain[where])
+                    weight[where] += of(hot.weights, number)
+                    where = where[number < 0]
+                    where = where[hot.others.has(chain[where])]
+                    at.append(where)
+                    raw.append(chain[where])
+                at, raw = np.concatenate(at), np.concatenate(raw)
+                order = np.argsort(at, kind="stable")
+                cuts, raw = np.searchsorted(at[order], bounds), raw[order]
                 uids = uid + np.arange(b - a)
                 uid += b - a
                 yield pa.RecordBatch.from_pydict(
@@ -183,10 +282,10 @@ def _score(shared, log_total: float):
                         "doc_id": batch.column("doc_id").slice(a, b - a),
                         "held_out": batch.column("held_out").slice(a, b - a),
                         "uid": pa.array(uids),
-                        "n_tokens": pa.array(sizes),
+                        "n_tokens": pa.array(np.diff(bounds)),
                         "known": pa.array(np.add.reduceat(frequent, bounds[:-1], dtype=np.int64)),
                         "base": pa.array(np.add.reduceat(base, bounds[:-1])),
-                        "score": pa.array(np.add.reduceat(score, bounds[:-1])),
+                        "weight": pa.array(np.add.reduceat(weight, bounds[:-1])),
                         "rare": pa.array(
                             [raw[x:y].tobytes() for x, y in zip(cuts[:-1], cuts[1:], strict=True)],
                             pa.binary(),
@@ -198,7 +297,7 @@ def _score(shared, log_total: float):
 
 
 def _deal(shards: int):
-    """Rare words of many documents as one row per shard: ``uids`` and ``words`` of equal length."""
+    """Rare words and chains of many documents as one row per shard: ``uids`` and ``words`` of equal length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -222,35 +321,40 @@ def _deal(shards: int):
 
 
 def _shard(part: pd.DataFrame) -> pd.DataFrame:
-    part = part.sort_values("word_order")
     row = {
         "shard": part["shard"].iloc[0],
-        "keys": part["suffix"].to_numpy(np.int64).tobytes(),
+        "keys": part["key"].to_numpy(np.int64).tobytes(),
         "counts": part["n"].to_numpy(np.int64).tobytes(),
+        "weights": part["weight"].to_numpy(float).tobytes(),
     }
     return pd.DataFrame([row])
 
 
 def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A shard's row comes before the words that go to it."""
-    at, index, counts = None, None, None
+    """A shard's row comes before the words that go to it. Chains of several words count 0."""
+    at, index, counts, weights = None, None, None, None
     for batch in batches:
         for row in batch.to_pylist():
             if row["keys"] is not None:
                 at, index = row["shard"], HashIndex(np.frombuffer(row["keys"], np.uint64))
-                counts = np.frombuffer(row["counts"], np.int64)
+                counts, weights = np.frombuffer(row["counts"], np.int64), np.frombuffer(row["weights"], float)
                 continue
             if at != row["shard"]:
                 continue
             number = index.find(np.frombuffer(row["words"], np.uint64))
-            known = number >= 0
-            uids, first = np.unique(np.frombuffer(row["uids"], np.int64)[known], return_inverse=True)
-            sums = np.bincount(first, weights=np.log10(counts[number[known]] + 1.0), minlength=len(uids))
+            met = number >= 0
+            number = number[met]
+            uids, first = np.unique(np.frombuffer(row["uids"], np.int64)[met], return_inverse=True)
+
+            def sums(values: np.ndarray, first=first, n=len(uids)) -> pa.Array:
+                return pa.array(np.bincount(first, weights=values, minlength=n).astype(float))
+
             yield pa.RecordBatch.from_pydict(
                 {
                     "u": pa.array(uids),
-                    "rare_known": pa.array(np.bincount(first, minlength=len(uids))),
-                    "rare_log": pa.array(sums.astype(float)),
+                    "rare_known": pa.array(np.bincount(first[counts[number] > 0], minlength=len(uids))),
+                    "rare_log": sums(np.log10(counts[number] + 1.0)),
+                    "rare_weight": sums(weights[number]),
                 }
             )
 
@@ -283,56 +387,79 @@ def suffix_tree_scores(
     )
     learned = rows.filter(~F.col("held_out")).select("text")
 
-    def counted(levels: list[Level]) -> DataFrame:
-        found = learned.mapInArrow(
-            _count(spark.sparkContext.broadcast(levels)), "context bigint, suffix bigint, n bigint"
-        )
+    def counted(level: int, known: Bits | None) -> DataFrame:
+        run = _count(level, spark.sparkContext.broadcast(known))
+        found = learned.mapInArrow(run, "context bigint, suffix bigint, n bigint")
         return found.groupBy("context", "suffix").agg(F.sum("n").alias("n"))
 
-    words = saved(counted([]), "tree-words")
+    words = saved(counted(0, None), "tree-words")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    least = max(2, math.ceil(p_min * total))
     log_total = math.log10(total + distinct + 1)
-    _, keys, counts = _bounded(words, least)
-    levels = [Level(HashIndex(keys), counts, np.log10(counts + 1.0) - log_total, np.zeros(len(keys)))]
-    for _ in range(depth):
-        chains = _bounded(counted(levels), least)
-        levels.append(_next_level(levels, *chains, divergence))
+    log_p = F.log10(F.col("n") + 1.0) - log_total
+    zero = F.lit(0.0)
+    level = words.select(
+        F.col("suffix").alias("key"), "n", *[log_p.alias(k) for k in ("log_p", "own", "short")], zero.alias("left")
+    )
+    done, known = [], None
+    for k in range(1, depth + 1):
+        chains = counted(k, known).filter(F.col("n") >= LEAST)
+        chains = saved(chains.mapInArrow(_keyed, "key bigint, context bigint, suffix bigint, n bigint"), "tree-chains")
+        known = _bits(chains)
+        below, level = _weighed(level, chains, divergence)
+        done.append(below)
+    done.append(level.select("key", "n", (F.col("own") - F.col("short")).alias("weight")))
 
+    least = max(2, math.ceil(p_min * total))
+    keys, counts, word_weights = _bounded(done[0], least)
+    deeper = [x.filter("weight <> 0") for x in done[1:]]
+    hot = [_bounded(x, least) for x in deeper]
+    rare = done[0].filter(F.col("n") < least)
+    others = saved(
+        reduce(DataFrame.unionByName, [x.filter(F.col("n") < least) for x in deeper], rare.limit(0))
+        .withColumn("n", F.lit(0).cast("bigint")),
+        "tree-others",
+    )
+    tree = Hot(
+        HashIndex(keys),
+        counts,
+        word_weights,
+        HashIndex(np.concatenate([np.zeros(0, np.uint64), *[x[0] for x in hot]])),
+        np.concatenate([np.zeros(0), *[x[2] for x in hot]]),
+        _bits(others),
+    )
     kind = rows.schema["doc_id"].dataType.simpleString()
     scored = saved(
         rows.mapInArrow(
-            _score(spark.sparkContext.broadcast(levels), log_total),
+            _score(spark.sparkContext.broadcast(tree), depth),
             f"doc_id {kind}, held_out boolean, uid bigint, n_tokens bigint, known bigint, "
-            "base double, score double, rare binary",
+            "base double, weight double, rare binary",
         ),
         "tree-scored",
     )
-    rare = words.filter(F.col("n") < least)
-    shards = distinct // SHARD_WORDS + 1
-    number = F.expr(f"cast(pmod(pmod(suffix, {shards}) + if(suffix < 0, {pow(2, 64, shards)}, 0), {shards}) as bigint)")
+    shards = (distinct + others.count()) // SHARD_WORDS + 1
+    number = F.expr(f"cast(pmod(pmod(key, {shards}) + if(key < 0, {pow(2, 64, shards)}, 0), {shards}) as bigint)")
     index = (
-        rare.withColumn("shard", number)
-        .withColumn("word_order", F.col("suffix"))
+        rare.unionByName(others)
+        .withColumn("shard", number)
         .groupBy("shard")
-        .applyInPandas(_shard, "shard bigint, keys binary, counts binary")
+        .applyInPandas(_shard, "shard bigint, keys binary, counts binary, weights binary")
     )
     dealt = scored.select("uid", "rare").mapInArrow(_deal(shards), "shard bigint, uids binary, words binary")
     found = (
         index.unionByName(dealt, allowMissingColumns=True)
         .repartition(fan_out(spark), "shard")
         .sortWithinPartitions("shard", F.col("keys").isNull())
-        .mapInArrow(_look_up, "u bigint, rare_known bigint, rare_log double")
+        .mapInArrow(_look_up, "u bigint, rare_known bigint, rare_log double, rare_weight double")
         .groupBy("u")
-        .agg(F.sum("rare_known").alias("rare_known"), F.sum("rare_log").alias("rare_log"))
+        .agg(*[F.sum(k).alias(k) for k in ("rare_known", "rare_log", "rare_weight")])
     )
-    more = F.coalesce("rare_log", F.lit(0.0))
+    base = F.col("base") + F.coalesce("rare_log", zero) - F.col("n_tokens") * log_total
     return scored.drop("rare").join(found, F.col("uid") == F.col("u"), "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
         (F.col("known") + F.coalesce("rare_known", F.lit(0))).alias("n_known"),
         F.lit(int(total)).cast("bigint").alias("train_tokens"),
-        (F.col("base") + more - F.col("n_tokens") * log_total).alias("base_score"),
-        (F.col("score") + more).alias("score"),
+        base.alias("base_score"),
+        (base + F.col("weight") + F.coalesce("rare_weight", zero)).alias("score"),
     )
