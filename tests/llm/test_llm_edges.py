@@ -151,3 +151,21 @@ def test_suffix_tree_keeps_contexts_at_any_size(spark):
                     break
                 score += share
         assert got[doc].score == pytest.approx(score, rel=1e-9), doc
+
+
+def test_cotraining_searches_the_whole_table(spark, monkeypatch):
+    """Sources without labels: the sure documents of all of them train the metadata view, not only
+    those of a sample."""
+    from tierbed.llm import cotraining
+
+    good, bad = "clear prose with care and sense", "buy cheap pills now click here"
+    rows = [(i, f"{good if i % 2 else bad} {i}", "en", f"seen{i % 2}") for i in range(200)]
+    rows += [(1000 + i, f"{good if i % 2 else bad} {i}", "en", f"new{i % 2}") for i in range(600)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id bigint, quality int")
+    seen = []
+    sums = cotraining._summed
+    monkeypatch.setattr(cotraining, "_summed", lambda *a: seen.append(sums(*a)) or seen[-1])
+    scores = {r.doc_id: r for r in quality_scores(df, labels, sample=100).collect()}
+    assert seen[0].sum() == 2 * 600  # every unlabelled document, by both views
+    assert all((r.meta_score > 0.5) == bool(r.doc_id % 2) for r in scores.values())

@@ -7,13 +7,16 @@ Each view is calibrated on labelled documents that neither was fitted on. The vi
 be independent given the quality, so the calibrated log-odds are added and the prior's, which
 both hold, taken off once.
 
-Fitting takes at most ``SAMPLE`` labelled and as many unlabelled documents, those with the
-smallest hash of their id; that bound holds for what reaches the driver as well. Scoring reads
-every document; a task holds one Arrow batch and two weight vectors.
+At most ``SAMPLE`` labelled documents are taken, those with the smallest hash of their id; they
+are on the driver. Unlabelled documents are all taken: their features are stored sparsely in the
+shared folder, each round scores all of them, and gradients are summed over all that have been
+labelled. Which those are follows from the rules of the rounds so far, so no document has a state.
+A task holds one Arrow batch, the weight vectors and one matrix of curvature.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,12 +26,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierbed.llm.storage import saved
 from tierbed.llm.text import blocks, encoded, word_hashes
 
 SAMPLE = 4_000
 ROUNDS = 4
 PER_ROUND = 200
+SHARE = 0.05
 SURE = 0.9
+STEPS = 4
+PENALTY = 1e-3
+BINS = 4096
+MOST = 30.0
 WORD_SLOTS = 1024
 META_SLOTS = 256
 FORM = 11
@@ -126,39 +135,128 @@ class Model:
         return a, b
 
 
-def cotrain(text: np.ndarray, meta: np.ndarray, y: np.ndarray, rounds: int = ROUNDS,
-            per_round: int = PER_ROUND) -> Model:
-    """Fits both views; ``y`` is 1, 0, or -1 for unlabelled rows. Every fourth labelled row is
-    kept for calibration."""
-    labelled = np.flatnonzero(y >= 0)
-    held = labelled[3::4]
-    own = np.setdiff1d(labelled, held)
-    pool = np.flatnonzero(y < 0)
-    extra = {"text": (np.zeros(0, int), np.zeros(0)), "meta": (np.zeros(0, int), np.zeros(0))}
-
-    def fitted(name: str, w: np.ndarray | None = None) -> np.ndarray:
-        rows, labels = extra[name]
-        return fit_logistic(views[name][np.concatenate([own, rows])], np.concatenate([y[own], labels]), w)
-
-    views = {"text": text, "meta": meta}
-    weights = {name: fitted(name) for name in views}
-    for _ in range(rounds):
-        for name, other in (("text", "meta"), ("meta", "text")):
-            scale = fit_calibration(margins(views[name][held], weights[name]), y[held])
-            p = 1 / (1 + np.exp(-np.clip(margins(views[name][pool], weights[name]) * scale[0] + scale[1], -30, 30)))
-            free = ~np.isin(pool, extra[other][0])
-            chosen = []
-            for good in (1, 0):
-                sure = p if good else 1 - p
-                order = np.argsort(-np.where(free, sure, -1), kind="stable")[:per_round]
-                order = order[(sure[order] >= SURE) & free[order]]
-                chosen.append((pool[order], np.full(len(order), float(good))))
-            rows, labels = extra[other]
-            extra[other] = (
-                np.concatenate([rows, *[c[0] for c in chosen]]),
-                np.concatenate([labels, *[c[1] for c in chosen]]),
-            )
-        weights = {name: fitted(name, weights[name]) for name in views}
+@dataclass
+class Rule:
+    """One view's labels of a round: good from bin ``high`` on, bad up to bin ``low``."""
+
+    weights: np.ndarray
+    scale: tuple[float, float]
+    low: int = -1
+    high: int = BINS
+
+    def bins(self, x: np.ndarray) -> np.ndarray:
+        odds = np.clip(margins(x, self.weights) * self.scale[0] + self.scale[1], -MOST, MOST)
+        return np.minimum((odds + MOST) * (BINS / (2 * MOST)), BINS - 1).astype(np.int64)
+
+
+def labels_by(rules: list[Rule], x: np.ndarray) -> np.ndarray:
+    """1 and 0 by the first rule that says so, else -1."""
+    y = np.full(len(x), -1)
+    for rule in rules:
+        at = rule.bins(x)
+        y = np.where(y >= 0, y, np.where(at >= rule.high, 1, np.where(at <= rule.low, 0, -1)))
+    return y
+
+
+def thresholds(counts: np.ndarray, most: int) -> tuple[int, int]:
+    """The last bin of bad and the first of good documents: the surest ``most`` of each, and what
+    shares a bin with them, if they are sure enough."""
+    log_odds = np.log(SURE / (1 - SURE))
+    high_sure = int(np.ceil((log_odds + MOST) * (BINS / (2 * MOST))))
+    low_sure = int((MOST - log_odds) * (BINS / (2 * MOST))) - 1
+    up, down = np.cumsum(counts[::-1])[::-1], np.cumsum(counts)
+    high = max(high_sure, int(np.flatnonzero(up >= most)[-1]) if up[0] >= most else 0)
+    low = min(low_sure, int(np.argmax(down >= most)) if down[-1] >= most else BINS - 1)
+    return low, high
+
+
+def slopes(x: np.ndarray, y: np.ndarray, w: np.ndarray, by_class: np.ndarray, curved: bool) -> np.ndarray:
+    """Gradient of the loss, and with ``curved`` the upper half of a bound of its curvature."""
+    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    weight = by_class[y].astype(np.float32)
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -MOST, MOST)))
+    gradient = x.T @ (weight * (p - y))
+    if not curved:
+        return gradient.astype(float)
+    curve = 0.25 * (x.T @ (weight[:, None] * x))
+    return np.concatenate([gradient, curve[np.triu_indices(len(w))]]).astype(float)
+
+
+OTHER = {"text": "meta", "meta": "text"}
+
+
+def _summed(pool: DataFrame, size: int, found) -> np.ndarray:
+    """The sum of ``found(views)``, vectors of ``size``, over all blocks of rows of ``pool``."""
+    width, of_text = WORD_SLOTS + FORM + META_SLOTS + 2, WORD_SLOTS + FORM
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2000):
+                part = batch.slice(a, 2000)
+                slots = part.column("slots").to_pylist()
+                x = np.zeros((len(slots), width), np.float32)
+                row = np.repeat(np.arange(len(slots)), [len(k) // 2 for k in slots])
+                x[row, np.frombuffer(b"".join(slots), np.uint16)] = np.frombuffer(
+                    b"".join(part.column("values").to_pylist()), np.float16
+                )
+                total += found({"text": x[:, :of_text], "meta": x[:, of_text:]})
+        yield pa.RecordBatch.from_pydict({"total": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+
+    rows = pool.coalesce(2 * pool.sparkSession.sparkContext.defaultParallelism).mapInArrow(run, "total binary")
+    return rows.rdd.map(lambda r: np.frombuffer(bytes(r[0]), np.float32).astype(float)).treeAggregate(
+        np.zeros(size), np.add, np.add
+    )
+
+
+def cotrain(views: dict[str, np.ndarray], y: np.ndarray, pool: DataFrame, rounds: int = ROUNDS,
+            per_round: int = PER_ROUND, share: float = SHARE) -> Model:
+    """Fits both views to the labelled rows, ``y`` of 1 and 0, and to all rows of ``pool`` that
+    they label for each other: ``share`` of it or ``per_round`` a class and round, whichever is
+    more. Every fourth labelled row is kept for calibration."""
+    held = np.arange(len(y))[3::4]
+    own = np.setdiff1d(np.arange(len(y)), held)
+    weights = {name: fit_logistic(views[name][own], y[own]) for name in views}
+    rules: dict[str, list[Rule]] = {name: [] for name in views}
+    chosen = {name: np.zeros(2) for name in views}
+    most = max(per_round, math.ceil(share * pool.count())) if len(own) else 0
+    for _ in range(rounds if most else 0):
+        now = {n: Rule(weights[n], fit_calibration(margins(views[n][held], weights[n]), y[held])) for n in views}
+
+        def tallied(x: dict[str, np.ndarray], now=now) -> np.ndarray:
+            free = {n: x[n][labels_by(rules[n], x[n]) < 0] for n in x}
+            return np.concatenate([np.bincount(now[n].bins(free[n]), minlength=BINS) for n in OTHER])
+
+        for name, counts in zip(OTHER, _summed(pool, 2 * BINS, tallied).reshape(2, -1), strict=True):
+            low, high = now[name].low, now[name].high = thresholds(counts, most)
+            rules[name].append(now[name])
+            chosen[OTHER[name]] += counts[: low + 1].sum(), counts[high:].sum()
+        if not sum(x.sum() for x in chosen.values()):
+            break
+        by_class = {n: 0.5 / np.maximum(1, chosen[n] + np.bincount(y[own], minlength=2)) for n in views}
+        curve: dict[str, np.ndarray] = {}
+        for step in range(STEPS):
+            curved = step == 0
+            sizes = {n: len(w) + (len(w) * (len(w) + 1) // 2 if curved else 0) for n, w in weights.items()}
+
+            def sloped(x: dict[str, np.ndarray], curved=curved, weights=dict(weights), by_class=by_class) -> np.ndarray:
+                parts = []
+                for n in OTHER:
+                    label = labels_by(rules[OTHER[n]], x[OTHER[n]])
+                    at = label >= 0
+                    parts.append(slopes(x[n][at], label[at], weights[n], by_class[n], curved))
+                return np.concatenate(parts)
+
+            found = _summed(pool, sum(sizes.values()), sloped)
+            for name, sums in zip(OTHER, np.split(found, [sizes["text"]]), strict=True):
+                w = weights[name]
+                sums = sums + slopes(views[name][own], y[own], w, by_class[name], curved)
+                if curved:
+                    half = np.zeros((len(w), len(w)))
+                    half[np.triu_indices(len(w))] = sums[len(w) :]
+                    curve[name] = half + np.triu(half, 1).T + PENALTY * np.eye(len(w))
+                gradient = sums[: len(w)] + PENALTY * w
+                weights[name] = (w - np.linalg.solve(curve[name], gradient)).astype(np.float32)
     scales = {n: fit_calibration(margins(views[n][held], weights[n]), y[held]) for n in views}
     good = (y[held].sum() + 1) / (len(held) + 2)
     prior = float(np.log(good / (1 - good)))
@@ -189,6 +287,23 @@ def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a, b, text, meta in _features(batch):
+            x = np.hstack([text, meta]).astype(np.float16)
+            row, slot = np.nonzero(x)
+            cuts, values = np.searchsorted(row, np.arange(b - a + 1)), x[row, slot]
+            slot = slot.astype(np.uint16)
+            spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "doc_id": batch.column("doc_id").slice(a, b - a),
+                    "slots": pa.array([slot[i:j].tobytes() for i, j in spans], pa.binary()),
+                    "values": pa.array([values[i:j].tobytes() for i, j in spans], pa.binary()),
+                }
+            )
+
+
 def _score(shared, threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -210,18 +325,15 @@ def _score(shared, threshold: float):
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str, sample: int) -> Model:
-    """Co-trains on at most ``sample`` labelled and ``sample`` unlabelled rows of ``docs``."""
+    """Co-trains on at most ``sample`` labelled and on all unlabelled rows of ``docs``."""
     named = labels.filter(F.col(label_col).isin(0, 1)).groupBy(F.col("doc_id").alias("of"))
     named = named.agg(F.max(F.col(label_col)).cast("int").alias("y"), F.min(label_col).alias("low"))
     named = named.filter(F.col("y") == F.col("low"))  # labels that disagree are none
     rank = F.xxhash64("doc_id", F.xxhash64("text")).alias("rank")
     # Which rows are sampled is decided on hashes alone; texts stay where they are.
-    ranks = docs.select("doc_id", rank).join(named, F.col("doc_id") == F.col("of"), "left")
-    ranks = ranks.select(F.col("rank").alias("r"), F.coalesce("y", F.lit(-1)).alias("y"))
-    chosen = ranks.filter("y >= 0").orderBy("r").limit(sample).union(
-        ranks.filter("y < 0").orderBy("r").limit(sample)
-    )
-    # At most 2 * sample rows of two numbers.
+    ranks = docs.select("doc_id", rank).join(named, F.col("doc_id") == F.col("of"))
+    chosen = ranks.select(F.col("rank").alias("r"), "y").orderBy("r").limit(sample)
+    # At most ``sample`` rows of two numbers.
     picked = docs.withColumn("rank", rank).join(
         F.broadcast(chosen.dropDuplicates(["r"])), F.col("rank") == F.col("r")
     )
@@ -232,9 +344,12 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str, sample: int) -> Mode
         raw = b"".join(found[name])
         return np.frombuffer(raw, np.float16).reshape(-1, width).astype(np.float32)
 
-    return cotrain(
-        matrix("text", WORD_SLOTS + FORM), matrix("meta", META_SLOTS + 2), found["y"].to_numpy(int)
-    )
+    views = {"text": matrix("text", WORD_SLOTS + FORM), "meta": matrix("meta", META_SLOTS + 2)}
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    features = docs.mapInArrow(_sparse, f"doc_id {kind}, slots binary, values binary")
+    unlabelled = features.join(named, F.col("doc_id") == F.col("of"), "left_anti").select("slots", "values")
+    pool = saved(unlabelled, "cotraining-pool") if len(found) else unlabelled.limit(0)
+    return cotrain(views, found["y"].to_numpy(int), pool)
 
 
 def quality_scores(
