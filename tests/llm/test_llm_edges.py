@@ -169,3 +169,18 @@ def test_cotraining_searches_the_whole_table(spark, monkeypatch):
     scores = {r.doc_id: r for r in quality_scores(df, labels, sample=100).collect()}
     assert seen[0].sum() == 2 * 600  # every unlabelled document, by both views
     assert all((r.meta_score > 0.5) == bool(r.doc_id % 2) for r in scores.values())
+
+
+def test_rare_words_of_one_shard_are_dealt_to_many_places():
+    import numpy as np
+    import pyarrow as pa
+
+    from tierbed.llm.suffix_tree import _deal
+
+    words = [np.arange(10 * i, 10 * i + 10, dtype=np.uint64) for i in range(8)]
+    batch = pa.RecordBatch.from_pydict({"uid": list(range(8)), "rare": [w.tobytes() for w in words]})
+    rows = [r for out in _deal(1, 4)([batch]) for r in out.to_pylist()]
+    assert [r["place"] for r in rows] == [0, 1, 2, 3]
+    for r in rows:
+        uids, got = np.frombuffer(r["uids"], np.int64), np.frombuffer(r["words"], np.uint64)
+        assert len(got) == 20 and (got // 10 == uids).all() and set(uids % 4) == {r["place"]}

@@ -296,22 +296,23 @@ def _score(shared, depth: int):
     return run
 
 
-def _deal(shards: int):
-    """Rare words and chains of many documents as one row per shard: ``uids`` and ``words`` of equal length."""
+def _deal(shards: int, salts: int):
+    """Rare words and chains of many documents as one row per place: ``uids`` and ``words`` of equal
+    length. A shard has ``salts`` places, dealt out by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rare = batch.column("rare").to_pylist()
             words = np.frombuffer(b"".join(rare), np.uint64)
             uids = np.repeat(batch.column("uid").to_numpy(), [len(x) // 8 for x in rare])
-            shard = (words % np.uint64(shards)).astype(np.int64)
-            order = np.argsort(shard, kind="stable")
-            cuts = np.searchsorted(shard[order], np.arange(shards + 1))
+            place = (words % np.uint64(shards)).astype(np.int64) * salts + uids % salts
+            order = np.argsort(place, kind="stable")
+            cuts = np.searchsorted(place[order], np.arange(shards * salts + 1))
             some = np.flatnonzero(np.diff(cuts))
             parts = [order[cuts[s] : cuts[s + 1]] for s in some]
             yield pa.RecordBatch.from_pydict(
                 {
-                    "shard": pa.array(some),
+                    "place": pa.array(some),
                     "uids": pa.array([uids[p].tobytes() for p in parts], pa.binary()),
                     "words": pa.array([words[p].tobytes() for p in parts], pa.binary()),
                 }
@@ -331,15 +332,15 @@ def _shard(part: pd.DataFrame) -> pd.DataFrame:
 
 
 def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A shard's row comes before the words that go to it. Chains of several words count 0."""
+    """A shard's row comes before the words that go to its place. Chains of several words count 0."""
     at, index, counts, weights = None, None, None, None
     for batch in batches:
         for row in batch.to_pylist():
             if row["keys"] is not None:
-                at, index = row["shard"], HashIndex(np.frombuffer(row["keys"], np.uint64))
+                at, index = row["place"], HashIndex(np.frombuffer(row["keys"], np.uint64))
                 counts, weights = np.frombuffer(row["counts"], np.int64), np.frombuffer(row["weights"], float)
                 continue
-            if at != row["shard"]:
+            if at != row["place"]:
                 continue
             number = index.find(np.frombuffer(row["words"], np.uint64))
             met = number >= 0
@@ -444,11 +445,15 @@ def suffix_tree_scores(
         .groupBy("shard")
         .applyInPandas(_shard, "shard bigint, keys binary, counts binary, weights binary")
     )
-    dealt = scored.select("uid", "rare").mapInArrow(_deal(shards), "shard bigint, uids binary, words binary")
+    tasks = fan_out(spark)
+    salts = max(4, -(-tasks // shards))
+    places = F.explode(F.transform(F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.col("shard") * salts + s))
+    index = index.withColumn("place", places).drop("shard")
+    dealt = scored.select("uid", "rare").mapInArrow(_deal(shards, salts), "place bigint, uids binary, words binary")
     found = (
         index.unionByName(dealt, allowMissingColumns=True)
-        .repartition(fan_out(spark), "shard")
-        .sortWithinPartitions("shard", F.col("keys").isNull())
+        .repartition(tasks, "place")
+        .sortWithinPartitions("place", F.col("keys").isNull())
         .mapInArrow(_look_up, "u bigint, rare_known bigint, rare_log double, rare_weight double")
         .groupBy("u")
         .agg(*[F.sum(k).alias(k) for k in ("rare_known", "rare_log", "rare_weight")])
