@@ -106,3 +106,28 @@ c AS (SELECT *, sum(size) OVER (ORDER BY finish, shuffle, epoch) AS total FROM e
 SELECT doc_id, size, source_size, target,
        CAST(sum(CASE WHEN total <= budget THEN size ELSE 0 END) AS BIGINT) AS taken
 FROM c GROUP BY doc_id, size, source_size, target"""
+
+
+# Arithmetic in 128 bits; pieces end at [.,;:!?\x0A-\x0D], words at blanks and tabs.
+COLLOCATIONS = rf"""
+WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+       translate(coalesce(text, ''), '{UPPER}', '{UPPER.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+found AS (SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2),
+            lambda i: array_to_string(w[i:i + size - 1], ' '))) AS phrase
+          FROM lists, range(1, 4) s(size) WHERE len(w) >= size),
+f AS (SELECT lang, size, phrase, count(*) AS f FROM found GROUP BY ALL),
+totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE size = 1 GROUP BY lang),
+candidates AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE size > 1 AND f >= 10),
+inner_phrases AS (SELECT lang, a, array_to_string(w[i:i + 1], ' ') AS phrase FROM candidates, range(1, 3) t(i)
+                  WHERE size = 3),
+kept AS (SELECT * FROM candidates c WHERE NOT EXISTS (SELECT 1 FROM inner_phrases i
+         WHERE i.lang = c.lang AND i.phrase = c.phrase AND 100 * i.a >= 50 * c.a)),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+         FROM kept, range(1, 3) t(k) WHERE k < size),
+scored AS (SELECT c.lang, c.phrase, a, k, l.f AS l, r.f AS r,
+             CAST((1000000::HUGEINT * a * a) // (l.f::HUGEINT * r.f) AS BIGINT) AS score
+           FROM cuts c JOIN f l ON l.lang = c.lang AND l.phrase = c.x JOIN f r ON r.lang = c.lang AND r.phrase = c.y),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""

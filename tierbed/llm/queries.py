@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from tierbed.llm import oracles
 from tierbed.llm.arc import convert_pages
+from tierbed.llm.best_fit import pack_best_fit
 from tierbed.llm.chosen_path import ngram_join
+from tierbed.llm.collocations import collocations
 from tierbed.llm.cotraining import quality_scores
 from tierbed.llm.curve_packing import pack_along_curve
 from tierbed.llm.fair_mixing import fair_mix
@@ -19,6 +21,7 @@ from tierbed.llm.secret_scan import joined_spans, scan_secrets
 from tierbed.llm.simhash import as_hex, fingerprints, likeness, neighbours
 from tierbed.llm.storage import saved, scratch
 from tierbed.llm.suffix_tree import suffix_tree_scores
+from tierbed.llm.turn_repair import damaged, repair_turns, repaired_digests
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -92,6 +95,30 @@ def op10_arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    repair = repair_turns(damaged(rows))
+    every = rows.select("conv_id").distinct()
+    found = repair.conversations.join(
+        repaired_digests(repair.turns).withColumnRenamed("conv", "of"), F.col("conv").eqNullSafe(F.col("of")), "left"
+    )
+    numbers = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("conv")), "left").select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in numbers],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_best_fit(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_tree": op1_suffix_tree,
@@ -104,6 +131,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_cotraining": op8_cotraining,
         "op9_fair_mixing": op9_fair_mixing,
         "op10_arc_to_warc": op10_arc_to_warc,
+        "op11_turn_repair": op11_turn_repair,
+        "op12_collocations": op12_collocations,
+        "op13_best_fit": op13_best_fit,
     }
 
 
@@ -111,6 +141,7 @@ def oracle_sql() -> dict[str, str]:
     limits = Limits()
     return {
         "op10_arc_to_warc": oracles.ARC_TO_WARC,
+        "op12_collocations": oracles.COLLOCATIONS,
         "op6_line_dedup": oracles.LINE_DEDUP,
         "op7_quality_rules": oracles.quality_rules(
             limits.min_docs, limits.share, limits.own, limits.depletion, limits.min_words,
