@@ -17,10 +17,11 @@ from pyspark.sql import functions as F
 from tierbed.llm import queries
 from tierbed.llm.arc import arc_archive, arc_records, convert_arc, warc_fields
 from tierbed.llm.chosen_path import lost_per_run, near_forest, ngram_join, overlaps, runs_for
-from tierbed.llm.curve_packing import WordTokenizer, hilbert_key
+from tierbed.llm.curve_packing import hilbert_key
 from tierbed.llm.line_dedup import MinimalPerfectHash
 from tierbed.llm.quality_rules import quality_rules, without_boilerplate
 from tierbed.llm.secret_scan import KINDS, scan_secrets
+from tierbed.llm.tokenizer import WordTokenizer
 from tierbed.llm.text import HashIndex, Tally, word_hashes
 
 SF = "/root/testdata/sf0.001"

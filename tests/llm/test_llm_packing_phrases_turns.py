@@ -20,6 +20,7 @@ from tierbed.llm import turn_repair as repair
 from tierbed.llm.best_fit import OpenCapacities, best_fit, pack_best_fit
 from tierbed.llm.collocations import chunk_dictionary, collocations, phrase_counts
 from tierbed.llm.queries import op11_turn_repair
+from tierbed.llm.tokenizer import PieceTokenizer
 from tierbed.llm.turn_repair import damaged, repair_turns, repaired_digests
 
 SF = "/root/testdata/sf0.001"
@@ -120,6 +121,22 @@ def test_packing_of_odd_rows(spark):
     assert pack_best_fit(docs.limit(0)).collect() == []
 
 
+PLAIN = list("abcXYZ'''..,! \t\n019sstmdrevl<|>")
+ODD = ["é", "É", "Ÿ", "ª", "²", "Ⱥ", "Ƀ", "Ɓ", "İ", "ß", "\u00a0", "\u0301", "中", "\x0b", "\x1c", "½", "×", "\u2003", "ſ"]
+
+
+def test_ids_of_pieces_are_those_of_the_whole_tokenizer(monkeypatch):
+    monkeypatch.setattr("tierbed.llm.tokenizer.CACHED_PIECES", 400)
+    tokenizer, rng = PieceTokenizer(None), random.Random(1)
+    assert tokenizer.direct
+    for _ in range(1500):
+        kinds = PLAIN if rng.random() < 0.7 else PLAIN + ODD
+        texts = ["".join(rng.choices(kinds, k=rng.randint(0, 14))) for _ in range(rng.randint(0, 5))]
+        got = tokenizer.texts([x.encode() for x in texts])
+        want = [tokenizer.model.encode(x, add_special_tokens=False).ids for x in texts]
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == want
+
+
 # --- collocations -------------------------------------------------------------------------------
 
 

@@ -12,7 +12,7 @@ import pytest
 import __spark_entry__ as entry
 import corpus_pipeline
 from tierbed.llm import queries
-from tierbed.llm.curve_packing import WordTokenizer
+from tierbed.llm.tokenizer import WordTokenizer
 from tierbed.llm.fair_mixing import fair_mix
 
 SF = "/root/testdata/sf0.001"

@@ -26,9 +26,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierbed.llm.curve_packing import _tokenizer
 from tierbed.llm.storage import saved
 from tierbed.llm.text import blocks, encoded
+from tierbed.llm.tokenizer import shared_tokenizer
 
 
 class OpenCapacities:
@@ -127,7 +127,7 @@ def best_fit(counts: dict[int, int], most: int) -> Plan:
 
 def _pieces(most: int, end_id: int, path: str | None, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, part = _tokenizer(path), TaskContext.get().partitionId()
+        tokenizer, part = shared_tokenizer(path), TaskContext.get().partitionId()
         end = np.array([end_id], "<u4").tobytes()
         seen = np.zeros(most + 1, np.int64)
         for batch in batches:

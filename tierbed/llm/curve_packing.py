@@ -12,27 +12,20 @@ and tokenised once. A task holds one Arrow batch and the pieces of one open sequ
 
 from __future__ import annotations
 
-import json
-import os
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierbed.llm.storage import fan_out
 from tierbed.llm.text import blocks, encoded, word_hashes
+from tierbed.llm.tokenizer import shared_tokenizer
 
-TOKENIZER = "word_bpe_49k.json"
 TYPICAL_WORDS = 64
-CACHED_WORDS = 400_000
-CACHED_WORD_BYTES = 64
-# Below U+0250, without white space and the one letter whose lower case is two characters.
-LATIN = regex.compile(r"[\x21-\x7E\u00A1-\u012F\u0131-\u024F]+")
 
 
 def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
@@ -89,84 +82,6 @@ def _keys(bits: int):
     return run
 
 
-class WordTokenizer:
-    """Ids of texts, put together from cached ids of their words.
-
-    The vocabulary splits at white space, so a text's ids are those of its words. Where it lower-cases
-    and splits words by a pattern, as the default does, new words of Latin letters (on
-    which composition has no effect, and lower case is letter by letter) are split here and
-    only unseen pieces go to the merge rules; all other words go through the whole tokenizer.
-    """
-
-    def __init__(self, path: str | None) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, pre_tokenizers
-
-        if path is None:
-            import public_tokenizers
-
-            path = public_tokenizers.path(TOKENIZER)
-        self.model = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
-        with open(path, encoding="utf-8") as file:
-            parts = json.load(file)
-        steps = [x["type"] for x in (parts.get("normalizer") or {}).get("normalizers", [])]
-        split = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [])
-        self.split = None
-        if steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in split] == ["Split", "ByteLevel"]:
-            self.split = regex.compile(split[0]["pattern"]["Regex"]).findall
-            mapped = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-            self.bytes = {i: mapped.pre_tokenize_str(chr(i))[0][0] for i in range(0x21, 0x250)}
-
-    def encode(self, word: bytes) -> bytes:
-        ids = self.model.encode(word.decode(), add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
-
-    def _piece(self, piece: str) -> bytes:
-        tokens = self.model.model.tokenize(piece if piece.isascii() else piece.translate(self.bytes))
-        ids = b"".join([t.id.to_bytes(4, "little") for t in tokens])
-        if len(piece) <= CACHED_WORD_BYTES:
-            self.pieces[piece] = ids
-        return ids
-
-    def _learn(self, words: Iterable[bytes]) -> dict[bytes, bytes]:
-        known, get, split, plain = {}, self.pieces.get, self.split, LATIN.fullmatch
-        if len(self.pieces) > CACHED_WORDS:
-            self.pieces.clear()
-        for word in words:
-            text = word.decode()
-            if split and plain(text) and "<|" not in text:
-                known[word] = b"".join([get(x) or self._piece(x) for x in split(text.lower())])
-            else:
-                known[word] = self.encode(word)
-        return known
-
-    def texts(self, texts: list[bytes]) -> list[bytes]:
-        """Little-endian 32-bit ids of every text."""
-        split = [x.split() for x in texts]
-        words = set().union(*split)
-        new = words - self.cache.keys()
-        if len(self.cache) + len(new) > CACHED_WORDS:
-            self.cache, new = {}, words
-        learned = self._learn(new)
-        long_words = {w: learned.pop(w) for w in [w for w in learned if len(w) > CACHED_WORD_BYTES]}
-        self.cache.update(learned)
-        get = self.cache.get
-        if long_words:
-            get = {w: get(w) or long_words.get(w, b"") for w in words}.get
-        return [b"".join(map(get, words)) for words in split]
-
-
-_tokenizers: dict[str | None, WordTokenizer] = {}
-
-
-def _tokenizer(path: str | None) -> WordTokenizer:
-    if path not in _tokenizers:
-        _tokenizers[path] = WordTokenizer(path)
-    return _tokenizers[path]
-
-
 class _Packer:
     """Cuts a stream of documents into full sequences; the rest into powers of two."""
 
@@ -207,7 +122,7 @@ class _Packer:
 
 def _pack(length: int, end_id: int, path: str | None, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = _tokenizer(path)
+        tokenizer = shared_tokenizer(path)
         packer = _Packer(length, TaskContext.get().partitionId() << 40)
         end = np.array([end_id], "<u4").tobytes()
         held: list = []

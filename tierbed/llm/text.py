@@ -31,7 +31,7 @@ def combine(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * np.uint64(0xD6E8FEB86659FD93) + right)
 
 
-class _Powers:
+class Powers:
     """Powers of the hash base and of its inverse, grown to the longest block so far."""
 
     up = np.ones(1, np.uint64)
@@ -77,7 +77,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     data, offsets = _flat(texts)
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(texts) + 1, np.int64)
-    up, down = _Powers.upto(len(data))
+    up, down = Powers.upto(len(data))
     inside = ~_SPACE[data]
     before = np.empty_like(inside)
     before[0] = False
