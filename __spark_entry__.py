@@ -16,6 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from tierbed.functions import as_text, output_slices, run_id_text, run_path  # noqa: E402
 from tierbed.operators import (  # noqa: E402
     FillRule,
+    LeaseHeldError,
     QualityGateError,
     alert_body,
     commit_runs,
@@ -35,19 +36,31 @@ from tierbed.operators import (  # noqa: E402
     read_registry,
     report_status,
     route_alerts,
+    run_lease,
     run_slice,
     stamp_run,
     unparsed_monitoring,
     write_manifest,
     write_report,
 )
-from tierbed.plans import GOLD_KEYS, PLACE_RULES, ingest, run_pipeline  # noqa: E402
+from tierbed.plans import (  # noqa: E402
+    GOLD_KEYS,
+    PLACE_RULES,
+    build_silver,
+    ingest,
+    open_silver,
+    run_pipeline,
+)
 from tierbed.sources import (  # noqa: E402
     FilePages,
+    file_system,
+    publish_table,
     scan_raw,
     scan_runs,
     scan_table,
     stage_pages,
+    stage_ranges,
+    table_path,
     write_page_files,
     write_partitioned,
     write_raw,
@@ -124,9 +137,9 @@ def lines_with_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "lineitem").select("l_orderkey", run.alias("ingestion_run_id"))
 
 
-def with_pages(df: DataFrame, key: str) -> DataFrame:
-    """Add ``page`` by key, ``PAGE_ROWS`` keys to a page."""
-    return df.withColumn("page", F.expr(f"{key} div {PAGE_ROWS} + 1"))
+def with_pages(df: DataFrame, key: str, rows: int = PAGE_ROWS) -> DataFrame:
+    """Add ``page`` by key, ``rows`` keys to a page."""
+    return df.withColumn("page", F.expr(f"{key} div {rows} + 1"))
 
 
 def place_pages(spark: SparkSession, sf_dir: str) -> FilePages:
@@ -382,6 +395,54 @@ def paged_source_asked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contiguous_prefix(staged).select("page", fields.alias("r")).select("r.id", "r.name", "page")
 
 
+class FailingPages(AskedPages):
+    """Pages that fail from a number on while a note is there; notes each page it gives."""
+
+    def __init__(self, path: str, notes: str, fails_from: int):
+        super().__init__(path)
+        self.notes, self.fails_from = notes, fails_from
+
+    def note(self, name: str) -> None:
+        fs, root = file_system(self.notes)
+        fs.create_dir(f"{root}/asked", recursive=True)
+        with fs.open_output_stream(f"{root}/{name}") as file:
+            file.write(b"\n")
+
+    def records(self, page: int, per_page: int):
+        fs, root = file_system(self.notes)
+        if page >= self.fails_from and fs.get_file_info(f"{root}/down").is_file:
+            raise OSError("source is down")
+        found = list(super().records(page, per_page))
+        if found:
+            self.note(f"asked/{page}-{uuid4().hex}")
+        return iter(found)
+
+
+def paged_source_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source fails in the second round and the fetch is started again: rows of each page, and
+    how often it was given."""
+    store, notes = scratch(spark, "small-pages"), scratch(spark, "notes")
+    paged = with_pages(customers(spark, sf_dir), "c_custkey", 50).drop("c_custkey")
+    write_page_files(paged, store)
+    first_round = 4 * spark.sparkContext.defaultParallelism
+    backend, staging = FailingPages(store, notes, first_round + 1), scratch(spark, "staging")
+    backend.note("down")
+    try:
+        stage_ranges(spark, backend, staging)
+    except Exception as error:  # the tasks' own error, as Spark passes it on
+        if "source is down" not in str(error):
+            raise
+    fs, root = file_system(notes)
+    fs.delete_file(f"{root}/down")
+    staged = stage_ranges(spark, backend, staging, resume=True)
+    name = F.substring_index(F.input_file_name(), "/", -1)
+    given = spark.read.text(f"{notes}/asked").select(
+        F.substring_index(name, "-", 1).cast("bigint").alias("page")
+    )
+    times = given.groupBy("page").agg(F.count("*").alias("given"))
+    return contiguous_prefix(staged.counts).join(times, "page", "left")
+
+
 def paged_source_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A cap of three pages and one that is not reached, with what the manifest says."""
     backend, root = place_pages(spark, sf_dir), scratch(spark, "capped")
@@ -459,10 +520,63 @@ def committed_runs_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return committed_rows(events, read_registry(spark, root))
 
 
+def committed_runs_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same over a table with a directory a run: other runs' directories are not read."""
+    run = F.concat(F.lit("R"), (F.col("user_id") % 10).cast("string")).alias("run_id")
+    events = table(spark, sf_dir, "events").select("event_id", run)
+    root, path = scratch(spark, "registry"), scratch(spark, "by-run")
+    write_partitioned(events, path, ("run_id",))
+    manifests = events.groupBy("run_id").agg(F.count("*").alias("fetched_rows"))
+    commit_runs(manifests.filter(F.col("run_id") <= "R6"), root)
+    return committed_rows(scan_runs(spark, path, events.schema), read_registry(spark, root))
+
+
+def silver_failed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A write that fails midway leaves the published table; the next one replaces it, and whoever
+    has opened the earlier table can still read it."""
+    rows, path, opened = curated(spark, sf_dir), scratch(spark, "published"), []
+    for version, failing in ((1, F.lit(False)), (2, F.col("name").endswith("7")), (3, F.lit(False))):
+        value = F.when(failing, F.raise_error(F.lit("midway"))).otherwise(F.lit(version))
+        try:
+            publish_table(rows.withColumn("version", value.cast("int")), path, ("country",))
+        except Exception as error:  # the tasks' own error, as Spark passes it on
+            if "midway" not in str(error):
+                raise
+        opened.append(scan_table(spark, table_path(spark, path), partition_cols=("country",)))
+    read = [t.select("id", "name", "country", "version", F.lit(i).alias("after")) for i, t in enumerate(opened, 1)]
+    return read[1].unionByName(read[2])
+
+
+def step_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps run and skipped when the flow stops at the gate and is started again, twice."""
+    backend, root, told = place_pages(spark, sf_dir), scratch(spark, "steps"), []
+    for attempt, ratio in enumerate((0.0, 0.05, 0.05), 1):
+        try:
+            gold = run_pipeline(
+                spark, backend, root, "R1", max_null_id_ratio=ratio,
+                on_step=lambda step, outcome, attempt=attempt: told.append((attempt, step, outcome)),
+            )
+        except QualityGateError:
+            pass
+    steps = spark.createDataFrame(told, "attempt bigint, step string, outcome string")
+    return steps.crossJoin(gold.agg(F.sum("brewery_count").alias("gold_places")))
+
+
 def rerun_protocol(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each write mode from each earlier state, with the rows committed afterwards."""
+    """Each write mode from each earlier state, with the rows committed afterwards.
+
+    A ``leased`` run is committed and being written by another one.
+    """
     backend, root = place_pages(spark, sf_dir), scratch(spark, "rerun")
     cells = []
+    ingest(spark, backend, root, "leased")
+    with run_lease(spark, root, "leased"):
+        for mode in ("skip", "overwrite", "fail"):
+            try:
+                outcome = ingest(spark, backend, root, "leased", write_mode=mode)
+            except LeaseHeldError:
+                outcome = "held"
+            cells.append(("leased", "leased", mode, outcome))
     for state in ("committed", "incomplete", "absent", "output lost"):
         for mode in ("skip", "overwrite", "fail"):
             run_id = f"{state}-{mode}"
@@ -524,7 +638,7 @@ def medallion_flow_all_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = customers(spark, sf_dir).join(more, F.col("c_custkey") == F.col("k")).drop("k")
     write_page_files(with_pages(wide, "c_custkey").drop("c_custkey"), store)
     run_pipeline(spark, FilePages(store), root, "R1", max_null_id_ratio=0.05)
-    silver = spark.read.parquet(f"{root}/silver")
+    silver = open_silver(spark, root)
     return silver.select(
         "id", "name", "country", "state_province", "city", "c_acctbal",
         F.col("c_nationkey").cast("bigint").alias("c_nationkey"),
@@ -584,6 +698,10 @@ def table_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "paged_source_asked": paged_source_asked,
         "paged_source_capped": paged_source_capped,
         "empty_ingest": empty_ingest,
+        "paged_source_resumed": paged_source_resumed,
+        "committed_runs_partitioned": committed_runs_partitioned,
+        "silver_failed_write": silver_failed_write,
+        "step_restart": step_restart,
     }
 
 
@@ -797,6 +915,23 @@ FROM ({gold}) g CROSS JOIN (VALUES ('R1'), ('R2')) r(run_id)""",
         "committed_runs_only": """
 SELECT event_id, 'R' || CAST(user_id % 10 AS VARCHAR) AS run_id FROM events
 WHERE user_id % 10 < 7""",
+        "committed_runs_partitioned": """
+SELECT event_id, 'R' || CAST(user_id % 10 AS VARCHAR) AS run_id FROM events
+WHERE user_id % 10 < 7""",
+        "paged_source_resumed": f"""
+SELECT c_custkey // 50 + 1 AS page, count(*) AS rows, CAST(1 AS BIGINT) AS given
+FROM ({CUSTOMERS}) c GROUP BY c_custkey // 50""",
+        "silver_failed_write": f"""
+SELECT id, name, country, version, "after"
+FROM ({silver}) s, (VALUES (1, 2), (3, 3)) t(version, "after")""",
+        "step_restart": f"""
+SELECT CAST(attempt AS BIGINT) AS attempt, step, outcome, gold_places
+FROM (VALUES (1, 'ingest', 'run'), (1, 'silver', 'run'), (1, 'quality', 'failed'),
+             (2, 'ingest', 'skipped'), (2, 'silver', 'skipped'), (2, 'quality', 'run'), (2, 'gold', 'run'),
+             (3, 'ingest', 'skipped'), (3, 'silver', 'skipped'), (3, 'quality', 'skipped'),
+             (3, 'gold', 'skipped')) t(attempt, step, outcome),
+     (SELECT CAST(sum(brewery_count) AS BIGINT) AS gold_places
+      FROM ({gold_sql(silver_sql(place_prefix))}) g) n""",
         "rerun_protocol": f"""
 SELECT state, write_mode, outcome, CASE WHEN kept THEN n ELSE 0 END AS committed_rows
 FROM (VALUES ('committed', 'skip', 'skipped', true), ('committed', 'overwrite', 'ingested', true),
@@ -805,7 +940,8 @@ FROM (VALUES ('committed', 'skip', 'skipped', true), ('committed', 'overwrite',
              ('absent', 'skip', 'ingested', true), ('absent', 'overwrite', 'ingested', true),
              ('absent', 'fail', 'ingested', true), ('output lost', 'skip', 'ingested', true),
              ('output lost', 'overwrite', 'ingested', true),
-             ('output lost', 'fail', 'ingested', true)) t(state, write_mode, outcome, kept),
+             ('output lost', 'fail', 'ingested', true), ('leased', 'skip', 'held', true),
+             ('leased', 'overwrite', 'held', true), ('leased', 'fail', 'held', true)) t(state, write_mode, outcome, kept),
      (SELECT count(*) AS n FROM ({place_prefix}) p) c""",
         "run_id_format": "SELECT event_id, strftime(ts, '%Y%m%dT%H%M%S') AS run_id FROM events",
         "monitoring_parse": MONITORING,

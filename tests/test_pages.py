@@ -1,12 +1,15 @@
 import io
 import json
+import os
 import urllib.error
+from collections import Counter
+from uuid import uuid4
 
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from tierbed.operators import contiguous_prefix, fetch_totals
+from tierbed.operators import contiguous_prefix, fetch_totals, prefix_totals
 from tierbed.sources import (
     FilePages,
     HttpPages,
@@ -14,6 +17,7 @@ from tierbed.sources import (
     read_page_files,
     read_pages,
     stage_pages,
+    stage_ranges,
     write_page_files,
 )
 from tierbed.sources.paged import PageReader, default_task_pages
@@ -58,6 +62,71 @@ def test_fetch_totals(spark):
     assert tuple(fetch_totals(df).first()) == (3, 2)
 
 
+@pytest.mark.parametrize(
+    ("counts", "cap", "want"),
+    [
+        ([(1, 5), (2, 3), (4, 9)], None, (8, 2, False)),
+        ([(1, 5), (2, 3), (3, 1)], 2, (8, 2, True)),
+        ([(1, 5), (2, 3), (3, 1)], 3, (9, 3, False)),
+        ([(2, 3)], 7, (0, 0, False)),
+        ([], None, (0, 0, False)),
+    ],
+)
+def test_prefix_totals(spark, counts, cap, want):
+    df = spark.createDataFrame(counts, "page bigint, rows bigint")
+    assert tuple(prefix_totals(df, cap).first()) == want
+
+
+class Failing(ListPages):
+    """Fails from a page on while a file is there; notes each page that it has given."""
+
+    def __init__(self, pages, notes, fails_from):
+        super().__init__(pages)
+        self.notes, self.fails_from = str(notes), fails_from
+
+    def records(self, page, per_page):
+        if page >= self.fails_from and os.path.exists(f"{self.notes}/down"):
+            raise OSError("source is down")
+        with open(f"{self.notes}/{page}-{uuid4().hex}", "w"):
+            return super().records(page, per_page)
+
+
+def asked(notes):
+    return Counter(int(f.name.split("-")[0]) for f in notes.iterdir() if "-" in f.name)
+
+
+def test_a_restart_keeps_committed_ranges(spark, tmp_path):
+    n = 5 * spark.sparkContext.defaultParallelism * paged.TASKS_PER_CORE
+    notes = tmp_path / "notes"
+    notes.mkdir()
+    (notes / "down").touch()
+    first = spark.sparkContext.defaultParallelism * paged.TASKS_PER_CORE
+    backend = Failing({p: [{"id": p}] * (p % 3 + 1) for p in range(1, n + 1)}, notes, first + 1)
+    where = str(tmp_path / "staging")
+    with pytest.raises(Exception, match="source is down"):
+        stage_ranges(spark, backend, where)
+    (notes / "down").unlink()
+    staged = stage_ranges(spark, backend, where, resume=True)
+    assert {p: c for p, c in asked(notes).items() if p <= n} == dict.fromkeys(range(1, n + 1), 1)
+    assert {r.page: r.rows for r in staged.counts.collect()} == {p: p % 3 + 1 for p in range(1, n + 1)}
+    assert staged.records.count() == sum(p % 3 + 1 for p in range(1, n + 1))
+    # Complete: nothing is asked again. Another page size is another source.
+    before = asked(notes)
+    stage_ranges(spark, backend, where, resume=True)
+    assert asked(notes) == before
+    stage_ranges(spark, backend, where, per_page=7, resume=True)
+    assert asked(notes)[1] == 2
+
+
+def test_carriage_returns_do_not_end_records(spark, tmp_path):
+    path = tmp_path / "pages/page=1"
+    path.mkdir(parents=True)
+    (path / "part-0.txt").write_bytes(b'{"id": 1,\r "a": 2}\r\n\r\n{"id": 2}\n')
+    rows = [json.loads(r.record) for r in read_page_files(spark, str(tmp_path / "pages")).collect()]
+    assert rows == [{"id": 1, "a": 2}, {"id": 2}]
+    assert [json.loads(r) for r in FilePages(str(tmp_path / "pages")).records(1, 9)] == rows
+
+
 def test_read_pages_from_backend(spark):
     pages = {1: [{"id": 1}, {"id": 2}], 2: [{"id": 3}], 4: [{"id": 5}]}
     df = read_pages(spark, ListPages(pages), max_pages=10, pages_per_task=1)

@@ -1,18 +1,20 @@
 import glob
 import json
 import shutil
+import threading
 
 import pytest
 from pyspark.sql import functions as F
 
 from tierbed.functions import run_path
-from tierbed.operators import QualityGateError, read_registry
+from tierbed.operators import LeaseHeldError, QualityGateError, read_registry
 from tierbed.plans import (
     PLACE_SCHEMA,
     build_gold,
     build_silver,
     check_silver,
     ingest,
+    open_silver,
     pipeline,
     run_pipeline,
     silver_schema,
@@ -65,13 +67,106 @@ def test_raw_keeps_records_as_sent(spark, root):
 
 def test_raw_file_count(spark, root):
     pages = Pages(*[[place(f"{p}-{i}") for i in range(200)] for p in range(8)])
-    ingest(spark, pages, root, "R1")
+    ingest(spark, pages, root, "R1", max_slices=8)
     assert len(glob.glob(f"{root}/raw/run_id=R1/part-*")) == 3
     ingest(spark, pages, root, "R2", max_slices=64, rows_per_slice=320)
     assert len(glob.glob(f"{root}/raw/run_id=R2/part-*")) == 5
     assert spark.read.json(run_path(f"{root}/raw", "R2")).distinct().count() == 1600
 
 
+def test_raw_files_follow_the_staged_bytes(spark, root):
+    """More than eight files where the splits are more than eight."""
+    pages = Pages(*[[place(f"{p}-{i}") | {"name": "x" * 200} for i in range(200)] for p in range(30)])
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "20k")
+    try:
+        ingest(spark, pages, root, "R1")
+    finally:
+        spark.conf.set(key, before)
+    assert len(glob.glob(f"{root}/raw/run_id=R1/part-*")) > 8
+    assert spark.read.json(run_path(f"{root}/raw", "R1")).distinct().count() == 6000
+
+
+def test_silver_reads_the_raw_lines_once(spark, root, monkeypatch):
+    wide = [place("1") | {"phone": 12}, place("2")]
+    ingest(spark, Pages(wide), root, "R1")
+    scans = []
+    scan = pipeline.scan_raw
+    monkeypatch.setattr(pipeline, "scan_raw", lambda s, p, schema: scans.append(schema) or scan(s, p, schema))
+    monkeypatch.setattr("tierbed.sources.raw.scan_raw", None)  # what infers a schema
+    for raw_schema in (PLACE_SCHEMA, None):
+        schema = build_silver(spark, root, "R1", raw_schema=raw_schema)
+        assert "phone" in schema.names
+    assert len(scans) == 2 and None not in scans
+
+
+def test_two_ingests_of_one_run(spark, root):
+    """One is in the middle of its fetch when the other one comes."""
+
+    class Slow(Pages):
+        def records(self, page, per_page):
+            import time
+
+            time.sleep(3 if page == 1 else 0)
+            return super().records(page, per_page)
+
+    outcomes = []
+
+    def go():
+        try:
+            outcomes.append(ingest(spark, Slow([place("1")]), root, "R1", write_mode="overwrite"))
+        except LeaseHeldError:
+            outcomes.append("held")
+
+    threads = [threading.Thread(target=go) for _ in range(2)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert sorted(outcomes) == ["held", "ingested"]
+    assert raw_ids(spark, root, "R1") == ["1"] and manifest(spark, root)["R1"].fetched_rows == 1
+
+
+def steps_of(spark, root, pages, run_id="R1", **options):
+    told = []
+    try:
+        run_pipeline(spark, pages, root, run_id, on_step=lambda *x: told.append(x), **options)
+    except Exception as error:
+        assert told[-1][1] == "failed", error
+    return [f"{step} {outcome}" for step, outcome in told]
+
+
+def test_a_rerun_goes_on_after_the_last_complete_step(spark, root):
+    pages = Pages([place(None), place("2")])
+    assert steps_of(spark, root, pages) == ["ingest run", "silver run", "quality failed"]
+    loose = {"max_null_id_ratio": 0.5}
+    assert steps_of(spark, root, Broken(), **loose) == ["ingest skipped", "silver skipped", "quality run", "gold run"]
+    done = ["ingest skipped", "silver skipped", "quality skipped", "gold skipped"]
+    assert steps_of(spark, root, Broken(), **loose) == done
+    assert steps_of(spark, root, Broken(), out="n", **loose) == [*done[:3], "gold run"]
+    # Lost output, another run's silver and a new fetch are all seen.
+    shutil.rmtree(f"{root}/gold")
+    assert steps_of(spark, root, Broken(), out="n", **loose) == [*done[:3], "gold run"]
+    again = ["silver run", "quality run", "gold run"]
+    assert steps_of(spark, root, Pages([place("9")]), "R2") == ["ingest run", *again]
+    assert steps_of(spark, root, Broken(), out="n", **loose) == ["ingest skipped", *again]
+    fetched = steps_of(spark, root, pages, write_mode="overwrite", out="n", **loose)
+    assert fetched == ["ingest run", *again]
+    assert steps_of(spark, root, Broken(), "R3") == ["ingest failed"]
+
+
+def test_a_failed_curation_leaves_the_earlier_silver(spark, root, monkeypatch):
+    run_pipeline(spark, Pages([place("1")]), root, "R1")
+    ingest(spark, Pages([place("2")]), root, "R2")
+    failing = F.raise_error(F.lit("midway")).cast("string")
+    curate = pipeline.curate
+    monkeypatch.setattr(pipeline, "curate", lambda *x: curate(*x).withColumn("city", failing))
+    with pytest.raises(Exception, match="midway"):
+        build_silver(spark, root, "R2")
+    assert [r.id for r in open_silver(spark, root).collect()] == ["1"]
+
+
 def test_no_cap_and_cap(spark, root):
     pages = Pages(*[[place(str(p))] for p in range(15)])
     ingest(spark, pages, root, "R1")
@@ -94,10 +189,10 @@ def test_silver_keeps_all_fields(spark, root):
     wide = [place("1") | {"phone": "12", "geo": {"lat": 1.5}}, place("2")]
     for run_id, options in (("R1", {}), ("R2", {"raw_schema": None})):
         run_pipeline(spark, Pages(wide), root, run_id, **options)
-        rows = {r.id: r for r in spark.read.parquet(f"{root}/silver").collect()}
+        rows = {r.id: r for r in open_silver(spark, root).collect()}
         assert rows["1"].phone == "12" and rows["1"].geo.lat == 1.5 and rows["2"].phone is None
     run_pipeline(spark, Pages(wide), root, "R3", other_fields=False)
-    assert "phone" not in spark.read.parquet(f"{root}/silver").columns
+    assert "phone" not in open_silver(spark, root).columns
 
 
 def test_empty_ingest_commits_nothing(spark, root):
@@ -167,7 +262,7 @@ def test_numeric_looking_places_survive_the_flow(spark, root):
 def test_second_run_replaces_silver_and_adds_gold(spark, root):
     run_pipeline(spark, Pages([place("1")]), root, "R1")
     run_pipeline(spark, Pages([place("2")]), root, "R2")
-    silver = spark.read.parquet(f"{root}/silver")
+    silver = open_silver(spark, root)
     assert [r.ingestion_run_id for r in silver.collect()] == ["R2"]
     assert len(glob.glob(f"{root}/gold/entity_counts/run_id=*")) == 2
 
@@ -176,7 +271,7 @@ def test_gold_counts_only_its_run(spark, root):
     for run_id, city in (("R1", "A"), ("R2", "B")):
         ingest(spark, Pages([place("1", city)]), root, run_id)
         build_silver(spark, root, run_id, overwrite="dynamic")
-    assert spark.read.parquet(f"{root}/silver").count() == 2
+    assert open_silver(spark, root).count() == 2
     gold = spark.read.parquet(build_gold(spark, root, "R2"))
     assert [(r.city, r.brewery_count) for r in gold.collect()] == [("B", 1)]
 

@@ -12,6 +12,7 @@ from tierbed.operators import (
     committed_rows,
     contiguous_prefix,
     entity_counts,
+    prefix_totals,
     quality_report,
     read_registry,
     run_slice,
@@ -19,7 +20,13 @@ from tierbed.operators import (
 
 from tierbed.plans.pipeline import open_silver
 from tierbed.plans.places import SILVER_PARTITIONS, SILVER_SORT
-from tierbed.sources import write_partitioned
+from tierbed.sources import (
+    FilePages,
+    scan_runs,
+    stage_ranges,
+    write_page_files,
+    write_partitioned,
+)
 
 SCHEMA = "id string, brewery_type string, city string, page bigint, ingestion_run_id string, note string"
 
@@ -79,6 +86,25 @@ def test_committed_rows_join(spark, table, root):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_committed_rows_prune_run_directories(spark, root):
+    runs = [f"R{i}" for i in range(6)]
+    df = spark.createDataFrame([(i, r) for r in runs for i in range(20)], "id int, run_id string")
+    write_partitioned(df, f"{root}/by-run", ("run_id",))
+    commit_runs(spark.createDataFrame([("R1", 1), ("R4", 0)], "run_id string, fetched_rows bigint"), root)
+    rows = committed_rows(scan_runs(spark, f"{root}/by-run", df.schema), read_registry(spark, root))
+    assert "dynamicpruning" in plan(rows)
+    assert {(r.run_id, r["count"]) for r in rows.groupBy("run_id").count().collect()} == {("R1", 20), ("R4", 20)}
+
+
+def test_totals_do_not_read_records(spark, tmp_path):
+    """Gap, totals, gate and sizes need no scan of the staged records."""
+    store = str(tmp_path / "pages")
+    write_page_files(spark.range(90).selectExpr("id", "id div 10 + 1 as page"), store)
+    staged = stage_ranges(spark, FilePages(store), str(tmp_path / "staging"))
+    text = plan(prefix_totals(staged.counts, 5))
+    assert "/counts/from=1" in text and "/pages/from" not in text and "record:" not in text
+
+
 def test_run_slice_prunes_silver_directories(spark, root):
     rows = [("1", "A", "US", "CA", "LA", run) for run in ("R1", "R2")]
     columns = "id string, brewery_type string, country string, state_province string, city string"

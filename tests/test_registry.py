@@ -1,6 +1,11 @@
+import json
+import threading
+import time
+
 import pytest
 
 from tierbed.operators import (
+    LeaseHeldError,
     commit_runs,
     committed_rows,
     drop_manifest,
@@ -8,8 +13,10 @@ from tierbed.operators import (
     read_registry,
     require_committed,
     rerun_action,
+    run_lease,
     write_manifest,
 )
+from tierbed.sources import control
 
 
 def manifest(run_id, rows=1):
@@ -41,7 +48,7 @@ def test_commit_many_runs_at_once(spark, root):
 
 def test_manifest_fields(spark, root):
     write_manifest(spark, root, manifest("R1"))
-    assert read_registry(spark, root).first().asDict() == manifest("R1")
+    assert read_registry(spark, root).first().asDict() == manifest("R1") | {"fields": None}
 
 
 def test_guard(spark, root):
@@ -100,3 +107,54 @@ def test_rerun_matrix(committed, output, mode, want):
 def test_unknown_mode():
     with pytest.raises(ValueError):
         rerun_action(False, False, "append", "R1")
+
+
+def test_a_lease_keeps_other_writers_out(spark, root):
+    with run_lease(spark, root, "R:1"):
+        with pytest.raises(LeaseHeldError, match="R:1"), run_lease(spark, root, "R:1"):
+            pass
+        with run_lease(spark, root, "R2"):
+            pass
+    with run_lease(spark, root, "R:1"):
+        pass
+    with pytest.raises(ValueError), run_lease(spark, root, "R:1"):
+        raise ValueError
+    with run_lease(spark, root, "R:1"):
+        pass
+
+
+def test_the_lease_of_a_dead_writer_is_taken_over(spark, root):
+    path = f"{root}/leases/run_id=R1/lease.json"
+    control.create_text(spark, path, json.dumps({"owner": "gone", "since": time.time() - 100}))
+    with pytest.raises(LeaseHeldError), run_lease(spark, root, "R1", max_seconds=1000):
+        pass
+    with run_lease(spark, root, "R1", max_seconds=50):
+        assert json.loads(control.read_text(spark, path))["owner"] != "gone"
+    assert control.read_text(spark, path) is None
+    assert control.names(spark, f"{root}/leases/run_id=R1") == []
+
+
+def test_one_of_many_creates_a_file(spark, root):
+    made = []
+
+    def create(i):
+        made.append(control.create_text(spark, f"{root}/x/lease", str(i)))
+
+    threads = [threading.Thread(target=create, args=(i,)) for i in range(8)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert sorted(made) == [False] * 7 + [True]
+
+
+def test_replacing_and_removing(spark, root):
+    path = f"{root}/a%3Ab/x.json"
+    assert control.read_text(spark, path) is None and control.names(spark, f"{root}/a%3Ab") == []
+    for text in ("one", "zwöi\n"):
+        control.replace_text(spark, path, text)
+        assert control.read_text(spark, path) == text
+    assert control.names(spark, f"{root}/a%3Ab") == ["x.json"]
+    control.remove(spark, path)
+    control.remove(spark, path)
+    assert control.read_text(spark, path) is None

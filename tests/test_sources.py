@@ -6,9 +6,13 @@ from pyspark.sql import functions as F
 from tierbed.functions import run_path
 from tierbed.sources import (
     path_exists,
+    publish_table,
+    published,
+    record_fields,
     scan_raw,
     scan_runs,
     scan_table,
+    table_path,
     with_other_fields,
     write_partitioned,
     write_raw,
@@ -40,6 +44,42 @@ def test_other_fields_follow_the_declared_ones(spark, root):
     ]
 
 
+RECORDS = [
+    '{"id": 7, "lat": 1.5, "a b": "x", "n": null, "geo": {"x": [1, 2], "y": {"z": 1e300}}, "m": 1, "Id": 1}',
+    '{"id": "s", "m": 2.25, "list": [{"k": true}, {"q": "w"}], "none": {}, "empty": [], "big": 12345678901234567890}',
+    '{"`odd` OBJECT<": 1}',
+    "{bad",
+    "[1]",
+    "",
+]
+
+
+def test_fields_gathered_by_the_write_are_those_that_spark_infers(spark, root):
+    records = [r.replace(', "Id": 1', "") for r in RECORDS]
+    df = spark.createDataFrame([(r,) for r in records], "record string").repartition(3)
+    fields = write_raw_records(df, root)
+    inferred = scan_raw(spark, root).schema
+    got = {f.name: f.dataType for f in fields}
+    # Spark leaves out objects that are always empty.
+    assert got.pop("none").simpleString() == "string"
+    assert got == {f.name: f.dataType for f in inferred if f.name != "_corrupt_record"}
+    assert with_other_fields(spark, root, "ID string", fields)["lat"].dataType.simpleString() == "double"
+    assert "id" not in with_other_fields(spark, root, "ID string", fields).names
+
+
+@pytest.mark.parametrize("records", [[], ["{bad", "[1]", "7", "{}"]])
+def test_no_fields(spark, root, records):
+    df = spark.createDataFrame([(r,) for r in records], "record string")
+    assert len(write_raw_records(df, root)) == 0
+    assert record_fields("VOID") == record_fields("VARIANT") == record_fields("OBJECT<>")
+
+
+def test_raw_records_are_written_without_a_shuffle(spark, root, tmp_path):
+    df = spark.range(0, 100_000, 1, 11).select(F.to_json(F.struct("id")).alias("record"))
+    write_raw_records(df, root)
+    assert len(glob.glob(f"{root}/part-*")) == 11
+
+
 def test_raw_records_are_written_unchanged(spark, root):
     records = ['{"id": 1, "x": null}', '{"id": 2, "y": "é"}', "{bad"]
     df = spark.createDataFrame([(1, r) for r in records], "page int, record string")
@@ -78,6 +118,23 @@ def test_static_and_dynamic_overwrite(spark, root, coded):
         assert sorted(ids) == want
 
 
+def test_a_failed_write_leaves_the_published_table(spark, root, coded):
+    publish_table(coded.filter("code is not null"), root, ("code",), note={"n": 1})
+    bad = spark.range(4).select(
+        F.when(F.col("id") == 3, F.raise_error(F.lit("midway"))).otherwise("x").alias("code"), "id"
+    )
+    with pytest.raises(Exception, match="midway"):
+        publish_table(bad, root, ("code",))
+    first = scan_table(spark, table_path(spark, root), coded.schema)
+    assert published(spark, root)["note"] == {"n": 1} and first.count() == 3
+    # A reader of the first table can go on while the second one is published.
+    publish_table(coded.filter("id = 1"), root, ("code",))
+    assert first.count() == 3
+    assert [r.id for r in scan_table(spark, table_path(spark, root), coded.schema).collect()] == [1]
+    publish_table(coded.filter("id = 2"), root, ("code",))
+    assert len(glob.glob(f"{root}/v-*")) == 2
+
+
 def test_few_files_per_partition(spark, root):
     df = spark.range(0, 4000, 1, 8).withColumn("k", (F.col("id") % 20).cast("string"))
     write_partitioned(df, root, ("k",), sort_cols=("id",))

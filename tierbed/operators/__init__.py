@@ -10,7 +10,7 @@ from tierbed.operators.monitoring import (
     route_alerts,
     unparsed_monitoring,
 )
-from tierbed.operators.pages import contiguous_prefix, fetch_totals
+from tierbed.operators.pages import contiguous_prefix, fetch_totals, prefix_totals
 from tierbed.operators.quality import (
     QualityGateError,
     duplicate_groups,
@@ -23,6 +23,7 @@ from tierbed.operators.quality import (
     write_report,
 )
 from tierbed.operators.registry import (
+    LeaseHeldError,
     commit_runs,
     committed_rows,
     drop_manifest,
@@ -30,11 +31,13 @@ from tierbed.operators.registry import (
     read_registry,
     require_committed,
     rerun_action,
+    run_lease,
     write_manifest,
 )
 
 __all__ = [
     "FillRule",
+    "LeaseHeldError",
     "QualityGateError",
     "alert_body",
     "commit_runs",
@@ -49,6 +52,7 @@ __all__ = [
     "mismatch_count",
     "null_ratio",
     "parse_monitoring",
+    "prefix_totals",
     "quality_gate",
     "quality_report",
     "read_monitoring_log",
@@ -58,6 +62,7 @@ __all__ = [
     "require_committed",
     "rerun_action",
     "route_alerts",
+    "run_lease",
     "run_slice",
     "stamp_run",
     "unparsed_monitoring",

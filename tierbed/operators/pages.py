@@ -39,3 +39,19 @@ def fetch_totals(df: DataFrame, page: str = "page") -> DataFrame:
         F.count(F.lit(1)).alias("fetched_rows"),
         F.count_distinct(F.col(page)).alias("pages_fetched"),
     )
+
+
+def prefix_totals(counts: DataFrame, max_pages: int | None = None) -> DataFrame:
+    """One row from the rows of each page, ``counts(page, rows)``: ``fetched_rows`` and
+    ``pages_fetched`` of the pages before the first absent one, at most ``max_pages``, and
+    ``truncated``, whether that left pages out.
+
+    Gap, totals, the gate against empty runs and the sizes of files all follow from ``counts``, so
+    the records are not read for them.
+    """
+    kept = F.lit(True) if max_pages is None else F.col("page") <= max_pages
+    return contiguous_prefix(counts.filter(F.col("rows") > 0)).agg(
+        F.coalesce(F.sum(F.when(kept, F.col("rows"))), F.lit(0).cast("bigint")).alias("fetched_rows"),
+        F.count(F.when(kept, True)).alias("pages_fetched"),
+        F.coalesce(F.bool_or(~kept), F.lit(False)).alias("truncated"),
+    )

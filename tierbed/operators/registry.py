@@ -1,16 +1,29 @@
-"""Run registry: a run is committed when its manifest row can be read."""
+"""Run registry: a run is committed when its manifest row can be read.
+
+A run that is being written holds a lease, a file that only one writer can create.
+"""
 
 from __future__ import annotations
 
+import json
+import os
+import socket
+import time
+from collections.abc import Iterator
+from contextlib import contextmanager
+from uuid import uuid4
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
 
 from tierbed.functions.runs import run_path
+from tierbed.sources import control
 from tierbed.sources.tables import path_exists
 
-# The manifest's fields, and whether pages beyond the cap were left out.
+# The manifest's fields, whether pages beyond the cap were left out, and the fields
+# that the records have.
 MANIFEST_SCHEMA = StructType(
     [
         StructField("run_id", StringType(), True),
@@ -22,8 +35,12 @@ MANIFEST_SCHEMA = StructType(
         StructField("started_at_utc", StringType(), True),
         StructField("finished_at_utc", StringType(), True),
         StructField("api_url", StringType(), True),
+        StructField("fields", StringType(), True),
     ]
 )
+MANIFEST_FILE = "manifest.json"
+# A lease that is older is taken over: its writer has died without giving it back.
+LEASE_SECONDS = 24 * 3600
 WRITE_MODES = ("skip", "overwrite", "fail")
 
 
@@ -47,16 +64,58 @@ def commit_runs(manifests: DataFrame, root: str) -> None:
 
 
 def write_manifest(spark: SparkSession, root: str, manifest: dict) -> None:
-    """Commit one run; touches no other run's directory."""
-    row = spark.createDataFrame([manifest], MANIFEST_SCHEMA).drop("run_id")
-    row.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(
-        run_path(manifests_path(root), manifest["run_id"])
-    )
+    """Commit one run; touches no other run's directory.
+
+    The new manifest takes the place of the old one at once, so that a committed run is never seen
+    as uncommitted.
+    """
+    path = run_path(manifests_path(root), manifest["run_id"])
+    row = {f.name: manifest.get(f.name) for f in MANIFEST_SCHEMA if f.name != "run_id"}
+    control.replace_text(spark, f"{path}/{MANIFEST_FILE}", json.dumps(row) + "\n")
+    for name in control.names(spark, path):
+        if name != MANIFEST_FILE:  # from ``commit_runs``
+            control.remove(spark, f"{path}/{name}")
 
 
 def drop_manifest(spark: SparkSession, root: str, run_id: str) -> None:
-    """Make a run uncommitted: its manifest is replaced by one without counts."""
-    write_manifest(spark, root, {"run_id": run_id})
+    """Make a run uncommitted."""
+    control.remove(spark, run_path(manifests_path(root), run_id))
+
+
+class LeaseHeldError(RuntimeError):
+    """Another writer is at work on the run."""
+
+
+@contextmanager
+def run_lease(
+    spark: SparkSession, root: str, run_id: str, max_seconds: float = LEASE_SECONDS
+) -> Iterator[None]:
+    """Hold the run against other writers, or raise ``LeaseHeldError`` if one of them holds it.
+
+    The lease is a file that is created only if it is absent. A lease older than ``max_seconds`` is
+    that of a dead writer; taking it over is a rename, which only one of several can do.
+    """
+    path = f"{run_path(f'{root.rstrip("/")}/leases', run_id)}/lease.json"
+    own = {"owner": uuid4().hex, "host": socket.gethostname(), "pid": os.getpid()}
+    while not control.create_text(spark, path, json.dumps(own | {"since": time.time()})):
+        text = control.read_text(spark, path)
+        if text is None:  # given back just now
+            continue
+        # An empty file is a lease whose writer has only just made it.
+        since = json.loads(text)["since"] if text else time.time()
+        if time.time() - since <= max_seconds:
+            raise LeaseHeldError(f"Run is being written by another writer. run_id={run_id} lease={path} {text}")
+        stale = f"{path}.{own['owner']}"
+        if control.rename(spark, path, stale):
+            if control.read_text(spark, stale) != text:  # taken over by another one meanwhile
+                control.rename(spark, stale, path)
+            else:
+                control.remove(spark, stale)
+    try:
+        yield
+    finally:
+        if own["owner"] in (control.read_text(spark, path) or ""):
+            control.remove(spark, path)
 
 
 def read_registry(spark: SparkSession, root: str) -> DataFrame:
@@ -67,7 +126,8 @@ def read_registry(spark: SparkSession, root: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         manifests = spark.createDataFrame([], MANIFEST_SCHEMA)
-    return manifests.filter(F.col("fetched_rows").isNotNull())
+    # A comparison, as a join prunes partitions by a side that is filtered by one.
+    return manifests.filter(F.col("fetched_rows") >= 0)
 
 
 def read_manifest(spark: SparkSession, root: str, run_id: str) -> DataFrame:
@@ -105,7 +165,9 @@ def committed_rows(df: DataFrame, registry: DataFrame, run_col: str = "run_id")
 
     Spark broadcasts the registry if its measured bytes allow, so that ``df`` is not shuffled by a
     column with few, uneven values. A larger registry is joined by shuffle, where AQE splits
-    runs that hold much of the table.
+    runs that hold much of the table. Where ``run_col`` names the directories of ``df`` and the
+    registry is broadcast, directories of other runs are not read at all: Spark prunes them at
+    run time by the runs it has found.
     """
     runs = registry.select(F.col("run_id").alias(run_col)).distinct()
     return df.join(runs, run_col, "left_semi")

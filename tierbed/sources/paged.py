@@ -16,7 +16,7 @@ import urllib.error
 import urllib.parse
 import urllib.request
 from collections.abc import Iterator
-from typing import Protocol
+from typing import NamedTuple, Protocol
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -26,14 +26,21 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from tierbed.sources import control
 from tierbed.sources.tables import gather_partitions
 
 PAGE_SCHEMA = StructType(
     [StructField("page", LongType(), True), StructField("record", StringType(), True)]
 )
+# Rows of each page that has any.
+COUNT_SCHEMA = StructType(
+    [StructField("page", LongType(), True), StructField("rows", LongType(), True)]
+)
 
 # Read tasks per core, unless a source limits how many may run at once.
 TASKS_PER_CORE = 4
+# Pages that a task asks for in a round at most; bounds what a failure can lose.
+MAX_TASK_PAGES = 64
 # Rows per Arrow batch handed to the JVM; bounds a task's memory whatever the page size.
 BATCH_ROWS = 4_096
 
@@ -52,6 +59,14 @@ class PageBackend(Protocol):
         ...
 
 
+def file_system(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI for use in a task, and the path there."""
+    uri = urllib.parse.urlsplit(path)
+    if uri.scheme in ("", "file"):
+        return pafs.LocalFileSystem(), uri.path
+    return pafs.FileSystem.from_uri(path.replace("s3a:", "s3:", 1))
+
+
 class FilePages:
     """Pages stored as JSON-lines files under ``<path>/page=<n>/``.
 
@@ -63,11 +78,7 @@ class FilePages:
         self.path = path
 
     def records(self, page: int, per_page: int) -> Iterator[str]:
-        uri = urllib.parse.urlsplit(self.path)
-        if uri.scheme in ("", "file"):
-            fs, root = pafs.LocalFileSystem(), uri.path
-        else:
-            fs, root = pafs.FileSystem.from_uri(self.path.replace("s3a:", "s3:", 1))
+        fs, root = file_system(self.path)
         listing = pafs.FileSelector(f"{root.rstrip('/')}/page={page}", allow_not_found=True)
         files = [f for f in fs.get_file_info(listing) if f.is_file and f.base_name[0] not in "._"]
         for file in sorted(files, key=lambda f: f.path):
@@ -213,6 +224,18 @@ def read_pages(
     return spark.read.format(PagedSource.name()).options(backend=packed, **options).load()
 
 
+class Staged(NamedTuple):
+    """``records(page, record)`` and ``counts(page, rows)`` of staged pages."""
+
+    records: DataFrame
+    counts: DataFrame
+
+
+def place_of(backend: PageBackend) -> str:
+    """Where a backend says its pages come from."""
+    return str(getattr(backend, "url", None) or getattr(backend, "path", ""))
+
+
 def stage_pages(
     spark: SparkSession,
     backend: PageBackend,
@@ -221,38 +244,90 @@ def stage_pages(
     max_pages: int | None = None,
     pages_per_task: int | None = None,
 ) -> DataFrame:
-    """Write the pages of ``backend`` to ``path`` and read them from there.
+    """Write the pages of ``backend`` anew to ``path`` and read them from there."""
+    return stage_ranges(spark, backend, path, per_page, max_pages, pages_per_task).records
 
-    Stored page files are read by Spark itself. Other backends are asked in rounds, each twice
-    as long as the one before, until a round meets an empty page. With ``max_pages`` one page
-    more is asked for, which shows whether there is more than that.
+
+def stage_ranges(
+    spark: SparkSession,
+    backend: PageBackend,
+    path: str,
+    per_page: int = 200,
+    max_pages: int | None = None,
+    pages_per_task: int | None = None,
+    resume: bool = False,
+) -> Staged:
+    """Write the pages of ``backend`` to ``path``, range by range, and count each page's rows once.
+
+    Stored page files are one range and are read by Spark itself. Other backends are asked in
+    rounds, each twice as long as the one before and bounded by ``MAX_TASK_PAGES`` a task, until a
+    round meets an empty page. With ``max_pages`` one page more is asked for, which shows whether
+    there is more than that.
+
+    A range is committed by a file of its own, after its pages and counts are written. With
+    ``resume`` the ranges that an earlier attempt has committed for the same place, page size
+    and cap are kept, and fetching goes on behind them.
     """
+    source = {"place": place_of(backend), "per_page": per_page, "max_pages": max_pages}
+    done = {}
+    if resume:
+        for name in control.names(spark, f"{path}/ranges"):
+            mark = json.loads(control.read_text(spark, f"{path}/ranges/{name}"))
+            if mark.pop("source") == source:
+                done[mark["first"]] = mark
+    if not done:
+        control.remove(spark, path)
+
+    def part(kind: str, first: int) -> str:
+        return f"{path}/{kind}/from={first}"
+
+    def commit(first: int, last: int | None, pages: DataFrame) -> dict:
+        pages.write.mode("overwrite").parquet(part("pages", first))
+        staged = spark.read.schema(PAGE_SCHEMA).parquet(part("pages", first))
+        counts = staged.groupBy("page").agg(F.count(F.lit(1)).alias("rows"))
+        counts.write.mode("overwrite").parquet(part("counts", first))
+        # Only a round needs to know whether it met an empty page.
+        found = last and spark.read.schema(COUNT_SCHEMA).parquet(part("counts", first)).count()
+        mark = {"first": first, "last": last, "found": found}
+        control.replace_text(spark, f"{path}/ranges/{first}.json", json.dumps(mark | {"source": source}))
+        return mark
+
+    ranges, first = [], 1
     if isinstance(backend, FilePages):
         pages = read_page_files(spark, backend.path)
         if max_pages is not None:
             pages = pages.filter(F.col("page") <= max_pages + 1)
-        pages.write.mode("overwrite").parquet(path)
-        return spark.read.schema(PAGE_SCHEMA).parquet(path)
-    first, mode = 1, "overwrite"
-    size = spark.sparkContext.defaultParallelism * TASKS_PER_CORE
-    while True:
-        last = first + size - 1 if max_pages is None else max_pages + 1
-        pages = read_pages(spark, backend, per_page, last, pages_per_task, first)
-        pages.write.mode(mode).parquet(path)
-        staged = spark.read.schema(PAGE_SCHEMA).parquet(path)
-        found = staged.filter(F.col("page") >= first).agg(F.count_distinct("page")).first()[0]
-        if max_pages is not None or found < last - first + 1:
-            return staged
-        first, size, mode = last + 1, 2 * size, "append"
+        ranges = [done.get(1) or commit(1, None, pages)]
+    else:
+        round_pages = spark.sparkContext.defaultParallelism * TASKS_PER_CORE
+        most, end = round_pages * MAX_TASK_PAGES, None if max_pages is None else max_pages + 1
+        while True:
+            if first in done:
+                mark = done[first]
+            else:
+                last = first + round_pages - 1 if end is None else min(first + round_pages - 1, end)
+                mark = commit(first, last, read_pages(spark, backend, per_page, last, pages_per_task, first))
+            ranges.append(mark)
+            if mark["found"] < mark["last"] - first + 1 or mark["last"] == end:
+                break
+            first, round_pages = mark["last"] + 1, min(2 * round_pages, most)
+    firsts = [mark["first"] for mark in ranges]
+    return Staged(
+        spark.read.schema(PAGE_SCHEMA).parquet(*[part("pages", x) for x in firsts]),
+        spark.read.schema(COUNT_SCHEMA).parquet(*[part("counts", x) for x in firsts]),
+    )
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
-    """The page files under ``path`` as ``(page, record)`` rows; large files are read in splits."""
-    files = spark.read.text(path)
+    """The page files under ``path`` as ``(page, record)`` rows; large files are read in splits.
+
+    Records end at line feeds; a carriage return is white space between a record's tokens.
+    """
+    files = spark.read.text(path, lineSep="\n")
     if "page" not in files.columns:  # no page at all
         return spark.createDataFrame([], PAGE_SCHEMA)
     page = F.col("page").cast("bigint").alias("page")
-    return files.filter(F.trim("value") != "").select(page, F.col("value").alias("record"))
+    return files.filter(F.trim(F.translate("value", "\r\t", "  ")) != "").select(page, F.col("value").alias("record"))
 
 
 def write_page_files(df: DataFrame, path: str, page: str = "page") -> None:

@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from uuid import uuid4
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tierbed.functions.runs import run_path
+from tierbed.functions.runs import new_run_id, run_path
+from tierbed.sources import control
+
+# Fixed value: the pointer's name, which Spark takes for a hidden file.
+POINTER = "_published.json"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -81,6 +87,47 @@ def scan_table(
     return found if declared == found.schema else spark.read.schema(declared).parquet(path)
 
 
+def publish_table(
+    df: DataFrame,
+    path: str,
+    partition_cols: Sequence[str],
+    sort_cols: Sequence[str] = (),
+    note: dict | None = None,
+    max_records_per_file: int = 0,
+) -> str:
+    """Replace a partitioned table: write it beside the published one, then point to it.
+
+    Until the pointer is renamed into place, and if the write fails, readers of ``table_path`` have
+    the earlier table whole. It is kept until the next publication, for those who still read it.
+    ``note`` is kept with the pointer. Returns the new table's directory.
+    """
+    spark = df.sparkSession
+    version = f"v-{new_run_id()}-{uuid4().hex[:12]}"
+    write_partitioned(
+        df, f"{path}/{version}", partition_cols, max_records_per_file=max_records_per_file, sort_cols=sort_cols
+    )
+    before = published(spark, path)
+    pointer = {"version": version, "schema": df.schema.jsonValue(), "note": note or {}}
+    control.replace_text(spark, f"{path}/{POINTER}", json.dumps(pointer))
+    kept = {version, before["version"] if before else None}
+    for name in control.names(spark, path):
+        if name not in kept:
+            control.remove(spark, f"{path}/{name}")
+    return f"{path}/{version}"
+
+
+def published(spark: SparkSession, path: str) -> dict | None:
+    """What the pointer of a table says: ``version``, ``schema`` and ``note``."""
+    text = control.read_text(spark, f"{path}/{POINTER}")
+    return json.loads(text) if text else None
+
+
+def table_path(spark: SparkSession, path: str) -> str:
+    """Where the published table lies; ``path`` itself for a table written there without a pointer."""
+    found = published(spark, path)
+    return f"{path}/{found['version']}" if found else path
+
+
 def write_run(df: DataFrame, prefix: str, run_id: str) -> str:
     """Write one run of a table; other runs under ``prefix`` stay as they are."""
     path = run_path(prefix, run_id)
