@@ -33,8 +33,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cuts the documents into sequences along the space-filling curve."""
-    return pack_along_curve(docs)
+    """Cuts the documents into sequences of token ids along the space-filling curve.
+
+    A row is a piece with its ids. Null and empty texts have the end id alone; every row is a document of
+    its own, also where ids repeat; a long text goes through several sequences. Other columns are left out.
+    """
+    return pack_along_curve(docs, with_ids=True)
 
 
 STAGES = [
