@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tierbed.llm import queries
 from tierbed.llm.arc import arc_archive, arc_records, convert_arc, warc_fields
 from tierbed.llm.chosen_path import lost_per_run, near_forest, ngram_join, overlaps, runs_for
-from tierbed.llm.curve_packing import hilbert_key
+from tierbed.llm.curve_packing import hilbert_key, pack_along_curve
 from tierbed.llm.line_dedup import MinimalPerfectHash
 from tierbed.llm.quality_rules import quality_rules, without_boilerplate
 from tierbed.llm.secret_scan import KINDS, scan_secrets
@@ -121,6 +121,20 @@ def test_packing(spark, docs):
         assert at <= 2048 and at.bit_count() == 1
 
 
+def test_packing_follows_the_curve(spark):
+    """Sequence by sequence the documents' keys ascend, over all partitions."""
+    from tierbed.llm.curve_packing import document_points
+    from tierbed.llm.text import encoded
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = docs.select("doc_id", "text").toArrow()
+    points = document_points(*word_hashes(encoded(rows.column("text").combine_chunks(), lower=True)), 10)
+    curve = dict(zip(rows.column("doc_id").to_pylist(), hilbert_key(points, 10).tolist(), strict=True))
+    pieces = pack_along_curve(docs).collect()
+    keys = [curve[p.doc_id] for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset))]
+    assert keys == sorted(keys) and len(set(keys)) > len(keys) // 4
+
+
 def test_word_tokenizer_on_odd_words():
     rng = random.Random(3)
     alphabet = string.printable + "éÉßØøİıſŁñΣσς中文́ \u0085 ½²<|>" + "'s'll"

@@ -16,9 +16,13 @@ from tierbed.llm.secret_scan import scan_secrets
 from tierbed.llm.simhash import fingerprints, neighbours
 from tierbed.llm.suffix_tree import suffix_tree_scores
 
+# Names that an operator may think of for columns of its own.
+INNER = """__key __row __nth __null __mix_row __mix_copy __kept __rejected __gone own_key OWN_KEY_ own_row rejected_key
+kept_row nth_row no_text mix_key n_copies nth_copy gone_key gone_lines""".split()
 SCHEMA = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, key string, row string,"
-    " size string, slice string, bucket string, h string, `at` string, `a b` string, kept string"
+    " size string, slice string, bucket string, h string, `at` string, `a b` string, kept string, "
+    + ", ".join(f"{name} string" for name in INNER)
 )
 LONG = " ".join(f"word{i % 5000}" for i in range(60_000))
 TEXTS = [
@@ -34,12 +38,13 @@ TEXTS = [
     (7, "É" * 3000, "fr", "c"),
     (8, "x", "en", "c"),
     (8, "another text with the same id", "en", "c"),
+    (9, " ".join(f"own{i}" for i in range(60)), "en", "d"),
 ]
 
 
 @pytest.fixture(scope="module")
 def docs(spark):
-    rows = [(*t, len(t[1] or ""), *["clash"] * 9) for t in TEXTS]
+    rows = [(*t, len(t[1] or ""), *["clash"] * 9, *INNER) for t in TEXTS]
     return spark.createDataFrame(rows, SCHEMA)
 
 
@@ -74,7 +79,9 @@ def test_stages(spark, docs, name):
     out = stage(spark, docs, "")
     if name != corpus_pipeline.STAGES[-1][0]:
         assert out.columns == docs.columns and out.dtypes == docs.dtypes
-        assert {r.kept for r in out.collect()} <= {"clash"}
+        rows = out.collect()
+        assert rows and {r.kept for r in rows} == {"clash"}
+        assert {tuple(r[name] for name in INNER) for r in rows} == {tuple(INNER)}
     else:
         assert out.count() >= len(TEXTS)
     assert stage(spark, docs.limit(0), "").collect() == []

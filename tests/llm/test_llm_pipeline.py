@@ -97,6 +97,7 @@ def test_pack_and_run(spark, steps):
     rows = steps[5].collect()
     assert Counter((r.doc_id, r.doc_tokens) for r in rows if r.start == 0) == want
     assert sum(r.length for r in rows) == sum(n * c for (_, n), c in want.items())
+    assert all(zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in rows)
     again = entry.queries()["pipeline"](spark, SF).collect()
     pieces = Counter((r.doc_id, r.start, r.length, r.ids_crc32) for r in again)
     assert sum(n * k[2] for k, n in pieces.items()) == sum(r.length for r in rows)

@@ -220,7 +220,10 @@ def pack_best_fit(
     counts = {r.length: r.n for r in firsts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = best_fit(counts, sequence_length)
 
-    ranked = pieces.join(firsts.drop("n"), ["length", "part"]).withColumn("rank", F.col("first") + F.col("nth"))
+    # The ranks grow with the number of tasks, so they are never broadcast.
+    ranked = pieces.join(firsts.drop("n").hint("merge"), ["length", "part"]).withColumn(
+        "rank", F.col("first") + F.col("nth")
+    )
     kept = ["doc_id", "piece", "start", "length", "ids_crc32", *(["ids"] if with_ids else [])]
     return ranked.select(*kept, "rank").mapInArrow(
         _placed(plan), f"{fields}{ids}, sequence_id bigint, offset bigint"

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierbed.llm.graph import components
-from tierbed.llm.storage import fan_out, saved
+from tierbed.llm.storage import fan_out, free_name, saved
 from tierbed.llm.text import blocks, combine, encoded, mix, word_hashes
 
 SHINGLE_WORDS = 5
@@ -414,24 +414,28 @@ def ngram_join(
 
 
 def one_of_each_class(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The row with the smallest id of each class, its columns as they are.
+    """The row with the smallest id of each class, its columns as they are, whatever their names.
+
+    Texts without five words, null and empty ones among them, are alike if their words are; a very
+    long text is compared whole. An empty table gives no rows.
 
     Null ids come last; among rows with the same id the least hash of id and text decides, and
     of rows alike in both one stays.
     """
+    own, theirs, nth = (free_name(docs, x) for x in ("own_row", "kept_row", "nth_row"))
     first = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row").alias("row")))
     kept = (
         ngram_join(docs, id_col, text_col, **options)
         .groupBy("class")
         .agg(first.alias("first"))
-        .select(F.col("first.row").alias("__kept"))
+        .select(F.col("first.row").alias(theirs))
         .distinct()
     )
-    one = Window.partitionBy("__row").orderBy("__row")
+    one = Window.partitionBy(own).orderBy(own)
     return (
-        docs.withColumn("__row", F.xxhash64(F.col(id_col), F.col(text_col)))
-        .join(kept, F.col("__row") == F.col("__kept"))
-        .withColumn("__nth", F.row_number().over(one))
-        .filter("__nth = 1")
+        docs.withColumn(own, F.xxhash64(F.col(id_col), F.col(text_col)))
+        .join(kept, F.col(own) == F.col(theirs))
+        .withColumn(nth, F.row_number().over(one))
+        .filter(F.col(nth) == 1)
         .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

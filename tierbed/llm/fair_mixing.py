@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierbed.llm.storage import fan_out, saved
+from tierbed.llm.storage import fan_out, free_name, saved
 
 SLICES = 1024
 
@@ -188,16 +188,22 @@ def fair_mix(
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` as the mix takes them: each row as many times as it is taken, columns as they are."""
+    """``docs`` as the mix takes them: each row as many times as it is taken, columns as they are,
+    whatever their names.
+
+    Null and empty texts have no words and are taken at no cost or not at all, as ``fair_mix`` says;
+    repeated rows share their turns, and a long text is taken whole. An empty table gives no rows.
+    """
     id_col = options.get("id_col", "doc_id")
     source_col, text_col = options.get("source_col", "source"), options.get("text_col", "text")
     key = shuffle_key(id_col, source_col, text_col, options.get("seed", 7))
+    own, theirs, copies, copy = (free_name(docs, x) for x in ("own_key", "mix_key", "n_copies", "nth_copy"))
     taken = (
         fair_mix(docs, **options)
         .filter(F.col("copies") > 0)
-        .groupBy(F.col("shuffle").alias("__mix_key"))
-        .agg(F.max("copies").alias("__mix_copies"))
+        .groupBy(F.col("shuffle").alias(theirs))
+        .agg(F.max("copies").alias(copies))
     )
-    repeated = docs.withColumn("__mix_row", key).join(taken, F.col("__mix_row") == F.col("__mix_key"))
-    copies = F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))).alias("__mix_copy")
-    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns], copies).drop("__mix_copy")
+    repeated = docs.withColumn(own, key).join(taken, F.col(own) == F.col(theirs))
+    each = F.explode(F.sequence(F.lit(1), F.col(copies))).alias(copy)
+    return repeated.select(*[F.col(f"`{c}`") for c in docs.columns], each).drop(copy)

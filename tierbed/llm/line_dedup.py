@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierbed.llm.storage import fan_out, saved
+from tierbed.llm.storage import fan_out, free_name, saved
 from tierbed.llm.text import mix
 
 SHARD_KEYS = 500_000
@@ -265,8 +265,8 @@ def dedup_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` with repeated lines dropped from the texts, and ``n_chars``, where there is such a
     column, counted anew for changed texts. Null texts stay null."""
     carried = [name for name in docs.columns if name != text_col]
-    flagged = docs.withColumn("__null", F.col(text_col).isNull())
-    out = _deduplicated(flagged, id_col, text_col, [*carried, "__null"])
+    flagged = docs.withColumn(empty := free_name(docs, "no_text"), F.col(text_col).isNull())
+    out = _deduplicated(flagged, id_col, text_col, [*carried, empty])
     at = {name: F.col(f"c{i}") for i, name in enumerate(carried)}
     changed = F.col("n_dropped") > 0
     at[text_col] = F.when(~F.col(f"c{len(carried)}"), F.col("text"))

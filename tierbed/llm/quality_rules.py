@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierbed.llm.storage import saved
+from tierbed.llm.storage import free_name, saved
 
 SALTS = 16
 
@@ -227,13 +227,18 @@ def kept_documents(
     host_col: str = "source",
     limits: Limits = Limits(),
 ) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns as they are."""
+    """The rows of ``docs`` that the rules keep, all columns as they are, whatever their names.
+
+    Null texts have no words and are rejected, as are empty ones. Rows alike in id, text and source
+    share a verdict; a very long text is judged whole. An empty table gives no rows.
+    """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     key = F.xxhash64(F.col(id_col), F.col(host_col).cast("string"), text)
     verdicts = quality_rules(docs, id_col, text_col, host_col, limits)
-    rejected = verdicts.filter(~F.col("kept")).select(F.col("key").alias("__rejected")).distinct()
-    keyed = docs.withColumn("__key", key)
-    return keyed.join(rejected, F.col("__key") == F.col("__rejected"), "left_anti").select(
+    own, theirs = free_name(docs, "own_key"), free_name(docs, "rejected_key")
+    rejected = verdicts.filter(~F.col("kept")).select(F.col("key").alias(theirs)).distinct()
+    keyed = docs.withColumn(own, key)
+    return keyed.join(rejected, F.col(own) == F.col(theirs), "left_anti").select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )
 
@@ -247,19 +252,20 @@ def without_boilerplate(
 ) -> DataFrame:
     """All rows of ``docs`` with the lines above the limits removed from the text, other columns
     as they are. Null texts stay null; a text may end up empty."""
+    own, theirs, lost = (free_name(docs, x) for x in ("own_key", "gone_key", "gone_lines"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     gone = (
         boilerplate(_prepared(docs, id_col, host_col, text_col), limits)
-        .groupBy(F.col("key").alias("__gone_key"))
-        .agg(F.collect_set("line").alias("__gone"))
+        .groupBy(F.col("key").alias(theirs))
+        .agg(F.collect_set("line").alias(lost))
     )
-    keyed = docs.withColumn("__key", F.xxhash64(F.col(id_col), F.col(host_col).cast("string"), text))
-    joined = keyed.join(gone, F.col("__key") == F.col("__gone_key"), "left")
+    keyed = docs.withColumn(own, F.xxhash64(F.col(id_col), F.col(host_col).cast("string"), text))
+    joined = keyed.join(gone, F.col(own) == F.col(theirs), "left")
     left = F.zip_with(
         F.split(F.col(text_col), "\n"),
         normalised_lines(F.col(text_col)),
-        lambda line, plain: F.when((plain == "") | ~F.array_contains("__gone", F.xxhash64(plain)), line),
+        lambda line, plain: F.when((plain == "") | ~F.array_contains(F.col(lost), F.xxhash64(plain)), line),
     )
     cleaned = F.array_join(F.filter(left, lambda x: x.isNotNull()), "\n")
-    kept = F.when(F.col("__gone").isNull(), F.col(text_col)).otherwise(cleaned)
+    kept = F.when(F.col(lost).isNull(), F.col(text_col)).otherwise(cleaned)
     return joined.select(*[kept.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns])

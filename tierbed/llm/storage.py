@@ -30,6 +30,14 @@ def saved(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it in any case."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def fan_out(spark: SparkSession) -> int:
     """Number of partitions for shuffles that need an explicit one."""
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
