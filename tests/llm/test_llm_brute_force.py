@@ -1,6 +1,7 @@
 """Operators against plain Python over whole small tables."""
 
 import base64
+import glob
 import hashlib
 import math
 import os
@@ -15,7 +16,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from tierbed.llm import queries
-from tierbed.llm.arc import arc_archive, arc_records, convert_arc, warc_fields
+from tierbed.llm.arc import (
+    arc_archive,
+    arc_records,
+    convert_arc,
+    read_warc,
+    revisits,
+    warc_fields,
+    warc_records,
+    write_warc,
+)
 from tierbed.llm.chosen_path import lost_per_run, near_forest, ngram_join, overlaps, runs_for
 from tierbed.llm.curve_packing import hilbert_key, pack_along_curve
 from tierbed.llm.line_dedup import MinimalPerfectHash
@@ -411,6 +421,32 @@ def test_arc_lengths_and_versions(spark, version):
     assert convert_arc(df).count() == 4
 
 
+def test_every_header_of_the_written_archives(spark, tmp_path):
+    """Names that each type of record must and must not have, digests and lengths; the record on the
+    archive holds named fields."""
+    records = [("http://x/a", b"same", []), ("http://x/b", b"same", []), ("http://x/c", b"", [])]
+    archives = [arc_archive(records, v, f"n{v}.arc", "20200102030405") for v in (1, 2)]
+    df = spark.createDataFrame([(bytearray(a),) for a in archives], "content binary")
+    path = str(tmp_path / "warc")
+    write_warc(convert_arc(df), revisits(convert_arc(df, with_block=False)), path)
+    found = [r for f in glob.glob(f"{path}/part-*") for r in warc_records(open(f, "rb").read())]
+    assert Counter(h["warc-type"] for h, _ in found) == {"warcinfo": 2, "response": 6}
+    every = {"warc-type", "warc-record-id", "warc-date", "warc-block-digest", "content-type", "content-length"}
+    about = {"warc-target-uri", "warc-ip-address", "warc-payload-digest"}
+    for headers, block in found:
+        info = headers["warc-type"] == "warcinfo"
+        assert headers.keys() == every | ({"warc-filename"} if info else about)
+        assert headers["warc-block-digest"] == "sha1:" + base64.b32encode(hashlib.sha1(block).digest()).decode()
+        assert int(headers["content-length"]) == len(block)
+        if info:
+            assert headers["content-type"] == "application/warc-fields"
+            lines = block.decode().split("\r\n")
+            fields = dict(x.split(": ", 1) for x in lines[:-1])
+            assert lines[-1] == "" and {"software", "format", "arc-version", "arc-fields"} <= fields.keys()
+            assert headers["warc-filename"] == f"n{fields['arc-version'][0]}.arc"
+    assert sorted(r.type for r in read_warc(spark, path).collect()) == ["response"] * 6 + ["warcinfo"] * 2
+
+
 def test_helpers():
     keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64))
     perfect = MinimalPerfectHash.build(keys)

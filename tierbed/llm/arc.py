@@ -142,12 +142,27 @@ def _http_header(head: bytes, name: str) -> str | None:
     return found[1].decode("utf-8", "replace") if found else None
 
 
+def warcinfo_block(block: bytes) -> bytes:
+    """The version block of an ARC archive as named fields: its version line, the names of its header
+    fields, and any further lines as its description."""
+    lines = [x.strip() for x in block.decode("utf-8", "replace").splitlines()]
+    names = ["arc-version", "arc-fields"] + ["description"] * len(lines)
+    fields = [("software", "tierbed"), ("format", "WARC File Format 1.1")]
+    fields += [(name, line) for name, line in zip(names, lines) if line]
+    return "".join(f"{name}: {value}\r\n" for name, value in fields).encode()
+
+
+def warc_block(record: dict) -> bytes:
+    """The block of the WARC record equivalent to an ARC record."""
+    return warcinfo_block(record["block"]) if record["URL"].startswith("filedesc://") else record["block"]
+
+
 def warc_fields(record: dict) -> dict:
-    """What the WARC record equivalent to an ARC record says in its header."""
-    block, url, date = record["block"], record["URL"], record["Archive-date"].ljust(14, "0")
+    """What the WARC record equivalent to an ARC record says in its header. The record on the
+    archive itself has no payload."""
+    block, url, date = warc_block(record), record["URL"], record["Archive-date"].ljust(14, "0")
     http = block[:5] == b"HTTP/" and not url.startswith("filedesc://")
     head, cut, payload = block.partition(b"\r\n\r\n") if http else (b"", b"", block)
-    digest = base32_sha1(payload)
     page = _http_header(head, "X-Page-Id") if http else None
     kind, content = "response", "application/http;msgtype=response"
     if not http:
@@ -162,8 +177,8 @@ def warc_fields(record: dict) -> dict:
         "ip": record["IP-address"],
         "date": f"{date[:4]}-{date[4:6]}-{date[6:8]}T{date[8:10]}:{date[10:12]}:{date[12:14]}Z",
         "content_type": content,
-        "payload_digest": digest,
-        "payload_bytes": len(payload),
+        "payload_digest": None if kind == "warcinfo" else base32_sha1(payload),
+        "payload_bytes": 0 if kind == "warcinfo" else len(payload),
         "block_digest": base32_sha1(block),
     }
 
@@ -175,7 +190,7 @@ def _convert(with_block: bool):
                 rows, blocks = [], []
                 for record in arc_records(batch.column("content")[i].as_py() or b""):
                     rows.append(warc_fields(record))
-                    blocks.append(record["block"])
+                    blocks.append(warc_block(record))
                 if not rows:
                     continue
                 kinds = {"page_id": pa.int64(), "payload_bytes": pa.int64()}
@@ -228,13 +243,19 @@ def revisits(records: DataFrame, min_payload: int = 0) -> DataFrame:
 def _warc_record(row: dict) -> bytes:
     """A WARC record without the CRLF that ends it; the sink adds that."""
     block, first = row["block"], row["first"]
+    if row["type"] == "warcinfo":  # on the archive, not on something fetched
+        about = [("WARC-Filename", row["uri"].removeprefix("filedesc://"))]
+    else:
+        about = [
+            ("WARC-Target-URI", row["uri"]),
+            ("WARC-IP-Address", row["ip"]),
+            ("WARC-Payload-Digest", "sha1:" + row["payload_digest"]),
+        ]
     headers = [
         ("WARC-Type", row["type"]),
         ("WARC-Record-ID", row["record_id"]),
         ("WARC-Date", row["date"]),
-        ("WARC-Target-URI", row["uri"]),
-        ("WARC-IP-Address", row["ip"]),
-        ("WARC-Payload-Digest", "sha1:" + row["payload_digest"]),
+        *about,
         ("WARC-Block-Digest", "sha1:" + row["block_digest"]),
         ("Content-Type", row["content_type"]),
     ]
@@ -301,11 +322,15 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             for headers, block in warc_records(batch.column("content")[i].as_py()):
                 kind = headers["warc-type"]
-                digest = headers["warc-payload-digest"].removeprefix("sha1:")
+                digest = headers.get("warc-payload-digest", "").removeprefix("sha1:") or None
                 http = headers["content-type"].startswith("application/http")
                 head, _, payload = block.partition(b"\r\n\r\n") if http else (b"", b"", block)
                 if kind == "revisit":
                     size = int(_http_header(head, "Content-Length") or 0)
+                elif kind == "warcinfo":
+                    size = 0
+                    if "sha1:" + base32_sha1(block) != headers["warc-block-digest"]:
+                        raise ValueError(f"{headers['warc-record-id']}: block and digest differ")
                 else:
                     size = len(payload)
                     if base32_sha1(payload) != digest:
