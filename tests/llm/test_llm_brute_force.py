@@ -29,7 +29,7 @@ from tierbed.llm.arc import (
 from tierbed.llm.chosen_path import lost_per_run, near_forest, ngram_join, overlaps, runs_for
 from tierbed.llm.curve_packing import hilbert_key, pack_along_curve
 from tierbed.llm.line_dedup import MinimalPerfectHash
-from tierbed.llm.quality_rules import quality_rules, without_boilerplate
+from tierbed.llm.quality_rules import kept_documents, quality_rules, without_boilerplate
 from tierbed.llm.secret_scan import KINDS, scan_secrets
 from tierbed.llm.tokenizer import WordTokenizer
 from tierbed.llm.text import HashIndex, Tally, word_hashes
@@ -340,6 +340,40 @@ def test_quality_rules_spare_copies_and_reject_boilerplate(spark):
         assert r.text == {"own": text.split("\n")[0], "empty": ""}.get(kind, text)
 
 
+def template_pages(rng, n, own_words, site="site"):
+    """Pages of one six-line template with some words of their own; the copies of a text beside them."""
+    template = [" ".join(f"t{line}x{i}" for i in range(8)) for line in range(6)]
+    pages = ["\n".join([*template, " ".join(f"o{rng.randrange(10**9)}" for _ in range(own_words))]) for _ in range(n)]
+    return template, pages
+
+
+@pytest.mark.parametrize("own_words, kept", [(180, True), (36, True), (2, False), (0, False)])
+def test_quality_rules_remove_heavy_templates(spark, own_words, kept):
+    """Templates of 21, 57 and 96 % of the words go, the pages that they leave empty are rejected; fifty
+    near copies on the same host, one word of each line edited or a line left out, lose nothing."""
+    rng = random.Random(own_words)
+    template, pages = template_pages(rng, 200, own_words)
+    if not own_words:  # beside full pages, which vote
+        pages = ["\n".join(template)] * 30 + template_pages(rng, 170, 50)[1]
+    body = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(9)) for _ in range(12)]
+    near = []
+    for i in range(50):
+        lines = [x.split() for x in body]
+        for line in rng.sample(lines, 3):
+            line[rng.randrange(9)] = f"edit{i}"
+        near.append("\n".join(" ".join(x) for x in (lines if i % 10 else lines[1:])))
+    rows = [(i, t, "site") for i, t in enumerate(pages)] + [(1000 + i, t, "site") for i, t in enumerate(near)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    verdicts = quality_rules(df).collect()
+    for r in verdicts:
+        page = r.doc_id < 1000
+        assert r.removed_words == (48 if page else 0)
+        assert r.kept == (not page or (kept if own_words else r.doc_id >= 30))
+    texts = {i: t if i >= 1000 else "\n".join(t.split("\n")[6:]) for i, t, _ in rows}
+    assert {r.doc_id: r.text for r in without_boilerplate(df).collect()} == texts
+    assert {r.doc_id: r.text for r in kept_documents(df).collect()} == {r.doc_id: texts[r.doc_id] for r in verdicts if r.kept}
+
+
 def test_cotraining_on_held_out_labels(spark, docs):
     """Fitted without every third label, which it then has to find."""
     from tierbed.llm.cotraining import quality_scores

@@ -18,7 +18,7 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE dropped) AS n_dropped
 FROM marked GROUP BY doc_id"""
 
 
-def quality_rules(min_docs: int, share: float, own: float, depletion: float, min_words: int, percent: int) -> str:
+def quality_rules(min_docs: int, share: float, depletion: float, min_words: int, percent: int) -> str:
     """The rules of ``quality_rules`` with lines compared by their text."""
     above = f"held >= {min_docs} AND held > host_docs * {share}"
     return rf"""
@@ -46,11 +46,23 @@ hosts AS (SELECT source, count(*) AS host_docs FROM docs GROUP BY source),
 frequent AS (SELECT h.* FROM held_lines h JOIN (
     SELECT source, l FROM (SELECT source, l, count(*) AS held FROM held_lines GROUP BY source, l) c
     JOIN hosts USING (source) WHERE {above}) f USING (source, l)),
-own AS (SELECT doc_id FROM (SELECT doc_id, sum(n) AS lost FROM frequent GROUP BY doc_id) a
-        JOIN (SELECT doc_id, sum(n) AS total FROM held_lines GROUP BY doc_id) b USING (doc_id)
-        WHERE lost < total * {own}),
-boilerplate AS (SELECT source, l FROM (SELECT source, l, count(*) AS held FROM frequent JOIN own USING (doc_id)
-                GROUP BY source, l) c JOIN hosts USING (source) WHERE {above}),
+ends AS (SELECT DISTINCT source, l, array_to_string(w[1:3], ' ') AS a, array_to_string(w[-3:], ' ') AS b
+         FROM (SELECT source, l, string_split(l, ' ') AS w FROM held_lines) t WHERE len(w) > 3),
+listed AS (SELECT source, l, a, b FROM (SELECT DISTINCT source, l FROM frequent) f JOIN ends USING (source, l)),
+others AS (SELECT h.doc_id, h.source, h.l, a, b FROM held_lines h
+           LEFT JOIN ends e ON e.source = h.source AND e.l = h.l
+           WHERE h.doc_id IN (SELECT doc_id FROM frequent)
+           AND NOT EXISTS (SELECT 1 FROM frequent f WHERE f.doc_id = h.doc_id AND f.l = h.l)),
+by_first AS (SELECT source, a, arg_min(l, md5(l)) AS x FROM listed GROUP BY source, a),
+by_last AS (SELECT source, b, arg_min(l, md5(l)) AS y FROM listed GROUP BY source, b),
+parts AS (SELECT doc_id, l AS common, NULL AS own FROM frequent UNION ALL
+          SELECT doc_id, coalesce(x, y), CASE WHEN coalesce(x, y) IS NULL THEN l END
+          FROM others LEFT JOIN by_first USING (source, a) LEFT JOIN by_last USING (source, b)),
+classes AS (SELECT doc_id, coalesce('own' || string_agg(DISTINCT own, chr(10) ORDER BY own),
+                                    string_agg(DISTINCT common, chr(10) ORDER BY common)) AS c
+            FROM parts GROUP BY doc_id),
+boilerplate AS (SELECT source, l FROM (SELECT source, l, count(DISTINCT c) AS held
+                FROM frequent JOIN classes USING (doc_id) GROUP BY source, l) c JOIN hosts USING (source) WHERE {above}),
 depleted AS (SELECT doc_id FROM (SELECT doc_id, sum(n) AS lost FROM frequent JOIN boilerplate USING (source, l)
              GROUP BY doc_id) a JOIN (SELECT doc_id, sum(n) AS total FROM held_lines GROUP BY doc_id) b
              USING (doc_id) WHERE lost >= total * {depletion}),

@@ -77,7 +77,7 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules(table(spark, sf_dir, "documents")).drop("removed_words", "key")
+    return quality_rules(table(spark, sf_dir, "documents")).drop("removed_words")
 
 
 def op8_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -144,7 +144,7 @@ def oracle_sql() -> dict[str, str]:
         "op12_collocations": oracles.COLLOCATIONS,
         "op6_line_dedup": oracles.LINE_DEDUP,
         "op7_quality_rules": oracles.quality_rules(
-            limits.min_docs, limits.share, limits.own, limits.depletion, limits.min_words,
+            limits.min_docs, limits.share, limits.depletion, limits.min_words,
             limits.max_repeat_percent,
         ),
         "op9_fair_mixing": oracles.FAIR_MIXING,
