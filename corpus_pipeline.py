@@ -13,22 +13,37 @@ from tierbed.llm.storage import scratch
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents that the quality rules reject."""
+    """Drops the documents that the quality rules reject, and boilerplate lines from the others.
+
+    Null and empty texts go. Rows alike share a verdict; a very long text is judged whole; other columns stay,
+    also those with odd names. No documents give none.
+    """
     return kept_documents(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops repeated lines from the texts."""
+    """Drops repeated lines from the texts, all but those of the smallest ``doc_id``.
+
+    Every row stays, a text that loses all lines as an empty one; a null text stays null. No documents give
+    none.
+    """
     return dedup_documents(docs)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each class of near copies."""
+    """Keeps one document of each class of near copies, the smallest ``doc_id``.
+
+    Texts without words are alike, null ones too; rows alike are one class. No documents give none.
+    """
     return one_of_each_class(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats or leaves out documents so that the sources come near their targets."""
+    """Repeats or leaves out documents so that the sources come near their targets.
+
+    A null source is a source. Every row is a document, also rows alike; ties of finish times go by a
+    digest, so reruns agree. No documents give none.
+    """
     return mixed_documents(docs)
 
 
