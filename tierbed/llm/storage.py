@@ -7,6 +7,8 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tierbed.sources.control import remove
+
 
 def scratch(spark: SparkSession, label: str) -> str:
     """A fresh path under ``spark.checkpoint.dir``.
@@ -22,14 +24,24 @@ def scratch(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/{label}-{uuid4().hex}"
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written to the shared folder and read again; cuts its lineage durably."""
+def saved(df: DataFrame, label: str, paths: list[str] | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read again; cuts its lineage durably. ``paths``
+    takes up the folder, for :func:`freed`."""
     spark = df.sparkSession
     path = scratch(spark, label)
     df.write.parquet(path)
+    if paths is not None:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def freed(spark: SparkSession, paths: list[str]) -> None:
+    """Removes saved tables once all that was made from them is itself saved, so that a lost executor
+    never asks for them again."""
+    for path in paths:
+        remove(spark, path)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, lengthened until no column of ``df`` has it in any case."""
     taken = {column.lower() for column in df.columns}

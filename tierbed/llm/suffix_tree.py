@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierbed.llm.storage import fan_out, saved
+from tierbed.llm.storage import fan_out, freed, saved
 from tierbed.llm.text import HashIndex, Tally, blocks, combine, encoded, with_end, word_hashes
 
 DEPTH = 3
@@ -177,7 +177,9 @@ def _next_level(levels: list[Level], context: np.ndarray, suffix: np.ndarray, co
     return Level(HashIndex(chain), counts, log_p, np.zeros(len(chain)))
 
 
-def _weighed(below: DataFrame, chains: DataFrame, divergence: float) -> tuple[DataFrame, DataFrame]:
+def _weighed(
+    below: DataFrame, chains: DataFrame, divergence: float, dead: list[str], kept: list[str]
+) -> tuple[DataFrame, DataFrame]:
     """The level below with weights, ``key, n, weight``, and the level of ``chains``.
 
     A level has ``key, n``; ``log_p``, the last token's probability after the longest state among
@@ -187,15 +189,17 @@ def _weighed(below: DataFrame, chains: DataFrame, divergence: float) -> tuple[Da
 
     With these a token's log probability is the sum, over all chains that end at it, of
     ``own - short`` and, over all that end before it, of what they leave to shorter contexts.
+
+    ``dead`` takes up the folders that are of no use afterwards, ``kept`` that of the new level.
     """
     groups = chains.groupBy("context").agg(F.sum("n").alias("stored"), (F.count("*") + 1.0).alias("reserve"))
     of = below.select(F.col("key").alias("context"), F.col("n").alias("total"), F.col("left").alias("context_left"))
     share = F.expr("(total - stored + reserve) / (total + reserve)")
-    groups = saved(groups.join(of, "context").withColumn("share", share), "tree-contexts")
+    groups = saved(groups.join(of, "context").withColumn("share", share), "tree-contexts", dead)
     of = below.select(F.col("key").alias("suffix"), F.col("log_p").alias("log_short"), F.col("own").alias("short"))
     p = F.log10(F.expr("n / (total + reserve) + share * pow(10D, log_short)"))
     rows = chains.join(groups, "context").join(of, "suffix").withColumn("log_state", p)
-    rows = saved(rows.select("key", "context", "suffix", "n", "log_state", "log_short", "short"), "tree-smoothed")
+    rows = saved(rows.select("key", "context", "suffix", "n", "log_state", "log_short", "short"), "tree-smoothed", dead)
     gains = rows.groupBy(F.col("context").alias("c")).agg(
         F.sum(F.expr("n * (log_state - log_short)") * math.log(10)).alias("better")
     )
@@ -206,6 +210,7 @@ def _weighed(below: DataFrame, chains: DataFrame, divergence: float) -> tuple[Da
     states = saved(
         states.select("context", back_off.alias("back_off"), (back_off + F.col("context_left")).alias("all_left")),
         "tree-states",
+        dead,
     )
     done = below.join(states, F.col("key") == F.col("context"), "left").select(
         "key",
@@ -224,7 +229,7 @@ def _weighed(below: DataFrame, chains: DataFrame, divergence: float) -> tuple[Da
         "short",
         "left",
     )
-    return done.drop("left"), saved(level, "tree-level")
+    return done.drop("left"), saved(level, "tree-level", kept)
 
 
 @dataclass
@@ -393,7 +398,8 @@ def suffix_tree_scores(
         found = learned.mapInArrow(run, "context bigint, suffix bigint, n bigint")
         return found.groupBy("context", "suffix").agg(F.sum("n").alias("n"))
 
-    words = saved(counted(0, None), "tree-words")
+    kept: list[str] = []
+    words = saved(counted(0, None), "tree-words", kept)
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log_total = math.log10(total + distinct + 1)
     log_p = F.log10(F.col("n") + 1.0) - log_total
@@ -403,11 +409,13 @@ def suffix_tree_scores(
     )
     done, known = [], None
     for k in range(1, depth + 1):
+        dead, kept = kept, []
         chains = counted(k, known).filter(F.col("n") >= LEAST)
-        chains = saved(chains.mapInArrow(_keyed, "key bigint, context bigint, suffix bigint, n bigint"), "tree-chains")
+        chains = saved(chains.mapInArrow(_keyed, "key bigint, context bigint, suffix bigint, n bigint"), "tree-chains", dead)
         known = _bits(chains)
-        below, level = _weighed(level, chains, divergence)
+        below, level = _weighed(level, chains, divergence, dead, kept)
         done.append(below)
+        freed(spark, dead)
     done.append(level.select("key", "n", (F.col("own") - F.col("short")).alias("weight")))
 
     least = max(2, math.ceil(p_min * total))
