@@ -8,6 +8,14 @@ key-like characters are put through a battery of tests. The null hypothesis is o
 - runs: text changes seldom between lower case, upper case, digits and signs.
 - serial correlation of being a digit: in text digits stand together.
 
+Decimal runs have a null hypothesis of their own, numbers that are counted up, filled up or
+repeated: uniformity is asked of the digits and of the steps between them, and the other two tests
+take digits below five and from five as their classes. Below 16 digits a number is ordinary, be it
+a time in milliseconds, a bar code or a telephone number.
+
+A run that signs join is tested whole and in its parts between signs. Whichever has the strongest
+evidence stands for it, the evidence divided by the number of tests.
+
 The three p-values are combined, and the false-discovery rate is controlled over all
 candidates of the corpus, apart for each encoding and class of length, since short runs can give
 no strong evidence. All steps are DataFrame functions. Texts are scanned once and not shuffled:
@@ -27,7 +35,9 @@ ASSIGN = (
 )
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_-]{12,}"
+PIECE = r"[A-Za-z0-9]{12,}"
+SIGN = "[+/_-]"
 KINDS = ["assign", "access", "hex", "random"]
 
 FALSE_DISCOVERY_RATE = 0.01
@@ -38,6 +48,7 @@ MOST_BIN = 400
 TEXT_EQUAL = 0.06
 TEXT_CHANGE = 0.2
 TEXT_CORRELATION = 0.8
+SHORTEST, SHORTEST_DECIMAL = 12, 16
 
 
 def _places(text: str, pattern: str, kind: int, value: int) -> Column:
@@ -78,19 +89,35 @@ def with_p_values(found: DataFrame) -> DataFrame:
     """Adds ``encoding`` and ``log_p`` to rows with a candidate in ``part``.
 
     The tests leave signs out, which also join ordinary words, and do not count the change from a
-    capital to a small letter. Decimal runs get no p-value below 1: numbers of any sort look
-    random.
+    capital to a small letter. Runs shorter than ``SHORTEST`` without their signs, and decimal ones
+    shorter than ``SHORTEST_DECIMAL``, get no p-value below 1.
     """
     sizes = {"hex": 16, "base32": 32, "base36": 36, "base64": 64}
+    decimal = F.col("encoding") == "decimal"
     k = F.lit(10)
     for name, size in sizes.items():
         k = F.when(F.col("encoding") == name, size).otherwise(k)
     chars = F.expr("transform(sequence(1, n), i -> substring(part, i, 1))")
     classes = F.expr(
         "transform(chars, c -> case when c between 'a' and 'z' then 1 when c between 'A' and 'Z' then 2"
-        " else 3 end)"
+        " when c < '5' and encoding = 'decimal' then 1 else 3 end)"
+    )
+    steps = F.when(
+        decimal,
+        F.expr(
+            "array_join(zip_with(slice(chars, 1, n - 1), slice(chars, 2, n),"
+            " (a, b) -> cast(pmod(cast(b as int) - cast(a as int), 10) as string)), '')"
+        ),
     )
-    squares = F.expr("aggregate(chars, 0L, (a, c) -> a + n - length(replace(part, c, '')))")
+
+    def squared(column: str) -> Column:
+        """Sum of the squared counts of the characters, at most as many passes as the alphabet has."""
+        return F.expr(
+            f"aggregate(array_distinct(split({column}, '')), 0L, (a, c) -> a + if(c = '', 0L,"
+            f" cast(length({column}) - length(replace({column}, c, '')) as bigint)"
+            f" * (length({column}) - length(replace({column}, c, '')))))"
+        )
+
     changes = F.expr(
         "aggregate(zip_with(classes, slice(classes, 2, n), (a, b) -> if(a != b and not (a = 2 and b = 1), 1, 0)), 0,"
         " (a, x) -> a + coalesce(x, 0))"
@@ -100,18 +127,20 @@ def with_p_values(found: DataFrame) -> DataFrame:
         "aggregate(zip_with(classes, slice(classes, 2, n), (a, b) -> if(a = 3 and b = 3, 1, 0)), 0,"
         " (a, x) -> a + coalesce(x, 0))"
     )
-    plain = F.regexp_replace("part", "[+/_-]", "")
+    plain = F.regexp_replace("part", SIGN, "")
     step = (
         found.withColumns({"encoding": encoding("part"), "part": plain})
-        .withColumn("n", F.length("part"))
+        .withColumn("n", F.when(F.length("part") > 3, F.length("part")))
         .withColumn("chars", chars)
-        .withColumns({"classes": classes, "squares": squares, "k": k})
+        .withColumns({"classes": classes, "steps": steps, "k": k})
+        .withColumns({"squares": squared("part"), "step_squares": squared("steps")})
         .withColumns({"changes": changes, "digits": digits, "together": together})
     )
     n, share = F.col("n").cast("double"), F.col("digits") / F.col("n")
     far = n * (F.greatest(F.lit(2.0), F.col("k") * TEXT_EQUAL) - 1)
     expected = far + F.col("k") - 1
-    chi = F.col("k") / n * F.col("squares") - n
+    # The steps are null but for decimal runs.
+    chi = F.greatest(F.col("k") / n * F.col("squares") - n, F.col("k") / (n - 1) * F.col("step_squares") - (n - 1))
     z_chi = (chi - expected) / F.sqrt(2 * (F.col("k") - 1) + 4 * far)
     z_runs = -(F.col("changes") - (n - 1) * TEXT_CHANGE) / F.sqrt((n - 1) * TEXT_CHANGE * (1 - TEXT_CHANGE))
     spread = F.greatest(share * (1 - share), F.lit(1e-9))
@@ -122,7 +151,8 @@ def with_p_values(found: DataFrame) -> DataFrame:
         step.withColumns({"z_chi": z_chi, "z_runs": z_runs, "z_serial": z_serial}), ["z_chi", "z_runs", "z_serial"]
     ).withColumn("t", -(F.col("z_chi") + F.col("z_runs") + F.col("z_serial")))
     combined = -F.col("t") + F.log1p(F.col("t") + F.col("t") * F.col("t") / 2)
-    log_p = F.when((F.col("encoding") == "decimal") | (n < 12), 0.0).otherwise(combined)
+    least = F.when(decimal, SHORTEST_DECIMAL).otherwise(SHORTEST)
+    log_p = F.when(F.coalesce(n, F.lit(0.0)) < least, 0.0).otherwise(combined)
     return tails.withColumn("log_p", log_p)
 
 
@@ -130,9 +160,9 @@ def discoveries(candidates: DataFrame, rate: float) -> DataFrame:
     """The rows of ``candidates(encoding, len, log_p)`` that step-up control at ``rate`` accepts.
 
     Strata are encodings and length classes; p-values are rounded up to bins. The thresholds
-    come from a table of at most 5 x 6 x ``MOST_BIN`` counts.
+    come from a table of at most 5 x 7 x ``MOST_BIN`` counts.
     """
-    stratum = F.struct("encoding", F.least(F.floor(F.log2(F.col("len") / 20.0) * 2), F.lit(5)).alias("long"))
+    stratum = F.struct("encoding", F.least(F.floor(F.log2(F.col("len") / float(SHORTEST)) * 2), F.lit(6)).alias("long"))
     binned = candidates.withColumn("stratum", stratum).withColumn(
         "bin", F.least(F.floor(-F.col("log_p") * BINS_PER_NAT), F.lit(MOST_BIN))
     )
@@ -143,13 +173,43 @@ def discoveries(candidates: DataFrame, rate: float) -> DataFrame:
         F.exp(-F.col("bin") / BINS_PER_NAT) * F.col("all") <= F.col("rank") * rate
     )
     limits = passed.groupBy(F.col("stratum").alias("s")).agg(F.min("bin").alias("least"))
-    # At most one row for each of 30 strata.
+    # At most one row for each of 35 strata.
     return (
         binned.join(F.broadcast(limits), (F.col("stratum") == F.col("s")) & (F.col("bin") >= F.col("least")))
         .drop("stratum", "s", "bin", "least")
     )
 
 
+def random_candidates(runs: DataFrame) -> DataFrame:
+    """Of ``runs(key, nth, start, end, part)`` those to be judged, ``key, start, end, len, encoding,
+    log_p``: each run, or its parts between signs where one of these has stronger evidence.
+    """
+    columns = ["key", "nth", "start", "end", "part", "whole"]
+    joined = runs.filter(F.col("part").rlike(SIGN) & F.col("part").rlike(PIECE))
+    places = joined.select("key", "nth", "start", F.inline(_places("part", PIECE, 3, 0)).alias("kind", "piece", "gap", "len", "word"))
+    order = Window.partitionBy("key", "nth").orderBy("piece").rowsBetween(Window.unboundedPreceding, 0)
+    pieces = (
+        places.withColumn("end", F.col("start") + F.sum(F.coalesce(F.col("gap") + F.col("len"), F.lit(0))).over(order))
+        .filter("len is not null")
+        .select("key", "nth", (F.col("end") - F.col("len")).alias("start"), "end", F.col("word").alias("part"), F.lit(False).alias("whole"))
+    )
+    tested = with_p_values(runs.withColumn("whole", F.lit(True)).select(columns).union(pieces.select(columns)))
+    run = Window.partitionBy("key", "nth")
+    return (
+        tested.select("key", "nth", "start", "end", (F.col("end") - F.col("start")).alias("len"), "encoding", "log_p", "whole")
+        .withColumns(
+            {
+                "tests": F.count("*").over(run),
+                "of_whole": F.min(F.when(F.col("whole"), F.col("log_p"))).over(run),
+                "of_parts": F.coalesce(F.min(F.when(~F.col("whole"), F.col("log_p"))).over(run), F.lit(0.0)),
+            }
+        )
+        .filter(F.col("whole") == (F.col("of_whole") <= F.col("of_parts")))
+        .withColumn("log_p", F.least(F.lit(0.0), F.col("log_p") + F.ln("tests")))
+        .select("key", "start", "end", "len", "encoding", "log_p")
+    )
+
+
 def secret_spans(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -175,7 +235,7 @@ def secret_spans(
     )
     known = spans.filter((F.col("kind") < 3) & ((F.col("kind") > 0) | (F.length("part") >= 8)))
     columns = ["key", "start", "kind", "end"]
-    candidates = with_p_values(spans.filter("kind = 3")).select(*columns, "len", "encoding", "log_p")
+    candidates = random_candidates(spans.filter("kind = 3")).withColumn("kind", F.lit(3))
     tested = discoveries(saved(candidates, "secret-candidates"), rate)
     both = known.select(columns).union(tested.select(columns))
     line = Window.partitionBy("key").orderBy("start", "kind")
