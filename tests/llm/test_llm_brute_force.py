@@ -606,6 +606,35 @@ def test_every_header_of_the_written_archives(spark, tmp_path):
     assert sorted(r.type for r in read_warc(spark, path).collect()) == ["response"] * 6 + ["warcinfo"] * 2
 
 
+def test_archives_hold_a_member_a_record_and_end_at_a_bound(spark, tmp_path):
+    """Each gzip member is one record, apart from records of 16 MB or more; archives are bounded,
+    and hold bytes that are no text and end in any value."""
+    rng = random.Random(10)
+    bodies = [rng.randbytes(rng.randrange(2000, 4000)) for _ in range(300)] + [rng.randbytes(17 << 20)]
+    archive = arc_archive([(f"http://x/{i}", b, []) for i, b in enumerate(bodies)], 1, "n.arc", "20200102030405")
+    df = spark.createDataFrame([(bytearray(archive),)], "content binary")
+    path = str(tmp_path / "warc")
+    write_warc(convert_arc(df), revisits(convert_arc(df, with_block=False)), path, row_bytes=10_000, rows=4)
+    payloads, files = [], [open(f, "rb").read() for f in glob.glob(f"{path}/part-*")]
+    assert len(files) > 15 and sum(len(f) > 40_000 for f in files) == 1
+    for content in files:
+        records, rest = [], content
+        while rest:
+            member = zlib.decompressobj(31)
+            records.append(member.decompress(rest))
+            assert member.eof
+            rest = member.unused_data
+        if len(content) <= 40_000:
+            assert all(r.startswith(b"WARC/1.1\r\n") and r.endswith(b"\r\n\r\n") for r in records)
+        found = list(warc_records(content))
+        assert len(content) > 40_000 or len(found) == len(records)
+        payloads += [block.partition(b"\r\n\r\n")[2] for h, block in found if h["warc-type"] == "response"]
+    assert sorted(payloads) == sorted(bodies)
+    assert read_warc(spark, path).count() == len(bodies) + 1
+    with pytest.raises(ValueError, match="bad WARC record"):
+        list(warc_records(zlib.decompress(files[0], 31)[:-3]))
+
+
 def test_helpers():
     keys = np.unique(np.random.default_rng(1).integers(0, 1 << 63, 20_000).astype(np.uint64))
     perfect = MinimalPerfectHash.build(keys)

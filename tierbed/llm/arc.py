@@ -4,10 +4,12 @@ An ARC archive starts with a version block, whose first number says how many fie
 line has; every record is a header line, which ends in a declared length, and so many bytes. The
 converter reads records by these lengths and makes WARC records with synthesised identifiers,
 timestamps, types and digests. Records whose payload another record has already become
-revisits. WARC archives are written by Spark's text sink with CRLF between rows, so that the
-files are plain WARC, gzipped; they are read back whole files at a time by declared lengths.
+revisits. In a WARC archive every record is a gzip member of its own, and an archive ends at a
+bound of bytes, however many records a task has. Spark's text sink writes them: a row holds members
+without the last byte, which is the highest of a length below 16 MB and so always zero, and
+the sink ends each row with that zero. Archives are read back a record at a time.
 
-A task holds one archive. Payloads are shuffled once; finding equal payloads moves digests only.
+A task holds one archive as it is stored. Payloads are shuffled once; finding equal payloads moves digests only.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import io
 import re
 import uuid
 from collections.abc import Iterator
@@ -26,6 +29,10 @@ from pyspark.sql import functions as F
 
 SALTS = 16
 ARCHIVE_BYTES = 8 << 20
+# A row of the WARC sink has about so many bytes, an archive so many rows, a gzip member less than
+# so many bytes before compression.
+ROW_BYTES, ROWS = 1 << 20, 128
+MEMBER_BYTES = 1 << 24
 # Fixed values of the two formats.
 ARC_FIELDS = {
     1: ["URL", "IP-address", "Archive-date", "Content-type", "Archive-length"],
@@ -241,7 +248,7 @@ def revisits(records: DataFrame, min_payload: int = 0) -> DataFrame:
 
 
 def _warc_record(row: dict) -> bytes:
-    """A WARC record without the CRLF that ends it; the sink adds that."""
+    """A WARC record with the line ends behind it."""
     block, first = row["block"], row["first"]
     if row["type"] == "warcinfo":  # on the archive, not on something fetched
         about = [("WARC-Filename", row["uri"].removeprefix("filedesc://"))]
@@ -274,41 +281,70 @@ def _warc_record(row: dict) -> bytes:
         headers.append(("X-Page-Id", str(row["page_id"])))
     headers.append(("Content-Length", str(len(block))))
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in headers) + "\r\n"
-    return head.encode() + block + b"\r\n"
+    return head.encode() + block + b"\r\n\r\n"
 
 
-def _warc_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for a in range(0, batch.num_rows, 500):
-            records = [_warc_record(row) for row in batch.slice(a, 500).to_pylist()]
-            yield pa.RecordBatch.from_pydict({"record": pa.array(records, pa.binary())})
+def gzip_member(record: bytes) -> bytes:
+    """A record as a gzip member; one of 16 MB or more as several, each with a length below that."""
+    most = MEMBER_BYTES - 1
+    return b"".join(gzip.compress(record[a : a + most], 6, mtime=0) for a in range(0, len(record), most))
+
+
+def _warc_members(row_bytes: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
 
+        def row() -> pa.RecordBatch:
+            nonlocal held, size
+            content = b"".join(held)
+            held, size = [], 0
+            return pa.RecordBatch.from_pydict({"members": pa.array([content[:-1]], pa.binary())})
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                member = gzip_member(_warc_record(batch.slice(i, 1).to_pylist()[0]))
+                if held and size + len(member) > row_bytes:
+                    yield row()
+                held.append(member)
+                size += len(member)
+        if held:
+            yield row()
 
-def write_warc(records: DataFrame, repeats: DataFrame, path: str) -> None:
-    """Writes ``records`` as gzipped WARC archives, those in ``repeats`` as revisits."""
+    return run
+
+
+def write_warc(records: DataFrame, repeats: DataFrame, path: str, row_bytes: int = ROW_BYTES, rows: int = ROWS) -> None:
+    """Writes ``records`` as WARC archives, those in ``repeats`` as revisits, a gzip member a record.
+
+    An archive has at most ``rows`` times ``row_bytes`` (128 MB), or ``rows`` times the largest
+    compressed record where that is more.
+    """
     again = repeats.select(F.col("page_id").alias("p"), F.col("payload_digest").alias("d"), "first")
     same = F.col("page_id").eqNullSafe(F.col("p")) & (F.col("payload_digest") == F.col("d"))
     joined = records.join(again, same & (F.col("type") == "response"), "left").drop("p", "d")
-    lines = joined.mapInArrow(_warc_records, "record binary")
-    lines.select(F.col("record").cast("string")).write.option("lineSep", "\r\n").option(
-        "compression", "gzip"
-    ).text(path)
+    members = joined.mapInArrow(_warc_members(row_bytes), "members binary")
+    sink = members.select(F.col("members").cast("string")).write.option("maxRecordsPerFile", rows)
+    sink.option("lineSep", "\0").option("compression", "none").text(path)
 
 
 def warc_records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers, with lower-case names, and block of every record of a WARC archive."""
+    source = io.BytesIO(content)
     if content[:2] == b"\x1f\x8b":
-        content = gzip.decompress(content)
+        source = io.BufferedReader(gzip.GzipFile(fileobj=source))
     at = 0
-    while at < len(content):
-        end = content.find(b"\r\n\r\n", at)
-        lines = content[at : max(end, at)].decode("utf-8", "replace").split("\r\n")
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
+    while first := source.readline():
+        lines = []
+        while (line := source.readline()).strip():
+            lines.append(line.decode("utf-8", "replace"))
+        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}
         size = headers.get("content-length", "")
-        if not lines[0].startswith("WARC/") or not size.isdigit() or end + 8 + int(size) > len(content):
-            raise ValueError(f"bad WARC record at byte {at}: {lines[0][:200]}")
-        yield headers, content[end + 4 : end + 4 + int(size)]
-        at = end + 8 + int(size)
+        block = source.read(int(size)) if size.isdigit() else b""
+        whole = size.isdigit() and len(block) == int(size) and source.read(4) == b"\r\n\r\n"
+        if not first.startswith(b"WARC/") or not whole:
+            raise ValueError(f"bad WARC record at byte {at}: {first[:200]!r}")
+        yield headers, block
+        at = source.tell()
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
