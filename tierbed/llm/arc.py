@@ -27,6 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierbed.llm.storage import saved
+
 SALTS = 16
 ARCHIVE_BYTES = 8 << 20
 # A row of the WARC sink has about so many bytes, an archive so many rows, a gzip member less than
@@ -301,12 +303,13 @@ def _warc_members(row_bytes: int):
             return pa.RecordBatch.from_pydict({"members": pa.array([content[:-1]], pa.binary())})
 
         for batch in batches:
-            for i in range(batch.num_rows):
-                member = gzip_member(_warc_record(batch.slice(i, 1).to_pylist()[0]))
-                if held and size + len(member) > row_bytes:
-                    yield row()
-                held.append(member)
-                size += len(member)
+            for a in range(0, batch.num_rows, 50):
+                for record in batch.slice(a, 50).to_pylist():
+                    member = gzip_member(_warc_record(record))
+                    if held and size + len(member) > row_bytes:
+                        yield row()
+                    held.append(member)
+                    size += len(member)
         if held:
             yield row()
 
@@ -405,5 +408,6 @@ def convert_pages(pages: DataFrame, path: str, min_payload: int = 0) -> DataFram
     ignored; an empty table writes no record.
     """
     archives = pages_as_arc(pages)
-    write_warc(convert_arc(archives), revisits(convert_arc(archives, with_block=False), min_payload), path)
+    digests = saved(convert_arc(archives, with_block=False), "arc-digests")
+    write_warc(convert_arc(archives), revisits(digests, min_payload), path)
     return read_warc(pages.sparkSession, path)
