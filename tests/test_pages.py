@@ -8,6 +8,7 @@ from uuid import uuid4
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tierbed.operators import contiguous_prefix, fetch_totals, prefix_totals
 from tierbed.sources import (
@@ -252,3 +253,20 @@ def test_http_gives_up_after_six_attempts(replies):
     with pytest.raises(urllib.error.HTTPError):
         list(HttpPages("http://x").records(1, 50))
     assert len(asked) == 6
+
+
+def test_page_files_are_listed_by_few_tasks(spark, tmp_path):
+    bound = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    path, before = str(tmp_path / "store"), spark.conf.get(bound)
+    write_page_files(spark.range(100).select("id", (F.col("id") + 1).alias("page")), path)
+    sc = spark.sparkContext
+    sc.setJobGroup("listing", "")
+    try:
+        pages = read_page_files(spark, path)
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker = sc.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(job).stageIds]
+    assert 0 < max(tracker.getStageInfo(s).numTasks for s in stages) <= 4 * sc.defaultParallelism
+    assert spark.conf.get(bound) == before
+    assert sorted(r.page for r in pages.collect()) == list(range(1, 101))
