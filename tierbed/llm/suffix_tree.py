@@ -22,7 +22,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from itertools import islice
 
 import numpy as np
@@ -40,9 +40,10 @@ P_MIN = 5e-7
 LEAST = 2
 DIVERGENCE = 10.0
 END = 0x5EED0E0D
-SHARD_WORDS = 500_000
+SHARD_WORDS = 125_000
 MOST_BITS = 28
 SEGMENTS = 8
+_saved = partial(saved, tidy=True)
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -178,7 +179,7 @@ def _next_level(levels: list[Level], context: np.ndarray, suffix: np.ndarray, co
 
 
 def _weighed(
-    below: DataFrame, chains: DataFrame, divergence: float, dead: list[str], kept: list[str]
+    below: DataFrame, chains: DataFrame, divergence: float, dead: list[str], kept: list[str], weights: list[str]
 ) -> tuple[DataFrame, DataFrame]:
     """The level below with weights, ``key, n, weight``, and the level of ``chains``.
 
@@ -190,16 +191,17 @@ def _weighed(
     With these a token's log probability is the sum, over all chains that end at it, of
     ``own - short`` and, over all that end before it, of what they leave to shorter contexts.
 
-    ``dead`` takes up the folders that are of no use afterwards, ``kept`` that of the new level.
+    ``dead`` takes up the folders that are of no use afterwards, ``kept`` that of the new level,
+    ``weights`` that of the weights.
     """
     groups = chains.groupBy("context").agg(F.sum("n").alias("stored"), (F.count("*") + 1.0).alias("reserve"))
     of = below.select(F.col("key").alias("context"), F.col("n").alias("total"), F.col("left").alias("context_left"))
     share = F.expr("(total - stored + reserve) / (total + reserve)")
-    groups = saved(groups.join(of, "context").withColumn("share", share), "tree-contexts", dead)
+    groups = _saved(groups.join(of, "context").withColumn("share", share), "tree-contexts", dead)
     of = below.select(F.col("key").alias("suffix"), F.col("log_p").alias("log_short"), F.col("own").alias("short"))
     p = F.log10(F.expr("n / (total + reserve) + share * pow(10D, log_short)"))
     rows = chains.join(groups, "context").join(of, "suffix").withColumn("log_state", p)
-    rows = saved(rows.select("key", "context", "suffix", "n", "log_state", "log_short", "short"), "tree-smoothed", dead)
+    rows = _saved(rows.select("key", "context", "suffix", "n", "log_state", "log_short", "short"), "tree-smoothed", dead)
     gains = rows.groupBy(F.col("context").alias("c")).agg(
         F.sum(F.expr("n * (log_state - log_short)") * math.log(10)).alias("better")
     )
@@ -207,7 +209,7 @@ def _weighed(
         (F.expr("better + (total - stored) * ln(share)") >= divergence) & (F.col("stored") > 0)
     )
     back_off = F.log10("share")
-    states = saved(
+    states = _saved(
         states.select("context", back_off.alias("back_off"), (back_off + F.col("context_left")).alias("all_left")),
         "tree-states",
         dead,
@@ -218,7 +220,7 @@ def _weighed(
         (F.col("own") - F.col("short") + F.coalesce("back_off", F.lit(0.0))).alias("weight"),
         (F.col("left") + F.coalesce("back_off", F.lit(0.0))).alias("left"),
     )
-    done = saved(done, "tree-weights")
+    done = _saved(done, "tree-weights", weights)
     left = done.select(F.col("key").alias("suffix"), "left")
     hit = F.col("all_left").isNotNull()
     level = rows.join(states, "context", "left").join(left, "suffix").select(
@@ -229,7 +231,7 @@ def _weighed(
         "short",
         "left",
     )
-    return done.drop("left"), saved(level, "tree-level", kept)
+    return done.drop("left"), _saved(level, "tree-level", kept)
 
 
 @dataclass
@@ -302,8 +304,8 @@ def _score(shared, depth: int):
 
 
 def _deal(shards: int, salts: int):
-    """Rare words and chains of many documents as one row per place: ``uids`` and ``words`` of equal
-    length. A shard has ``salts`` places, dealt out by document."""
+    """Rare words and chains of many documents as one row per place: ``words``, and whose they are as
+    ``uids`` with ``sizes``, as many words each. A shard has ``salts`` places, dealt out by document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -315,10 +317,14 @@ def _deal(shards: int, salts: int):
             cuts = np.searchsorted(place[order], np.arange(shards * salts + 1))
             some = np.flatnonzero(np.diff(cuts))
             parts = [order[cuts[s] : cuts[s + 1]] for s in some]
+            # A document is one row, so its words are side by side in each part.
+            firsts = [np.flatnonzero(np.diff(uids[p], prepend=-1)) for p in parts]
+            sizes = [np.diff(f, append=len(p)) for f, p in zip(firsts, parts, strict=True)]
             yield pa.RecordBatch.from_pydict(
                 {
                     "place": pa.array(some),
-                    "uids": pa.array([uids[p].tobytes() for p in parts], pa.binary()),
+                    "uids": pa.array([uids[p[f]].tobytes() for f, p in zip(firsts, parts, strict=True)], pa.binary()),
+                    "sizes": pa.array([x.astype(np.int64).tobytes() for x in sizes], pa.binary()),
                     "words": pa.array([words[p].tobytes() for p in parts], pa.binary()),
                 }
             )
@@ -350,7 +356,8 @@ def _look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number = index.find(np.frombuffer(row["words"], np.uint64))
             met = number >= 0
             number = number[met]
-            uids, first = np.unique(np.frombuffer(row["uids"], np.int64)[met], return_inverse=True)
+            uids = np.repeat(np.frombuffer(row["uids"], np.int64), np.frombuffer(row["sizes"], np.int64))
+            uids, first = np.unique(uids[met], return_inverse=True)
 
             def sums(values: np.ndarray, first=first, n=len(uids)) -> pa.Array:
                 return pa.array(np.bincount(first, weights=values, minlength=n).astype(float))
@@ -399,7 +406,7 @@ def suffix_tree_scores(
         return found.groupBy("context", "suffix").agg(F.sum("n").alias("n"))
 
     kept: list[str] = []
-    words = saved(counted(0, None), "tree-words", kept)
+    words = _saved(counted(0, None), "tree-words", kept)
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     log_total = math.log10(total + distinct + 1)
     log_p = F.log10(F.col("n") + 1.0) - log_total
@@ -407,13 +414,13 @@ def suffix_tree_scores(
     level = words.select(
         F.col("suffix").alias("key"), "n", *[log_p.alias(k) for k in ("log_p", "own", "short")], zero.alias("left")
     )
-    done, known = [], None
+    done, known, weights = [], None, []
     for k in range(1, depth + 1):
         dead, kept = kept, []
         chains = counted(k, known).filter(F.col("n") >= LEAST)
-        chains = saved(chains.mapInArrow(_keyed, "key bigint, context bigint, suffix bigint, n bigint"), "tree-chains", dead)
+        chains = _saved(chains.mapInArrow(_keyed, "key bigint, context bigint, suffix bigint, n bigint"), "tree-chains", dead)
         known = _bits(chains)
-        below, level = _weighed(level, chains, divergence, dead, kept)
+        below, level = _weighed(level, chains, divergence, dead, kept, weights)
         done.append(below)
         freed(spark, dead)
     done.append(level.select("key", "n", (F.col("own") - F.col("short")).alias("weight")))
@@ -423,11 +430,13 @@ def suffix_tree_scores(
     deeper = [x.filter("weight <> 0") for x in done[1:]]
     hot = [_bounded(x, least) for x in deeper]
     rare = done[0].filter(F.col("n") < least)
-    others = saved(
+    others = _saved(
         reduce(DataFrame.unionByName, [x.filter(F.col("n") < least) for x in deeper], rare.limit(0))
         .withColumn("n", F.lit(0).cast("bigint")),
         "tree-others",
     )
+    # Only the weights of words are read again.
+    freed(spark, weights[1:] + kept)
     tree = Hot(
         HashIndex(keys),
         counts,
@@ -437,7 +446,7 @@ def suffix_tree_scores(
         _bits(others),
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    scored = saved(
+    scored = _saved(
         rows.mapInArrow(
             _score(spark.sparkContext.broadcast(tree), depth),
             f"doc_id {kind}, held_out boolean, uid bigint, n_tokens bigint, known bigint, "
@@ -454,10 +463,11 @@ def suffix_tree_scores(
         .applyInPandas(_shard, "shard bigint, keys binary, counts binary, weights binary")
     )
     tasks = fan_out(spark)
-    salts = max(4, -(-tasks // shards))
+    # No word or chain in a shard is frequent, so shards are even; only fewer than tasks are copied.
+    salts = -(-tasks // shards)
     places = F.explode(F.transform(F.sequence(F.lit(0), F.lit(salts - 1)), lambda s: F.col("shard") * salts + s))
     index = index.withColumn("place", places).drop("shard")
-    dealt = scored.select("uid", "rare").mapInArrow(_deal(shards, salts), "place bigint, uids binary, words binary")
+    dealt = scored.select("uid", "rare").mapInArrow(_deal(shards, salts), "place bigint, uids binary, sizes binary, words binary")
     found = (
         index.unionByName(dealt, allowMissingColumns=True)
         .repartition(tasks, "place")
