@@ -107,6 +107,58 @@ def test_levels_are_distributions():
         assert sum(stored.values()) + share * rest == pytest.approx(1)
 
 
+def test_places_of_the_suffix_tree_hold_what_one_place_does():
+    """Chains counted, tested and smoothed place by place, against the level on arrays."""
+    import pyarrow as pa
+
+    from tierbed.llm.suffix_tree import (
+        BITS, CHAIN, INDEX, LEVEL, Bits, Level, _columns, _next_level, _packed, _repeated, _states, _with_shorter,
+    )
+    from tierbed.llm.text import combine, mix
+
+    rng = np.random.default_rng(3)
+    keys = np.sort(mix(np.arange(1, 60, dtype=np.uint64)))
+    pairs = np.unique(rng.integers(0, len(keys), (700, 2)) ** 2 // len(keys), axis=0)
+    context, suffix, n = keys[pairs[:, 0]], keys[pairs[:, 1]], rng.integers(1, 14, len(pairs))
+    kept = n > 1  # the others occur in one batch, once
+    counts = np.bincount(pairs[:, 0], weights=2 * n, minlength=len(keys)).astype(int)
+    counts += np.where(np.arange(len(keys)) % 2, 20, 5000)
+    log_p = np.log10(counts / (counts.sum() + 60))
+    below = Level(HashIndex(keys), counts, log_p, np.zeros(len(keys)))
+    whole = _next_level([below], context[kept], suffix[kept], 2 * n[kept], 10.0)
+    hit = below.back_off[below.index.find(context[kept])]
+    expected = dict(zip(combine(context, suffix)[kept], zip(2 * n[kept], whole.log_p, strict=True), strict=True))
+
+    def through(work, *batches):
+        rows = sorted((r for b in batches for r in b.to_pylist()), key=lambda r: (r["place"], r["kind"]))
+        batch = pa.RecordBatch.from_pylist(rows, batches[0].schema)
+        return [pa.RecordBatch.from_pylist([r], batch.schema) for b in work([batch]) for r in b.to_pylist()]
+
+    def of(batches, kind):
+        return [b for b in batches if b.column("kind")[0].as_py() == kind]
+
+    zeros = np.zeros(len(keys))
+    level = _packed(LEVEL, 5, keys, keys, counts, log_p, zeros)
+    again = [x[kept] for x in (context, suffix, n)]
+    batches = [_packed(CHAIN, 5, combine(*x[:2]), *x) for x in ((context, suffix, n), again)]
+    counted = through(_repeated(5, 16), *batches)
+    words = np.zeros(1 << 10, np.uint64)
+    for b in of(counted, BITS):
+        first, part = (np.frombuffer(b.column(k)[0].as_py(), np.uint64) for k in "ab")
+        words[int(first[0]) : int(first[0]) + len(part)] |= part
+    assert Bits(words).has(combine(*again[:2])).all()
+    shorter = through(_with_shorter(5), _packed(LEVEL, 5, keys, keys, log_p), *of(counted, CHAIN))
+    done = through(_states(5, 10.0, False), _packed(LEVEL, 5, keys, keys, counts, zeros), *shorter)
+    key, count, got, gain = _columns([r for b in of(done, LEVEL) for r in b.to_pylist()])
+    assert sorted(key) == sorted(expected) and 0 < (hit < 0).sum() < len(hit)
+    for k, c, p in zip(key, count, got.view(float), strict=True):
+        assert (c, p) == (expected[k][0], pytest.approx(expected[k][1], rel=1e-12))
+    key, _, weight, _ = _columns([r for b in of(done, INDEX) for r in b.to_pylist()])
+    assert dict(zip(key, weight.view(float), strict=True)) == pytest.approx(
+        {k: b for k, b in zip(keys, below.back_off, strict=True) if b < 0}
+    )
+
+
 def test_packing(spark, docs):
     whole = WordTokenizer(None).model
     rows = result(spark, "op2_curve_packing")

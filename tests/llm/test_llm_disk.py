@@ -37,3 +37,18 @@ def test_tidy_tables_leave_no_shuffle_files(spark, tmp_path, monkeypatch):
         time.sleep(0.2)
     assert not _shuffle_files(spark) - before
     assert rows.count() == 10
+
+
+def test_suffix_tree_scores_are_read_without_new_shuffles(spark, tmp_path, monkeypatch):
+    """All that documents look up is gone when the scores are there, and reading them moves nothing."""
+    monkeypatch.setattr(storage, "scratch", lambda spark, label: f"{tmp_path}/{label}-{uuid4().hex}")
+    docs = spark.range(60).select(
+        F.col("id").alias("doc_id"), F.concat_ws(" ", F.lit("a b c d"), F.col("id") % 7, F.lit("e f")).alias("text")
+    )
+    before = _shuffle_files(spark)
+    scores = suffix_tree_scores(docs, F.col("doc_id") % 5 != 2)
+    assert len(scores.collect()) == 60
+    end = time.time() + 20
+    while _shuffle_files(spark) - before and time.time() < end:
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before

@@ -147,7 +147,9 @@ class Tally:
 
     def add(self, keys: np.ndarray, *values: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """Count ``keys``; gives ``(keys, counts, *values)`` out when folding frees too little."""
-        self._keep(keys, None, values)
+        part = (keys, np.ones(len(keys), np.int64), *values) if values else np.unique(keys, return_counts=True)
+        self.parts.append(part)
+        self.size += len(part[0])
         if self.size > self.limit:
             folded = self.rest()
             if len(folded[0]) > self.limit // 2:
@@ -155,26 +157,14 @@ class Tally:
             else:
                 self.parts, self.size = [folded], len(folded[0])
 
-    def _keep(self, keys: np.ndarray, counts: np.ndarray | None, values: tuple) -> None:
-        if values or counts is not None:
-            order = np.argsort(keys)
-            keys = keys[order]
-            first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))[: len(keys)]
-            if counts is None:
-                totals = np.diff(np.append(first, len(keys)))
-            else:
-                totals = np.add.reduceat(counts[order], first) if len(first) else counts
-            part = (keys[first], totals, *(v[order[first]] for v in values))
-        else:
-            part = np.unique(keys, return_counts=True)
-        self.parts.append(part)
-        self.size += len(part[0])
-
     def rest(self) -> tuple[np.ndarray, ...]:
         """Everything counted so far, which is then forgotten."""
         parts, self.parts, self.size = self.parts, [], 0
-        if len(parts) > 1:
-            keys, counts, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
-            self._keep(keys, counts, tuple(values))
-            parts, self.parts, self.size = self.parts, [], 0
-        return parts[0] if parts else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        if not parts:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        keys, counts, *values = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.argsort(keys)
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))[: len(keys)]
+        counts = np.add.reduceat(counts[order], first) if len(first) else counts
+        return keys[first], counts, *(v[order[first]] for v in values)
